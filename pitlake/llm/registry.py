@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import near_dedup, packing, quality_rules, token_output, toxicity
+from . import decontamination, near_dedup, packing, quality_rules, token_output, toxicity
 
 #: Name -> query over (spark, sf_dir).
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_output": token_output.op6_token_output,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op9_decontamination": decontamination.op9_decontamination,
 }
 
 #: Name -> DuckDB SQL, where SQL can express the operator on whole tables.
