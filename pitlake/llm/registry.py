@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, near_dedup, packing, quality_rules, token_output, toxicity
+from . import decontamination, near_dedup, packing, quality_rules, secrets, token_output, toxicity
 
 #: Name -> query over (spark, sf_dir).
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op3_near_dedup": near_dedup.op3_near_dedup,
+    "op4_secret_scan": secrets.op4_secret_scan,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_output": token_output.op6_token_output,
     "op7_toxicity": toxicity.op7_toxicity,
