@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, near_dedup, packing, quality_rules, secrets, token_output, toxicity
+from . import chat_format, decontamination, near_dedup, packing, quality_rules, secrets, token_output, toxicity
 
 #: Name -> query over (spark, sf_dir).
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_chat_format": chat_format.op2_chat_format,
     "op3_near_dedup": near_dedup.op3_near_dedup,
     "op4_secret_scan": secrets.op4_secret_scan,
     "op5_quality_rules": quality_rules.op5_quality_rules,
