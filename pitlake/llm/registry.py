@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, near_dedup, packing, quality_rules, secrets, token_output, toxicity
+from . import chat_format, decontamination, html_extract, near_dedup, packing, quality_rules, secrets, token_output, toxicity
 
 #: Name -> query over (spark, sf_dir).
 QUERIES = {
@@ -13,6 +13,7 @@ QUERIES = {
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_output": token_output.op6_token_output,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_html_extract": html_extract.op8_html_extract,
     "op9_decontamination": decontamination.op9_decontamination,
 }
 
