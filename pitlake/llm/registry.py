@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, html_extract, near_dedup, packing, quality_rules, secrets, token_output, toxicity
+from . import chat_format, decontamination, html_extract, near_dedup, packing, quality_rules, secrets, suffix_dedup, token_output, toxicity
 
 #: Name -> query over (spark, sf_dir).
 QUERIES = {
@@ -15,6 +15,7 @@ QUERIES = {
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_html_extract": html_extract.op8_html_extract,
     "op9_decontamination": decontamination.op9_decontamination,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
 #: Name -> DuckDB SQL, where SQL can express the operator on whole tables.
