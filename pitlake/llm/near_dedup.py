@@ -32,12 +32,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import U64, Scratch, WordHashes, lower_words, mix, shingle_set, short_batches, signed, table
+from .idfilter import id_filter, passes
 
 K = 64
-BLOCK = 128
+#: Shingles in one block, where each class counts BLOCK_ROW more than it has.
+BLOCK = 1_000_000
+BLOCK_ROW = 2000
 WIDTH = 5
 THRESHOLD = 80  # per cent
-_BITS = 26  # of the filter that tells which documents are candidates
 
 
 def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
@@ -60,38 +62,17 @@ def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, key_a long, key_b long, sketch array<long>")
 
 
-def _bit(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.astype(np.int64).view(U64)) >> U64(64 - _BITS)).astype(np.int64)
-
-
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """rep and its whole shingle set (unsigned longs, ascending) for the doc_ids in ``ids`` (column rep).
-
-    A bit array of fixed size tells which texts to shingle, so the other texts aren't shuffled.
-    """
-    spark = docs.sparkSession
-    low = F.lit((1 << _BITS) - 1)
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bit(batch.column(0).to_numpy())))], names=["bit"])
-
-    bit = ids.select("rep").mapInArrow(bits, "bit long").select(F.col("bit").bitwiseAND(low).alias("bit"))
-    words = bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))).alias("word")).toArrow()  # 2**20 rows at most
-    table_ = np.zeros(1 << (_BITS - 6), dtype=np.int64)
-    table_[words["at"].to_numpy()] = words["word"].to_numpy()
-    wanted = spark.sparkContext.broadcast(np.unpackbits(table_.view(np.uint8), bitorder="little").astype(bool))
+    """rep and its whole shingle set (unsigned longs, ascending) for the doc_ids in ``ids`` (column rep)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            batch = batch.filter(batch.column(0).is_valid())
-            batch = batch.filter(pa.array(wanted.value[_bit(batch.column(0).to_numpy())]))
-            if batch.num_rows:
-                found = [shingle_set(hashes.of(lower_words(t)), width).tobytes() for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["rep", "shingles"])
+            found = [shingle_set(hashes.of(lower_words(t)), width).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["rep", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "rep long, shingles binary").join(ids.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
+    some = passes(docs.select("doc_id", "text"), id_filter(ids, "rep"))
+    return some.mapInArrow(run, "rep long, shingles binary").join(ids.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
 
 
 def least_overlap(k: int, threshold: int) -> tuple[int, int]:
@@ -192,20 +173,26 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def residual_blocks(lists: DataFrame, found: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """(value, i, j, rep, component): the blocks to compare, as members of block pairs; and the reps in them."""
+    """(grp, i, j, rep, component): the blocks to compare, as members of block pairs; and the reps in them.
+
+    Lists of like size with the same member of smallest hash hold mostly the same members (a
+    min-hash of lists), so they are compared as one: a large group of near copies has dozens.
+    """
     members = lists.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    about = members.groupBy("value").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"))
-    # of three members every pair has been proposed; lists of the same members are one
-    open_ = about.where("size > 3 and low < high").groupBy("size", "who").agg(F.min("value").alias("value")).select("value")
-    order = Window.partitionBy("value").orderBy("component", "n", "rep")
-    members = members.join(open_, "value").withColumn("i", F.floor((F.row_number().over(order) - 1) / BLOCK))
-    blocks = members.groupBy("value", "i").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
-    other = blocks.select("value", F.col("i").alias("j"), *(F.col(c).alias(f"{c}_j") for c in ("low", "high", "least", "most")))
-    pairs = blocks.join(other, "value").where("i <= j and not (low = high and low_j = high_j and low = low_j)")
-    pairs = pairs.where((100 * F.col("most") >= threshold * F.col("least_j")) & (100 * F.col("most_j") >= threshold * F.col("least"))).select("value", "i", "j")
-    side = members.select("value", F.col("i").alias("at"), "rep", "component")
-    in_pairs = pairs.select("value", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("at")).join(side, ["value", "at"])
-    return in_pairs.select("value", "i", "j", "rep", "component"), members.select("rep").distinct()
+    about = members.groupBy("value").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("rep", F.xxhash64("rep")).alias("who"))
+    # of three members every pair has been proposed
+    open_ = about.where("size > 3 and low < high").select("value", (F.col("who") * 64 + F.floor(F.log2("size"))).alias("grp"))
+    members = members.join(open_, "value").select("grp", "rep", "n", "component").distinct()
+    order = Window.partitionBy("grp").orderBy("component", "n", "rep")
+    weight = F.sum(F.col("n") + BLOCK_ROW).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    members = members.withColumn("i", F.floor(weight / BLOCK))
+    blocks = members.groupBy("grp", "i").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
+    other = blocks.select("grp", F.col("i").alias("j"), *(F.col(c).alias(f"{c}_j") for c in ("low", "high", "least", "most")))
+    pairs = blocks.join(other, "grp").where("i <= j and not (low = high and low_j = high_j and low = low_j)")
+    pairs = pairs.where((100 * F.col("most") >= threshold * F.col("least_j")) & (100 * F.col("most_j") >= threshold * F.col("least"))).select("grp", "i", "j")
+    side = members.select("grp", F.col("i").alias("at"), "rep", "component")
+    in_pairs = pairs.select("grp", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("at")).join(side, ["grp", "at"])
+    return in_pairs.select("grp", "i", "j", "rep", "component"), members.select("rep").distinct()
 
 
 def _links_of_block(sets: list[np.ndarray], component: list[int], threshold: int) -> list[tuple[int, int]]:
@@ -251,7 +238,7 @@ def block_links(blocks: DataFrame, sets: DataFrame, threshold: int) -> DataFrame
         found = _links_of_block([np.frombuffer(x.as_buffer(), U64) for x in block["shingles"]], own, threshold)
         return pa.table({"a": pa.array([reps[x] for x, _ in found], pa.int64()), "b": pa.array([reps[y] for _, y in found], pa.int64())})
 
-    return blocks.join(sets, "rep").groupBy("value", "i", "j").applyInArrow(run, "a long, b long")
+    return blocks.join(sets, "rep").groupBy("grp", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, k: int = K) -> DataFrame:
@@ -285,5 +272,26 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def one_of_each(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group the row with the smallest doc_id stays.
+
+    Of rows that repeat a doc_id the one with the smallest text (null first) stays; rows with a
+    null doc_id all stay.  Only the texts of documents that go or come twice are shuffled.
+    """
+    scratch = Scratch(docs.sparkSession, "one")
+    found = near_duplicates(docs, width, threshold)
+    gone = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("rows")).where("doc_id is not null and (not kept or rows > 1)")
+    gone = scratch.stage(gone, "gone")
+    names = docs.columns
+    some = id_filter(gone, "doc_id")
+    rows = docs.select(F.col("doc_id").alias("__id"), *names)  # the filter looks at the first column
+    sure = passes(rows, some, keep=False)
+    maybe = passes(rows, some).join(gone.select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"), F.col("rows").alias("__rows")), "__id", "left")
+    maybe = maybe.where("__kept is null or __kept")
+    nr = F.row_number().over(Window.partitionBy("__id").orderBy("text"))
+    maybe = maybe.withColumn("__nr", F.when(F.col("__rows") > 1, nr).otherwise(1)).where("__nr = 1")
+    return sure.select(*names).unionByName(maybe.select(*names))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4)
