@@ -21,6 +21,7 @@ words are in no document; null texts have no words; repeated rows each match.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -138,15 +139,19 @@ class Searcher:
                             yield int(t), int(item), shared
 
 
-_SEARCHERS: dict[int, Searcher] = {}
+_SEARCHERS: dict[str, Searcher] = {}
 
 
-def _search(docs: DataFrame, shared, key: int) -> DataFrame:
+def _searcher(shared, key: str) -> Searcher:
+    if key not in _SEARCHERS:
+        _SEARCHERS.clear()
+        _SEARCHERS[key] = Searcher(shared.value)
+    return _SEARCHERS[key]
+
+
+def _search(docs: DataFrame, shared, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _SEARCHERS:
-            _SEARCHERS.clear()
-            _SEARCHERS[key] = Searcher(shared.value)
-        searcher = _SEARCHERS[key]
+        searcher = _searcher(shared, key)
         index = searcher.index
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -158,22 +163,44 @@ def _search(docs: DataFrame, shared, key: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
-def contained_items(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, block: int = ITEMS) -> DataFrame:
-    """One row for each document and each item that it contains."""
-    spark = docs.sparkSession
-    short_batches(spark)
+def _indexes(benchmark: DataFrame, width: int, threshold: int, block: int) -> Iterator:
+    """The broadcast index of each block of items, with a key of its own."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     blocks = max(1, -(-items.count() // block))
-    out = None
     for b in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
         index = ItemIndex.build(sorted(((r[0], r[1]) for r in some.collect()), key=lambda r: (str(r[0]), r[1] or "")), width, threshold)
-        if not index.ids:
-            continue
-        shared = spark.sparkContext.broadcast(index)
-        part = _search(docs, shared, shared._jbroadcast.id() if shared._jbroadcast is not None else id(shared))
+        if index.ids:
+            yield spark.sparkContext.broadcast(index), f"{uuid.uuid4().hex}"
+
+
+def contained_items(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, block: int = ITEMS) -> DataFrame:
+    """One row for each document and each item that it contains."""
+    short_batches(docs.sparkSession)
+    out = None
+    for shared, key in _indexes(benchmark, width, threshold, block):
+        part = _search(docs, shared, key)
         out = part if out is None else out.unionByName(part)
-    return spark.createDataFrame([], SCHEMA) if out is None else out
+    return docs.sparkSession.createDataFrame([], SCHEMA) if out is None else out
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, block: int = ITEMS) -> DataFrame:
+    """The rows of ``docs`` that contain no item."""
+    short_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+    for shared, key in _indexes(benchmark, width, threshold, block):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
+            searcher = _searcher(shared, key)
+            for batch in batches:
+                clean = np.ones(batch.num_rows, dtype=bool)
+                for t, _, _ in searcher.matches(batch.column(at).to_pylist()):
+                    clean[t] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Scratch, loose_words, short_batches, table
 
@@ -215,12 +216,13 @@ class Scorer(dict):
 
 
 _SCORERS: dict[str, Scorer] = {}
-_FEATURES = [*(f"x_{w}" for w in WINDOWS), "x_all", "x_length"]
+_FEATURES = [*(f"__x_{w}" for w in WINDOWS), "__x_all", "__x_length"]
 
 
 def _features(docs: DataFrame, levels, name: str, keep: list[str]) -> DataFrame:
-    """``docs`` without its text, with the features."""
-    fields = docs.select(*keep).schema.simpleString()[7:-1]
+    """The columns ``keep`` of ``docs`` with the features of its text."""
+    rows = docs.select(*keep, F.col("text").alias("__text"))
+    schema = T.StructType([*rows.schema.fields[:-1], *(T.StructField(c, T.DoubleType()) for c in _FEATURES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _SCORERS:
@@ -231,7 +233,7 @@ def _features(docs: DataFrame, levels, name: str, keep: list[str]) -> DataFrame:
             x = scorer.features(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(x[:, i]) for i in range(len(_FEATURES)))], names=[*keep, *_FEATURES])
 
-    return docs.select(*keep, "text").mapInArrow(run, ", ".join([fields.replace(",", ", "), *(f"{c} double" for c in _FEATURES)]))
+    return rows.mapInArrow(run, schema)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -253,15 +255,11 @@ def residue(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
 
 
-def score(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, threshold: float = THRESHOLD, lm_docs: int = LM_DOCS, fit_docs: int = FIT_DOCS) -> DataFrame:
-    """``keep`` columns of ``docs`` (all but its text by default) with held_out, score and predicted.
-
-    Labels of documents whose residue is 2 are never read.
-    """
+def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], lm_docs: int, fit_docs: int) -> DataFrame:
+    """``keep`` columns of ``docs`` and __score.  Labels of documents whose residue is 2 are never read."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
     short_batches(spark)
-    keep = [c for c in docs.columns if c != "text"] if keep is None else keep
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("__r", residue())
 
     def sample(rows: DataFrame, most: int) -> DataFrame:
@@ -271,24 +269,34 @@ def score(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, thr
     # at most as many grams as the sample has letters
     counts = class_counts(sample(known.where(F.col("__r").isin(0, 1)), lm_docs)).toArrow()
     gram, n_t, n_o = (counts[c].to_numpy() for c in ("gram", "n_t", "n_o"))
-    held_out = F.coalesce(residue() == 2, F.lit(False))
     if not n_t.any() or not n_o.any():
         share = known.where(F.col("__r") != 2).agg(F.avg("toxic")).first()[0] or 0.0
-        out = docs.select(*keep, held_out.alias("held_out"), F.lit(float(share)).alias("score"))
+        return docs.select(*keep, F.lit(float(share)).alias("__score"))
+    levels = spark.sparkContext.broadcast(ratio_levels(gram, n_t, n_o, shared_counts(docs)))
+    rows = _features(sample(known.where(F.col("__r") == 3), fit_docs), levels, scratch.root, ["toxic"]).collect()
+    rows = sorted(tuple(r) for r in rows)
+    if len({r[0] for r in rows}) == 2:
+        mean, scale, beta = fit_curve(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], dtype=float))
     else:
-        levels = spark.sparkContext.broadcast(ratio_levels(gram, n_t, n_o, shared_counts(docs)))
-        rows = _features(sample(known.where(F.col("__r") == 3), fit_docs), levels, scratch.root, ["toxic"]).collect()
-        rows = sorted(tuple(r) for r in rows)
-        if len({r[0] for r in rows}) == 2:
-            mean, scale, beta = fit_curve(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], dtype=float))
-        else:
-            mean, scale, beta = np.zeros(len(_FEATURES)), np.ones(len(_FEATURES)), np.array([-4.0, 1.0, *[0.0] * (len(_FEATURES) - 1)])
-        z = F.lit(float(beta[0] - (beta[1:] * mean / scale).sum()))
-        for c, a in zip(_FEATURES, (beta[1:] / scale).tolist()):
-            z = z + F.col(c) * a
-        z = F.least(F.lit(30.0), F.greatest(F.lit(-30.0), z))
-        out = _features(docs, levels, scratch.root, keep).select(*keep, held_out.alias("held_out"), (1 / (1 + F.exp(-z))).alias("score"))
-    return out.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
+        mean, scale, beta = np.zeros(len(_FEATURES)), np.ones(len(_FEATURES)), np.array([-4.0, 1.0, *[0.0] * (len(_FEATURES) - 1)])
+    z = F.lit(float(beta[0] - (beta[1:] * mean / scale).sum()))
+    for c, a in zip(_FEATURES, (beta[1:] / scale).tolist()):
+        z = z + F.col(c) * a
+    z = F.least(F.lit(30.0), F.greatest(F.lit(-30.0), z))
+    return _features(docs, levels, scratch.root, keep).select(*keep, (1 / (1 + F.exp(-z))).alias("__score"))
+
+
+def score(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, threshold: float = THRESHOLD, lm_docs: int = LM_DOCS, fit_docs: int = FIT_DOCS) -> DataFrame:
+    """``keep`` columns of ``docs`` (all but its text by default) with held_out, score and predicted, which replace columns of these names."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("text", "held_out", "score", "predicted")]
+    held_out = F.coalesce(residue() == 2, F.lit(False))
+    out = _scored(docs, labels, keep, lm_docs, fit_docs)
+    return out.select(*keep, held_out.alias("held_out"), F.col("__score").alias("score"), F.when(F.col("__score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, lm_docs: int = LM_DOCS, fit_docs: int = FIT_DOCS) -> DataFrame:
+    """The rows of ``docs`` that aren't predicted toxic."""
+    return _scored(docs, labels, docs.columns, lm_docs, fit_docs).where(F.col("__score") < threshold).select(*docs.columns)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
