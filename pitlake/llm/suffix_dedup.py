@@ -46,7 +46,7 @@ from .idfilter import id_filter, passes
 LENGTH = 100
 GRAM = 32
 #: Suffixes in one run of a task.
-RUN = 150_000
+RUN = 30_000
 _POSITION = 24  # bits of a position that go with 40 bits of hash; longer texts have parts
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTES = mix(np.arange(256, dtype=U64) * U64(0xD6E8FEB86659FD93) + U64(0x5851F42D4C957F2D))
