@@ -65,7 +65,7 @@ class Scratch:
 class WordHashes(dict):
     """64-bit hash of each word (bytes); forgets everything when it holds too many words."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

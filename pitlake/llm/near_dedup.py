@@ -36,7 +36,7 @@ from .idfilter import id_filter, passes
 
 K = 64
 #: Shingles in one block, where each class counts BLOCK_ROW more than it has.
-BLOCK = 1_000_000
+BLOCK = 600_000
 BLOCK_ROW = 2000
 WIDTH = 5
 THRESHOLD = 80  # per cent

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, loose_words, short_batches, table
+from .common import loose_words, short_batches, table
 
 LM_DOCS = 20_000
 FIT_DOCS = 10_000
@@ -170,9 +170,9 @@ def ratio_levels(gram: np.ndarray, n_t: np.ndarray, n_o: np.ndarray, shared: np.
 
 
 class Scorer(dict):
-    """Word -> its difference; one for each Python worker and model."""
+    """Word -> its difference."""
 
-    LIMIT = 600_000
+    LIMIT = 300_000
 
     def __init__(self, levels: list[Level]):
         super().__init__()
@@ -215,20 +215,16 @@ class Scorer(dict):
         return out
 
 
-_SCORERS: dict[str, Scorer] = {}
 _FEATURES = [*(f"__x_{w}" for w in WINDOWS), "__x_all", "__x_length"]
 
 
-def _features(docs: DataFrame, levels, name: str, keep: list[str]) -> DataFrame:
+def _features(docs: DataFrame, levels, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs`` with the features of its text."""
     rows = docs.select(*keep, F.col("text").alias("__text"))
     schema = T.StructType([*rows.schema.fields[:-1], *(T.StructField(c, T.DoubleType()) for c in _FEATURES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(levels.value)
-        scorer = _SCORERS[name]
+        scorer = Scorer(levels.value)  # its words go with the task
         for batch in batches:
             x = scorer.features(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(x[:, i]) for i in range(len(_FEATURES)))], names=[*keep, *_FEATURES])
@@ -258,7 +254,6 @@ def residue(doc_id: str = "doc_id"):
 def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], lm_docs: int, fit_docs: int) -> DataFrame:
     """``keep`` columns of ``docs`` and __score.  Labels of documents whose residue is 2 are never read."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "toxicity")
     short_batches(spark)
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("__r", residue())
 
@@ -273,7 +268,7 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], lm_docs: int, f
         share = known.where(F.col("__r") != 2).agg(F.avg("toxic")).first()[0] or 0.0
         return docs.select(*keep, F.lit(float(share)).alias("__score"))
     levels = spark.sparkContext.broadcast(ratio_levels(gram, n_t, n_o, shared_counts(docs)))
-    rows = _features(sample(known.where(F.col("__r") == 3), fit_docs), levels, scratch.root, ["toxic"]).collect()
+    rows = _features(sample(known.where(F.col("__r") == 3), fit_docs), levels, ["toxic"]).collect()
     rows = sorted(tuple(r) for r in rows)
     if len({r[0] for r in rows}) == 2:
         mean, scale, beta = fit_curve(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], dtype=float))
@@ -283,7 +278,7 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], lm_docs: int, f
     for c, a in zip(_FEATURES, (beta[1:] / scale).tolist()):
         z = z + F.col(c) * a
     z = F.least(F.lit(30.0), F.greatest(F.lit(-30.0), z))
-    return _features(docs, levels, scratch.root, keep).select(*keep, (1 / (1 + F.exp(-z))).alias("__score"))
+    return _features(docs, levels, keep).select(*keep, (1 / (1 + F.exp(-z))).alias("__score"))
 
 
 def score(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, threshold: float = THRESHOLD, lm_docs: int = LM_DOCS, fit_docs: int = FIT_DOCS) -> DataFrame:
