@@ -1 +1 @@
-
+"""Relational operators: functions from DataFrames (or columns) to DataFrames (or columns)."""
