@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -62,6 +63,12 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished stages: it does so once their plans are garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class WordHashes(dict):
     """64-bit hash of each word (bytes); forgets everything when it holds too many words."""
 

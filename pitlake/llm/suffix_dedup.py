@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, mix, short_batches, table
+from .common import U64, Scratch, mix, release, short_batches, table
 from .idfilter import id_filter, passes
 
 LENGTH = 100
@@ -195,16 +195,18 @@ def sort_rows(rows: np.ndarray) -> np.ndarray:
 
 
 def encode_run(rows: np.ndarray, shared: np.ndarray) -> bytes:
-    """Front coding: the shared lengths, then the bytes that aren't shared."""
+    """Front coding: the shared lengths, then the bytes that aren't shared; compressed."""
     shared = shared.copy()
     if len(shared):
         shared[0] = 0
     rest = rows[np.arange(rows.shape[1])[None, :] >= shared[:, None]]
-    return shared.astype("<u2").tobytes() + rest.tobytes()
+    coded = shared.astype("<u2").tobytes() + rest.tobytes()
+    return len(coded).to_bytes(8, "little") + pa.compress(coded, codec="zstd", asbytes=True)
 
 
 def decode_run(data: bytes, n: int, width: int) -> Iterator[tuple[int, bytes]]:
     """(bytes shared with the one before, whole suffix)."""
+    data = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
     at, last = 2 * n, b""
     for shared in np.frombuffer(data, "<u2", n).tolist():
         end = at + width - shared
@@ -456,12 +458,12 @@ def removed_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram:
     marks = repeated_anchors(anchor_rows(docs, length, gram)).groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
     marks = scratch.stage(marks, "marks")
     some = id_filter(marks, "doc_id")
-    marked = passes(docs.select("doc_id", "text"), some).join(marks, "doc_id")
-    runs = scratch.stage(sorted_runs(marked, receivers, length, gram), "runs")
+    runs = scratch.stage(sorted_runs(passes(docs.select("doc_id", "text"), some).join(marks, "doc_id"), receivers, length, gram), "runs")
     scratch.drop("marks")
-    spans = merged_spans(runs, length, gram).unionByName(_settled(runs))
-    out = scratch.stage(merge_spans(spans), "spans")
+    release(spark)
+    out = scratch.stage(merge_spans(merged_spans(runs, length, gram).unionByName(_settled(runs))), "spans")
     scratch.drop("runs")
+    release(spark)
     return out
 
 
