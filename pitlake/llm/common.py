@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch.  Documents may be long, so batches stay short.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 U64 = np.uint64
 
 
@@ -25,7 +25,7 @@ def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) != rows:
         spark.conf.set(key, str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -72,7 +72,7 @@ def release(spark: SparkSession) -> None:
 class WordHashes(dict):
     """64-bit hash of each word (bytes); forgets everything when it holds too many words."""
 
-    LIMIT = 200_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

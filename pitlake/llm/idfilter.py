@@ -38,15 +38,18 @@ def id_filter(ids: DataFrame, column: str):
     return ids.sparkSession.sparkContext.broadcast(words.view(np.uint8))
 
 
+def hits(bits, ids: pa.Array) -> np.ndarray:
+    """Which of the longs may be in the set; a null isn't."""
+    at = _bit(ids.fill_null(0).to_numpy(zero_copy_only=False))
+    return ((bits.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1) & ids.is_valid().to_numpy(zero_copy_only=False)
+
+
 def passes(rows: DataFrame, bits, keep: bool = True) -> DataFrame:
     """The rows whose first column may be in the set; with ``keep`` false, those that surely aren't."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            at = _bit(ids.fill_null(0).to_numpy(zero_copy_only=False))
-            hit = (bits.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            hit &= ids.is_valid().to_numpy(zero_copy_only=False)
+            hit = hits(bits, batch.column(0))
             if (hit if keep else ~hit).any():
                 yield batch.filter(pa.array(hit if keep else ~hit))
 

@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, WordHashes, lower_words, mix, shingle_set, short_batches, signed, table
-from .idfilter import id_filter, passes
+from .common import U64, Scratch, WordHashes, lower_words, mix, release, shingle_set, short_batches, signed, table
+from .idfilter import hits, id_filter, passes
 
 K = 64
 #: Shingles in one block, where each class counts BLOCK_ROW more than it has.
@@ -65,14 +65,18 @@ def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """rep and its whole shingle set (unsigned longs, ascending) for the doc_ids in ``ids`` (column rep)."""
 
+    bits = id_filter(ids, "rep")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            found = [shingle_set(hashes.of(lower_words(t)), width).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["rep", "shingles"])
+            batch = batch.filter(pa.array(hits(bits, batch.column(0))))
+            if batch.num_rows:
+                found = [shingle_set(hashes.of(lower_words(t)), width).tobytes() for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["rep", "shingles"])
 
-    some = passes(docs.select("doc_id", "text"), id_filter(ids, "rep"))
-    return some.mapInArrow(run, "rep long, shingles binary").join(ids.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
+    some = docs.select("doc_id", "text").mapInArrow(run, "rep long, shingles binary")
+    return some.join(ids.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
 
 
 def least_overlap(k: int, threshold: int) -> tuple[int, int]:
@@ -256,6 +260,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     first_sets = scratch.stage(full_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")), width), "sets0")
     links = scratch.stage(verified(pairs, first_sets, threshold), "links0")
     scratch.drop("pairs", "sets0", "reps")
+    release(spark)
     found = components(links, scratch, "first")
     blocks, members = residual_blocks(lists, found, threshold)
     blocks = scratch.stage(blocks, "blocks")

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import U64, Scratch, mix, release, short_batches, table
-from .idfilter import id_filter, passes
+from .idfilter import hits, id_filter, passes
 
 LENGTH = 100
 GRAM = 32
@@ -488,11 +488,13 @@ def _kept(data: bytes, spans) -> bytes:
 _DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _digest(docs: DataFrame) -> DataFrame:
-    """``docs``: doc_id, text, spans."""
+def _digest(docs: DataFrame, bits=None) -> DataFrame:
+    """``docs``: doc_id, text, spans; with ``bits`` only the rows that surely aren't in that set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if bits is not None:
+                batch = batch.filter(pa.array(~hits(bits, batch.column(0))))
             rows = []
             for doc, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 data = _bytes(text)
@@ -528,10 +530,10 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     spans = removed_spans(one, scratch, length, gram)
     some = id_filter(spans, "doc_id")
     none = F.lit(None).cast(spans.schema["spans"].dataType)
-    whole = passes(one, some, keep=False).withColumn("spans", none)
+    whole = one.withColumn("spans", none)
     cut = passes(one, some).join(spans, "doc_id", "left")
     nameless = docs.where("doc_id is null").select("doc_id", "text").withColumn("spans", none)
-    return _digest(whole).unionByName(_digest(cut)).unionByName(_digest(nameless))
+    return _digest(whole, some).unionByName(_digest(cut)).unionByName(_digest(nameless))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

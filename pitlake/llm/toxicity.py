@@ -172,7 +172,7 @@ def ratio_levels(gram: np.ndarray, n_t: np.ndarray, n_o: np.ndarray, shared: np.
 class Scorer(dict):
     """Word -> its difference."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __init__(self, levels: list[Level]):
         super().__init__()
@@ -220,14 +220,15 @@ _FEATURES = [*(f"__x_{w}" for w in WINDOWS), "__x_all", "__x_length"]
 
 def _features(docs: DataFrame, levels, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs`` with the features of its text."""
-    rows = docs.select(*keep, F.col("text").alias("__text"))
-    schema = T.StructType([*rows.schema.fields[:-1], *(T.StructField(c, T.DoubleType()) for c in _FEATURES)])
+    rows = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
+    at = rows.columns.index("text")
+    schema = T.StructType([*rows.schema.fields[: len(keep)], *(T.StructField(c, T.DoubleType()) for c in _FEATURES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(levels.value)  # its words go with the task
         for batch in batches:
-            x = scorer.features(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(x[:, i]) for i in range(len(_FEATURES)))], names=[*keep, *_FEATURES])
+            x = scorer.features(batch.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(x[:, i]) for i in range(len(_FEATURES)))], names=[*keep, *_FEATURES])
 
     return rows.mapInArrow(run, schema)
 
