@@ -88,11 +88,11 @@ def prior_version(records: DataFrame, keys: Sequence[str], version: str, payload
     return records.withColumn("prior_payload", F.lag(payload).over(Window.partitionBy(*keys).orderBy(version)))
 
 
-def leaves(rows: DataFrame, keys: Sequence[str], payload: str) -> DataFrame:
+def leaves(rows: DataFrame, keys: Sequence[str], payload: str, levels: int = 8) -> DataFrame:
     """keys, path, value of every scalar in a JSON payload, through objects and arrays; array lengths are leaves too."""
     base = rows.select(*keys, F.lit("$").alias("path"), F.parse_json(F.col(payload)).alias("v"))
     out = None
-    for _ in range(8):  # levels of nesting
+    for _ in range(levels):
         kind = F.schema_of_variant("v")
         nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
         here = base.where(~F.coalesce(nested, F.lit(False))).select(*keys, "path", F.col("v").cast("string").alias("value"))
@@ -110,10 +110,10 @@ def same_scalar(a: Column, b: Column) -> Column:
     return F.coalesce(num(a) == num(b), text(a) == text(b), a.isNull() & b.isNull())
 
 
-def payload_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], payload: str) -> DataFrame:
+def payload_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], payload: str, levels: int = 8) -> DataFrame:
     """keys, path and both values wherever two payloads differ; arrays of unequal length are one difference."""
-    left = leaves(a, keys, payload).withColumnRenamed("value", "value_a").withColumn("__a", F.lit(1))
-    right = leaves(b, keys, payload).withColumnRenamed("value", "value_b").withColumn("__b", F.lit(1))
+    left = leaves(a, keys, payload, levels).withColumnRenamed("value", "value_a").withColumn("__a", F.lit(1))
+    right = leaves(b, keys, payload, levels).withColumnRenamed("value", "value_b").withColumn("__b", F.lit(1))
     both = left.join(right, [*keys, "path"], "full_outer").where(~F.coalesce(same_scalar(F.col("value_a"), F.col("value_b")), F.lit(False)))
     sized = both.where(F.col("path").endswith("[]")).select(*keys, F.expr("left(path, length(path) - 2)").alias("__stop"))
     inside = both.where(~F.col("path").endswith("[]")).join(sized, list(keys), "left").withColumn("__in", F.coalesce(F.col("path").startswith(F.concat(F.col("__stop"), F.lit("["))), F.lit(False)))

@@ -50,8 +50,8 @@ def asof_latest_order(spark, sf):
 
 
 @query(f"""WITH {ORDERS_SQL}, line AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS ship_day, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
- hit AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, max(struct_pack(d := od.order_day, k := od.o_orderkey)) AS m FROM line l JOIN od ON od.o_custkey = l.o_custkey AND od.order_day <= l.ship_day GROUP BY ALL)
- SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.ship_day, h.m.k AS asof_orderkey FROM line l LEFT JOIN hit h ON h.l_orderkey = l.l_orderkey AND h.l_linenumber = l.l_linenumber AND h.l_partkey = l.l_partkey""")
+ mark AS (SELECT o_custkey, order_day, max(o_orderkey) AS k FROM od GROUP BY 1, 2)
+ SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.ship_day, m.k AS asof_orderkey FROM line l ASOF LEFT JOIN mark m ON m.o_custkey = l.o_custkey AND l.ship_day >= m.order_day""")
 def asof_column_date(spark, sf):
     """For each line the newest order of its customer at its own shipping date."""
     o = orders(spark, sf)
@@ -209,14 +209,14 @@ def cluster_buys(spark, sf):
 
 
 @query("WITH RECURSIVE " + _CLUSTERS + """, m AS (SELECT c.*, event_id, user_id, amount, CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id % 9 + 1 END AS shares FROM c JOIN pu ON pu.entity = c.entity AND event_day BETWEEN window_start AND window_end)
- SELECT entity, window_start, count(*) AS n_trades, count(shares) AS n_priced, CAST(sum(shares) AS BIGINT) AS total_shares, round(CAST(sum(amount) FILTER (WHERE shares IS NOT NULL) AS DOUBLE) / CAST(sum(shares) AS DOUBLE), 2) AS avg_price,
+ SELECT entity, window_start, count(*) AS n_trades, count(shares) AS n_priced, CAST(sum(shares) AS BIGINT) AS total_shares, round(CAST(sum(amount) FILTER (WHERE shares IS NOT NULL) AS DOUBLE) / CAST(sum(shares) AS DOUBLE) + 1e-9, 4) AS avg_price,
  string_agg(DISTINCT CAST(user_id AS VARCHAR), '; ' ORDER BY CAST(user_id AS VARCHAR)) AS people, count(shares) < count(*) AS partial_price_coverage FROM m GROUP BY 1, 2""")
 def cluster_avg_price(spark, sf):
     """The screen of clusters: who, how many shares, and the size-weighted price over what is priced."""
     p = purchases(spark, sf).withColumn("shares", F.when(F.col("event_id") % 5 != 0, F.col("event_id") % 9 + 1)).withColumn("person", F.col("user_id").cast("string"))
     c = E.clusters(p, "entity", "event_day", "user_id", "event_id", "amount", "knowable_day", 3, 2).withColumn("cluster", F.struct("entity", "window_start"))
     out = C.screen(c, p.select("event_id", "shares", "person", F.col("amount").cast("double").alias("amount")), "cluster", "member_ids", "event_id", "shares", "amount", "person")
-    price = F.when(F.col("total_shares") != 0, F.round(F.col("priced_amount").cast("decimal(18,2)").cast("double") / F.col("total_shares").cast("double"), 2))
+    price = F.when(F.col("total_shares") != 0, F.round(F.col("priced_amount").cast("decimal(18,2)").cast("double") / F.col("total_shares").cast("double") + 1e-9, 4))
     return out.select("entity", "window_start", "n_trades", "n_priced", "total_shares", price.alias("avg_price"), "people", "partial_price_coverage")
 
 
@@ -291,13 +291,13 @@ def class_counts(spark, sf):
     return trade_classify(spark, sf).groupBy("classification").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 3 <> 0 AND NOT (l_linenumber % 3 = 1 AND l_returnflag = 'A') THEN round(l_extendedprice / l_quantity, 6) END AS unit_price FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 3 <> 0 AND NOT (l_linenumber % 3 = 1 AND l_returnflag = 'A') THEN round(l_extendedprice / l_quantity + 1e-9, 6) END AS unit_price FROM lineitem""")
 def unit_price(spark, sf):
     """Price for one where exactly one side moved and money was paid."""
     l = table(spark, sf, "lineitem")
     got = F.when(F.col("l_linenumber") % 3 == 1, F.col("l_quantity"))
     lost = F.when((F.col("l_linenumber") % 3 == 2) | ((F.col("l_linenumber") % 3 == 1) & (F.col("l_returnflag") == "A")), F.col("l_quantity"))
-    return l.select("l_orderkey", "l_linenumber", "l_partkey", F.round(C.unit_price(F.col("l_extendedprice"), got, lost), 6).alias("unit_price"))
+    return l.select("l_orderkey", "l_linenumber", "l_partkey", F.round(C.unit_price(F.col("l_extendedprice"), got, lost) + 1e-9, 6).alias("unit_price"))
 
 
 _TITLES = [
@@ -519,7 +519,7 @@ def payload_diff(spark, sf):
     a = p.select("p_partkey", F.to_json(F.struct(F.upper("p_name").alias("name"), F.col("p_size").cast("string").alias("size"))).alias("payload"))
     other = F.when(F.col("p_partkey") % 3 == 0, F.concat("p_name", F.lit("x"))).otherwise(F.lower("p_name"))
     b = p.select("p_partkey", F.to_json(F.struct(other.alias("name"), F.when(F.col("p_partkey") % 4 != 0, F.concat(F.lit("0"), F.col("p_size").cast("string"))).alias("size"))).alias("payload"))
-    return R.payload_diff(a, b, ["p_partkey"], "payload")
+    return R.payload_diff(a, b, ["p_partkey"], "payload", levels=2)
 
 
 @query("""WITH s AS (SELECT d.doc_id, CASE WHEN quality = 0 THEN 1 ELSE 0 END AS e, CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS g, CAST(d.doc_id % 4 AS INTEGER) AS w, quality IS NULL AS x FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),

@@ -92,8 +92,9 @@ def _after_preamble(spark: SparkSession, path: str, spellings: dict, required: S
         names = next(csv.reader(io.StringIO(line)), [])
         columns = find_columns(names, spellings, required)
         if columns:
-            rows = _take(_cells(spark, [path], ",", len(names)), columns, names, spellings)
-            # preamble lines have fewer cells than the table
+            cells = _cells(spark, [path], ",", len(names))
+            table = cells.where(F.size(F.array_compact(F.array(*cells.columns))) > 1)  # preamble lines have one cell
+            rows = _take(table, columns, names, spellings)
             return rows.where(" and ".join(f"{c} is not null" for c in required))
     raise HeaderError(f"no line with the columns {list(required)} among the first {look}")
 

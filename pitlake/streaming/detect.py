@@ -37,7 +37,7 @@ def latest_wins(read: Callable[[], DataFrame], write: Callable[[DataFrame], None
         stored = read()
         base = [c for c in rows.columns if c not in ("superseded", "supersedes_doc")]
         old = stored.select(*base)
-        every = old.join(rows.select(doc).distinct(), doc, "left_anti").unionByName(rows.select(*base))
+        every = old.join(rows.select(doc).distinct(), doc, "left_anti").unionByName(rows.select(*base)).select(*base)
         write(supersede(every.dropDuplicates(), group, doc, knowable))
 
     return batch
@@ -57,8 +57,7 @@ def cluster_stream(stream: DataFrame, entity: str, at: str, person: str, days: i
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = list(zip(*state.get)) if state.exists else []
         for batch in batches:
-            when = pd.to_datetime(batch["at"]).dt.tz_localize(None) if batch["at"].dt.tz is not None else batch["at"]
-            held += [(int((d - pd.Timestamp(0)).days), int(p)) for d, p in zip(when.dt.normalize(), batch["person"])]
+            held += [(int(d), int(p)) for d, p in zip(batch["day"], batch["person"])]
         held.sort()
         done = state.getCurrentWatermarkMs() // 86_400_000
         out, i = [], 0
@@ -79,5 +78,5 @@ def cluster_stream(stream: DataFrame, entity: str, at: str, person: str, days: i
         day = lambda n: (pd.Timestamp(0) + pd.Timedelta(days=n)).date()
         yield pd.DataFrame([(e, day(a), day(b), n) for e, a, b, n in out], columns=["entity", "window_start", "window_end", "n_persons"])
 
-    rows = stream.withWatermark(at, late).select(F.col(entity).cast("long").alias("entity"), F.col(at).alias("at"), F.col(person).cast("long").alias("person"))
+    rows = stream.withWatermark(at, late).select(F.col(entity).cast("long").alias("entity"), F.col(at).alias("at"), F.unix_date(F.to_date(F.col(at))).alias("day"), F.col(person).cast("long").alias("person"))
     return rows.groupBy("entity").applyInPandasWithState(run, CLUSTERS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
