@@ -222,11 +222,11 @@ def importance(counts: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame, keep: list[str] | None = None, least: float = LEAST, seen: int = SEEN) -> DataFrame:
-    """``keep`` columns of ``pages`` (all but html by default) with the main text."""
+    """``keep`` columns of ``pages`` (all but html by default) with the main text, which replaces a column of that name."""
     spark = pages.sparkSession
     short_batches(spark)
     scratch = Scratch(spark, "pages")
-    keep = [c for c in pages.columns if c != "html"] if keep is None else keep
+    keep = [c for c in (pages.columns if keep is None else keep) if c not in ("html", "text")]
     low = scratch.stage(importance(style_counts(pages)).where((F.col("importance") < least) & (F.col("seen") >= seen)).groupBy("host").agg(F.collect_set("path").alias("__removed")), "removed")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(*keep, "html", host.alias("__host"))

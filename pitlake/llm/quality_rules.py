@@ -39,8 +39,8 @@ def _without(text: Column, characters: str) -> Column:
 
 
 def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the columns ``STATS`` (long)."""
-    keep = docs.columns
+    """``docs`` with the columns ``STATS`` (long), which replace columns of these names."""
+    keep = [c for c in docs.columns if c not in STATS]
     t = F.coalesce(F.col(text), F.lit(""))
     trimmed = F.btrim(t, F.lit(_SPACE))
     names = {c: f"__{c}" for c in ("t", "words", "hashes", "windows", "lines", "pairs", "at")}
@@ -209,8 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> D
 
 
 def apply_rules(docs: DataFrame, rules: DecisionList) -> DataFrame:
-    """``docs`` with its statistics, base_failed, rule (0: none) and kept."""
-    out = text_stats(docs).withColumn("base_failed", base_failed())
+    """``docs`` with its statistics, base_failed, rule (0: none) and kept, which replace columns of these names."""
+    out = text_stats(docs.drop("base_failed", "rule", "kept")).withColumn("base_failed", base_failed())
     out = out.withColumn("rule", F.when(F.col("base_failed"), 0).otherwise(rules.column()))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, html_extract, near_dedup, packing, quality_rules, secrets, suffix_dedup, token_output, toxicity
+from . import chat_format, decontamination, html_extract, near_dedup, oracles, packing, quality_rules, secrets, suffix_dedup, token_output, toxicity
 
 #: Name -> query over (spark, sf_dir).
 QUERIES = {
@@ -19,7 +19,7 @@ QUERIES = {
 }
 
 #: Name -> DuckDB SQL, where SQL can express the operator on whole tables.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def queries() -> dict:
