@@ -13,6 +13,7 @@ from ..operators import documents as D
 from ..operators import events as E
 from ..operators import identity as I
 from ..operators import quality as Q
+from ..operators import registers as G
 from ..operators import review as R
 from ..operators import snapshots as S
 from ..operators import temporal as P
@@ -646,3 +647,221 @@ def form_extract(spark, sf):
         F.lit(" No. of securities held after change "), after, F.lit(" ordinary shares Nature of change On market trade Part 2 - Change of director's interests in contracts"),
     )
     return extract_notices(c.select(F.col("c_custkey").alias("doc_id"), text.alias("text"))).drop("dates_stated")
+
+
+# ---------------------------------------------------------------- more lookups, loads and reviews
+
+
+@query(f"""WITH {ORDERS_SQL}, a AS (SELECT o_custkey, order_day, price, row_number() OVER (PARTITION BY o_custkey ORDER BY order_day, o_orderkey) AS nr FROM od),
+ s AS (SELECT o_custkey, price FROM a WHERE nr = 1), i AS (SELECT o_custkey, CASE WHEN o_custkey % 4 = 0 THEN CAST(price + 1 AS DECIMAL(18,2)) ELSE price END AS price FROM a WHERE nr = 1 AND o_custkey % 2 = 0 UNION ALL SELECT o_custkey + 1000000, price FROM a WHERE nr = 2)
+ SELECT i.o_custkey, CASE WHEN s.o_custkey IS NULL THEN 'insert' WHEN s.price = i.price THEN 'same' ELSE 'conflict' END AS outcome FROM i LEFT JOIN s USING (o_custkey)""")
+def record_anchor(spark, sf):
+    """New anchors: insert, same again, or in conflict with a stored figure."""
+    nr = F.row_number().over(Window.partitionBy("o_custkey").orderBy("order_day", "o_orderkey"))
+    a = orders(spark, sf).withColumn("nr", nr)
+    stored = a.where("nr = 1").select("o_custkey", "price")
+    first = a.where("nr = 1 and o_custkey % 2 = 0").select("o_custkey", F.when(F.col("o_custkey") % 4 == 0, F.col("price") + 1).otherwise(F.col("price")).cast("decimal(18,2)").alias("price"))
+    new = first.unionByName(a.where("nr = 2").select((F.col("o_custkey") + 1000000).alias("o_custkey"), "price"))
+    return E.record_anchor(stored, new, ["o_custkey"], "price").select("o_custkey", "outcome")
+
+
+@query(f"""WITH {ORDERS_SQL}, d AS (SELECT DISTINCT date_trunc('month', order_day) AS m, o_custkey FROM od), p AS (SELECT c_custkey, CAST(DATE '1998-01-15' + CAST(c_custkey % 300 AS INTEGER) AS DATE) AS day FROM customer)
+ SELECT p.c_custkey, p.day, CAST((SELECT max(m) FROM d WHERE d.o_custkey = p.c_custkey AND m <= p.day) AS DATE) AS newest FROM p""")
+def asof_membership(spark, sf):
+    """The newest month of each customer that began at or before its day."""
+    m = orders(spark, sf).select(F.col("o_custkey").alias("c_custkey"), F.to_date(F.date_trunc("month", "order_day")).alias("newest")).distinct().withColumn("begun", F.col("newest"))
+    p = table(spark, sf, "customer").select("c_custkey", F.date_add(_day("1998-01-15"), (F.col("c_custkey") % 300).cast("int")).alias("day"))
+    return P.as_of_join(p, m.withColumn("tie", F.col("newest")), ["c_custkey"], "day", "begun", ["newest"], "tie")
+
+
+@query(f"""WITH {ORDERS_SQL}, t AS (SELECT c_custkey % 100 AS ticker, c_custkey AS entity FROM customer WHERE c_custkey < 130), h AS (SELECT DISTINCT s_suppkey % 120 AS ticker FROM supplier UNION SELECT n_nationkey * 3 FROM nation),
+ u AS (SELECT ticker, CASE WHEN count(DISTINCT entity) = 1 THEN min(entity) END AS entity FROM t GROUP BY 1) SELECT h.ticker, u.entity, u.entity IS NULL AS unresolved FROM h LEFT JOIN u ON u.ticker = h.ticker""")
+def index_load(spark, sf):
+    """Tickers of an index with their entity; unresolved ones are kept and reported."""
+    t = table(spark, sf, "customer").where("c_custkey < 130").select((F.col("c_custkey") % 100).alias("ticker"), F.col("c_custkey").alias("entity"))
+    h = table(spark, sf, "supplier").select((F.col("s_suppkey") % 120).alias("ticker")).union(table(spark, sf, "nation").select((F.col("n_nationkey") * 3).cast("long"))).distinct()
+    return I.unique_match(h, t, "ticker", "entity", "found").select("ticker", F.col("found").alias("entity"), F.col("found").isNull().alias("unresolved"))
+
+
+@query(f"""WITH {ORDERS_SQL}, {_CUSTOMER_CAP}, l AS (SELECT o_custkey AS entity, 'C' || CAST(o_custkey AS VARCHAR) AS code FROM od GROUP BY 1 HAVING min(order_day) <= DATE '1998-06-30' AND max(order_day) >= DATE '1998-06-30'),
+ n AS (SELECT o_custkey AS entity, CASE WHEN count(*) FILTER (WHERE o_orderpriority = '1-URGENT') = 1 THEN max(o_orderpriority) FILTER (WHERE o_orderpriority = '1-URGENT') || CAST(max(o_orderkey) FILTER (WHERE o_orderpriority = '1-URGENT') AS VARCHAR) WHEN count(*) = 1 THEN max(o_orderpriority || CAST(o_orderkey AS VARCHAR)) END AS name FROM od WHERE order_day <= DATE '1998-06-30' AND order_day + 300 >= DATE '1998-06-30' GROUP BY 1),
+ j AS (SELECT l.entity, l.code, n.name, cap.cap AS market_cap, CASE WHEN l.entity % 3 = 0 AND l.entity % 2 = 0 THEN 'in_review' ELSE 'resolved' END AS identity FROM l LEFT JOIN n USING (entity) LEFT JOIN cap ON c_custkey = l.entity)
+ SELECT entity, code, name, market_cap, identity, CASE WHEN market_cap IS NOT NULL THEN rank() OVER (ORDER BY market_cap DESC NULLS LAST) END AS cap_rank FROM j""")
+def universe_export(spark, sf):
+    """The universe on a day: code, name (single or blank), capitalisation and its rank, identity."""
+    o = orders(spark, sf)
+    listings = o.groupBy(F.col("o_custkey").alias("entity")).agg(F.min("order_day").alias("valid_from"), F.max("order_day").alias("valid_to")).withColumn("code", F.concat(F.lit("C"), F.col("entity").cast("string")))
+    names = o.select(F.col("o_custkey").alias("entity"), F.concat("o_orderpriority", F.col("o_orderkey").cast("string")).alias("name"), F.when(F.col("o_orderpriority") == "1-URGENT", "legal").otherwise("other").alias("name_kind"), F.col("order_day").alias("valid_from"), F.date_add("order_day", 300).alias("valid_to"))
+    figures = _caps(spark, sf).select(F.col("c_custkey").alias("entity"), F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("code"), F.col("cap").alias("market_cap"), F.lit("s").alias("sector"), _day("1998-01-01").alias("as_at"))
+    entities = table(spark, sf, "customer").select(F.col("c_custkey").alias("entity"), F.when(F.col("c_custkey") % 3 != 0, "a").alias("acn"), F.when(F.col("c_custkey") % 2 != 0, "b").alias("arbn"))
+    return S.universe(listings, names, figures, entities, "entity", "code", _day("1998-06-30")).select("entity", "code", "name", "market_cap", "identity", "cap_rank")
+
+
+@query(f"""WITH {EVENTS_SQL}, d AS (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'N' || CAST(event_id AS VARCHAR) END AS ann, 'k' || CAST(event_id AS VARCHAR) AS key, user_id AS ticker, ts, entity * 1000 + event_id % 3 AS ent FROM ev WHERE event_type = 'signup'),
+ c AS (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'N' || CAST(event_id - 1 AS VARCHAR) END AS ann, CASE WHEN event_id % 5 = 0 THEN 'k' || CAST(event_id - 2 AS VARCHAR) END AS key, user_id AS ticker, CASE WHEN event_id % 2 = 0 THEN ts END AS ts, entity * 1000 + event_id % 3 AS ent FROM ev WHERE event_type = 'purchase'),
+ ua AS (SELECT ann, min(event_id) AS i FROM d WHERE ann IS NOT NULL GROUP BY 1 HAVING count(*) = 1), uk AS (SELECT key, min(event_id) AS i FROM d GROUP BY 1 HAVING count(*) = 1), ut AS (SELECT ticker, min(event_id) AS i FROM d GROUP BY 1 HAVING count(*) = 1), ue AS (SELECT ent, min(event_id) AS i FROM d WHERE ent IS NOT NULL GROUP BY 1 HAVING count(*) = 1),
+ nd AS (SELECT c.event_id, d.event_id AS i, row_number() OVER (PARTITION BY c.event_id ORDER BY abs(epoch_us(c.ts) - epoch_us(d.ts)), d.event_id) AS nr FROM c JOIN d ON d.ticker = c.ticker AND CAST(c.ts AS DATE) = CAST(d.ts AS DATE)),
+ x AS (SELECT c.event_id AS capture_id, ua.i AS a, uk.i AS k, CASE WHEN c.ts IS NULL THEN ut.i END AS t, nd.i AS n, ue.i AS e FROM c LEFT JOIN ua ON ua.ann = c.ann LEFT JOIN uk ON uk.key = c.key LEFT JOIN ut ON ut.ticker = c.ticker LEFT JOIN ue ON ue.ent = c.ent LEFT JOIN nd ON nd.event_id = c.event_id AND nd.nr = 1)
+ SELECT capture_id, coalesce(a, k, t, n, e) AS detection_id, CASE WHEN a IS NOT NULL THEN 'announcement' WHEN k IS NOT NULL THEN 'key' WHEN t IS NOT NULL THEN 'ticker' WHEN n IS NOT NULL THEN 'ticker_day' WHEN e IS NOT NULL THEN 'content' ELSE 'standalone' END AS how FROM x""")
+def capture_matching(spark, sf):
+    """Files and their detections: number, key, only ticker, nearest of the day, content, or none."""
+    e = events(spark, sf).withColumn("ticker", F.col("user_id")).withColumn("entity_id", F.col("entity") * 1000 + F.col("event_id") % 3)
+    named = lambda p, k: F.concat(F.lit(p), (F.col("event_id") - k).cast("string"))
+    d = e.where("event_type = 'signup'").select(F.col("event_id").alias("detection_id"), F.when(F.col("event_id") % 10 == 0, named("N", 0)).alias("announcement"), named("k", 0).alias("key"), "ticker", F.col("ts").alias("lodged_at"), "entity_id")
+    c = e.where("event_type = 'purchase'").select(F.col("event_id").alias("capture_id"), F.when(F.col("event_id") % 4 == 0, named("N", 1)).alias("announcement"), F.when(F.col("event_id") % 5 == 0, named("k", 2)).alias("key"), "ticker", F.when(F.col("event_id") % 2 == 0, F.col("ts")).alias("lodged_at"), "entity_id")
+    return D.match_captures(c, d)
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'alert' WHEN event_id % 5 <> 0 THEN 'file' END AS source, CASE WHEN event_id % 3 = 0 AND event_id % 5 <> 0 AND event_id % 26 - 1 BETWEEN 0 AND 17 THEN 'file' END AS corroborated_by FROM events""")
+def lodgement_dating(spark, sf):
+    """When a document became public, and which source says so."""
+    e = table(spark, sf, "events")
+    at = F.col("ts").cast("timestamp")
+    alert = F.when(F.col("event_id") % 3 == 0, at)
+    made = F.when(F.col("event_id") % 5 != 0, F.timestamp_seconds(F.unix_timestamp(at) - (F.col("event_id") % 26 - 1) * 3600))
+    return e.select("event_id", D.lodgement(alert, made).alias("l")).select("event_id", "l.source", "l.corroborated_by")
+
+
+_NOTICE = "array<struct<qty_acquired:int,qty_disposed:int,held_before:int,held_after:int>>"
+
+
+@query("""WITH n AS (SELECT event_id, event_id % 7 AS a, event_id % 4 AS m FROM events)
+ SELECT event_id, CASE WHEN m = 1 THEN 1 ELSE 0 END + CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END AS n_errors, CASE WHEN m = 2 THEN 1 ELSE 0 END + CASE WHEN event_id % 13 <> 0 AND event_id % 3 = 0 THEN 1 ELSE 0 END AS n_warnings,
+ CASE WHEN m = 1 OR event_id % 11 = 0 OR event_id % 13 = 0 THEN 'review' WHEN m = 2 THEN 'review' ELSE 'validated' END AS status FROM n""")
+def notice_validation(spark, sf):
+    """Notices whose sums, names and dates are checked, scored and routed."""
+    k = F.col("event_id")
+    got, before = (k % 7).cast("int"), F.lit(100)
+    after = F.when(k % 4 == 1, before + got + 1).when(k % 4 == 2, None).otherwise(before + got).cast("int")
+    sec = F.array(F.struct(got.alias("qty_acquired"), F.lit(None).cast("int").alias("qty_disposed"), before.alias("held_before"), after.alias("held_after")))
+    day = F.when(k % 13 == 0, None).when(k % 3 == 0, "2024-01-01").otherwise("2024-01-18")
+    e = table(spark, sf, "events").select("event_id", F.when(k % 11 != 0, "Jo").alias("director_name"), day.alias("date_of_change"), F.lit(False).alias("is_final"), sec.alias("securities"), _day("2024-01-20").alias("lodged"))
+    out = R.evaluate(R.validate_notices(e, "lodged"))
+    return out.select("event_id", F.size("errors").cast("int").alias("n_errors"), F.size("warnings").cast("int").alias("n_warnings"), "status")
+
+
+@query("""WITH r AS (SELECT event_id AS doc_id, event_id % 3 + 1 AS v FROM events WHERE event_id < 3000)
+ SELECT doc_id, v AS version, 'P' || CAST(k AS VARCHAR) AS person, CAST(doc_id + k AS BIGINT) AS qty_acquired, CASE WHEN v = 1 THEN 'contradicted' ELSE 'unverified' END AS corroboration, CASE WHEN v = 1 THEN 'arithmetic: x' WHEN v = 2 THEN 'late' ELSE 'routed to review with no validator finding recorded' END AS because
+ FROM r, (SELECT unnest([0, 1]) AS k) WHERE doc_id % 5 <> 0 AND NOT (k = 1 AND doc_id % 2 = 0)""")
+def uncorroborated(spark, sf):
+    """Readings under review: the newest version, through notices and securities, with the reasons."""
+    e = table(spark, sf, "events").where("event_id < 3000").withColumn("v", F.col("event_id") % 3 + 1)
+    sec = lambda k: F.struct(F.when((F.lit(k) == 1) & (F.col("event_id") % 2 == 0), "n/a").otherwise((F.col("event_id") + k).cast("string")).alias("qty_acquired"))
+    notice = lambda k: F.struct(F.lit(f"P{k}").alias("director_name"), F.lit("2024-01-05").alias("date_of_change"), F.array(sec(k)).alias("securities"))
+    full = F.to_json(F.struct(F.array(notice(0), notice(1)).alias("notices")))
+    empty = F.array().cast("array<string>")
+    said = F.when(F.col("v") == 1, F.array(F.lit("arithmetic: x"))).otherwise(empty)
+    warned = F.when(F.col("v") == 2, F.array(F.lit("late"))).otherwise(empty)
+    newest = e.select(F.col("event_id").alias("doc_id"), F.lit("p").alias("parser"), F.col("v").alias("version"), full.alias("payload"), said.alias("errors"), warned.alias("warnings"), empty.alias("disagreements"), F.lit(0.5).alias("confidence"))
+    older = newest.where("version > 1").withColumn("version", F.col("version") - 1).withColumn("payload", F.lit("{}"))
+    docs = e.select(F.col("event_id").alias("doc_id"), F.when(F.col("event_id") % 5 == 0, "validated").otherwise("review").alias("parse_status"), F.lit(1).alias("entity_id"), F.col("ts").alias("lodged_at"))
+    out = R.uncorroborated(newest.unionByName(older), docs)
+    return out.select("doc_id", "version", "person", F.col("qty_acquired").cast("long").alias("qty_acquired"), "corroboration", F.array_join("because", "; ").alias("because"))
+
+
+@query(f"""WITH i AS (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'p' || CAST(user_id % 5 AS VARCHAR) END AS parser, ts FROM events WHERE event_id % 97 = 0 AND event_id % 4 <> 0), p AS (SELECT DISTINCT 'p' || CAST(user_id % 7 AS VARCHAR) AS parser FROM events)
+ SELECT p.parser, coalesce(bool_or(i.ts < TIMESTAMP '{_NOW}' - INTERVAL 14 DAY AND i.event_id % 3 <> 0), false) AS halted FROM p LEFT JOIN i USING (parser) GROUP BY 1""")
+def halted_parsers(spark, sf):
+    """Parsers that an old open item stops."""
+    e = table(spark, sf, "events")
+    items = e.where("event_id % 97 = 0 and event_id % 4 != 0").select(F.concat(F.lit("p"), (F.col("user_id") % 5).cast("string")).alias("parser"), F.col("ts").alias("created_at"), F.when(F.col("event_id") % 3 == 0, F.col("ts")).alias("resolved_at"), F.lit("extraction").alias("kind"), F.col("event_id").alias("doc_id"))
+    parsers = e.select(F.concat(F.lit("p"), (F.col("user_id") % 7).cast("string")).alias("parser")).distinct()
+    return R.halted(items, parsers, F.lit(_NOW).cast("timestamp_ntz"))
+
+
+@query("""WITH r AS (SELECT conv_id, turn, role FROM conversations), n AS (SELECT conv_id, max(turn) AS v FROM r GROUP BY 1), h AS (SELECT DISTINCT conv_id FROM r WHERE role = 'system')
+ SELECT conv_id, v FROM n WHERE v < 5 AND conv_id NOT IN (SELECT conv_id FROM h)""")
+def reprocess_plan(spark, sf):
+    """What a new parser version would read again; what a human settled stays."""
+    c = table(spark, sf, "conversations")
+    r = c.select("conv_id", F.lit("p").alias("parser"), F.col("turn").alias("version"))
+    return R.reprocess_plan(r, 5, c.where("role = 'system'"), "conv_id").select("conv_id", F.col("version").alias("v"))
+
+
+@query(f"""WITH s AS (SELECT user_id, event_id, event_type, ts FROM events), f AS (SELECT user_id, event_type = 'error' AS terminal, row_number() OVER (PARTITION BY user_id ORDER BY event_type = 'error' DESC, ts DESC, event_id DESC) AS nr, event_type FROM s)
+ SELECT user_id, CASE WHEN event_type = 'error' THEN 'rejected' ELSE event_type END AS status FROM f WHERE nr = 1""")
+def lifecycle_status(spark, sf):
+    """The present status out of a log; a terminal one stays."""
+    e = table(spark, sf, "events").withColumn("status", F.when(F.col("event_type") == "error", "rejected").otherwise(F.col("event_type"))).withColumn("at", F.struct("ts", "event_id"))
+    return R.lifecycle(e, "user_id", "at", "status")
+
+
+@query(f"""WITH p AS (SELECT event_type, count(*) FILTER (WHERE ts >= TIMESTAMP '{_NOW}' - INTERVAL 8 DAY) AS rn, count(*) FILTER (WHERE ts >= TIMESTAMP '{_NOW}' - INTERVAL 8 DAY AND value < 30) AS rh, count(*) FILTER (WHERE ts < TIMESTAMP '{_NOW}' - INTERVAL 8 DAY AND ts >= TIMESTAMP '{_NOW}' - INTERVAL 16 DAY) AS pn, count(*) FILTER (WHERE ts < TIMESTAMP '{_NOW}' - INTERVAL 8 DAY AND ts >= TIMESTAMP '{_NOW}' - INTERVAL 16 DAY AND value < 30 AND event_id % 3 = 0) AS ph_, 0 AS z FROM events GROUP BY 1),
+ q AS (SELECT event_type, rn, rh, pn, (SELECT count(*) FROM events e WHERE e.event_type = p.event_type AND ts < TIMESTAMP '{_NOW}' - INTERVAL 8 DAY AND ts >= TIMESTAMP '{_NOW}' - INTERVAL 16 DAY AND value < 30) AS ph FROM p)
+ SELECT event_type, rn AS recent_n, rh AS recent_hit, pn AS prior_n, ph AS prior_hit, CASE WHEN rn < 10 OR pn < 10 THEN NULL WHEN rh / rn > 2 * (ph / pn) AND rh / rn > 0.1 THEN 'rose' WHEN ph / pn > 0.05 AND rh / rn < ph / pn / 3 THEN 'fell' END AS drift FROM q""")
+def monitor_routing_drift(spark, sf):
+    """Share of routed records of each parser now against the period before."""
+    p = Q.two_periods(table(spark, sf, "events"), "ts", F.lit(_NOW).cast("timestamp_ntz"), 8, 8, F.col("value") < 30, ["event_type"])
+    return p.withColumn("drift", Q.routing_drift(F.col("recent_n"), F.col("recent_hit"), F.col("prior_n"), F.col("prior_hit")))
+
+
+@query(f"""SELECT count(*) FILTER (WHERE event_type = 'signup' AND ts < TIMESTAMP '{_NOW}' - INTERVAL 24 HOUR) AS n, CAST(min(ts) FILTER (WHERE event_type = 'signup' AND ts < TIMESTAMP '{_NOW}' - INTERVAL 24 HOUR) AS DATE) AS oldest, count(*) FILTER (WHERE event_type = 'signup' AND ts < TIMESTAMP '{_NOW}' - INTERVAL 24 HOUR) > 0 AS alarm FROM events""")
+def monitor_stuck(spark, sf):
+    """How many wait longer than a day."""
+    return Q.stuck(table(spark, sf, "events"), "event_type", "ts", F.lit(_NOW).cast("timestamp_ntz"), "signup").withColumn("oldest", F.to_date("oldest"))
+
+
+@query(f"""WITH {ORDERS_SQL}, l AS (SELECT DISTINCT o_custkey FROM od WHERE order_day >= DATE '1998-06-01'), e AS (SELECT c_custkey, c_custkey % 20 = 0 AS missing, c_custkey % 100 = 0 AS fgn FROM customer WHERE c_custkey IN (SELECT o_custkey FROM l))
+ SELECT count(*) AS total, count(*) FILTER (WHERE missing AND NOT fgn) AS unidentified, round(count(*) FILTER (WHERE missing AND NOT fgn) / count(*), 9) AS rate, coalesce(count(*) FILTER (WHERE missing AND NOT fgn) / count(*) > 0.06, false) AS alarm FROM e""")
+def monitor_identity(spark, sf):
+    """Share of listed entities without a number."""
+    e = table(spark, sf, "customer").select(F.col("c_custkey").alias("entity"), F.when(F.col("c_custkey") % 20 != 0, "a").alias("acn"), F.lit(None).cast("string").alias("arbn"), F.when(F.col("c_custkey") % 100 == 0, "foreign").otherwise("company").alias("entity_kind"))
+    l = orders(spark, sf).where(F.col("order_day") >= _day("1998-06-01")).select(F.col("o_custkey").alias("entity"), F.lit(None).cast("date").alias("valid_to"))
+    return Q.identity_rate(e, l, "entity").withColumn("rate", F.round("rate", 9))
+
+
+@query("""WITH p AS (SELECT user_id AS load_id, event_id AS part_no, sha256(event_type || CAST(user_id % 20 AS VARCHAR)) AS h FROM events WHERE event_id < 400), l AS (SELECT load_id, list(h ORDER BY part_no) AS d, load_id % 2 AS source FROM p GROUP BY load_id)
+ SELECT load_id, source, first_value(load_id) OVER (PARTITION BY source, d ORDER BY load_id) <> load_id AS is_repeat FROM l""")
+def load_repeats(spark, sf):
+    """Loads of content that was loaded before."""
+    from ..sources.state import load_state
+
+    parts = table(spark, sf, "events").where("event_id < 400").select(F.col("user_id").alias("load_id"), F.col("event_id").alias("part_no"), F.sha2(F.concat("event_type", (F.col("user_id") % 20).cast("string")).cast("binary"), 256).alias("sha256"))
+    loads = parts.select("load_id").distinct().withColumn("source", F.col("load_id") % 2)
+    return load_state(loads, parts).select("load_id", "source", "is_repeat")
+
+
+# ---------------------------------------------------------------- registers, escrow, chains
+
+
+@query("""WITH h AS (SELECT l_partkey, l_suppkey, CAST(sum(l_quantity) AS BIGINT) AS q FROM lineitem GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY q DESC, l_suppkey) AS nr, sum(q) OVER (PARTITION BY l_partkey) AS t FROM h)
+ SELECT l_partkey, count(*) AS n_holders, round(sum(q) FILTER (WHERE nr <= 5) / max(t), 9) AS top_5_share, round(sum(q) FILTER (WHERE nr <= 20) / max(t), 9) AS top_20_share FROM r GROUP BY 1""")
+def register_concentration(spark, sf):
+    """What the five and the twenty largest holders have."""
+    h = table(spark, sf, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").cast("long").alias("q"))
+    h = h.withColumn("t", F.sum("q").over(Window.partitionBy("l_partkey")))
+    return G.concentration(h, ["l_partkey"], "l_suppkey", "q", "t").withColumn("top_5_share", F.round("top_5_share", 9)).withColumn("top_20_share", F.round("top_20_share", 9))
+
+
+@query("""WITH a AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_shipdate < DATE '1998-01-01'), b AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_shipdate >= DATE '1998-01-01')
+ SELECT coalesce(a.l_partkey, b.l_partkey) AS l_partkey, count(*) FILTER (WHERE a.l_partkey IS NULL) AS entered, count(*) FILTER (WHERE b.l_partkey IS NULL) AS left, count(*) FILTER (WHERE a.l_partkey IS NOT NULL AND b.l_partkey IS NOT NULL) AS stayed FROM a FULL JOIN b ON a.l_partkey = b.l_partkey AND a.l_suppkey = b.l_suppkey GROUP BY 1""")
+def register_churn(spark, sf):
+    """Holders that came, went and stayed."""
+    l = table(spark, sf, "lineitem")
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    return G.churn(l.where(F.col("l_shipdate") < cut), l.where(F.col("l_shipdate") >= cut), ["l_partkey"], "l_suppkey")
+
+
+@query("""WITH s AS (SELECT l_partkey, DATE '1998-06-30' AS as_of, CAST(sum(l_quantity) AS BIGINT) AS outstanding FROM lineitem GROUP BY 1), k AS (SELECT l_partkey, CAST(l_quantity AS BIGINT) AS q, CAST(l_shipdate AS DATE) AS f, CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_shipdate AS DATE) + 180 END AS r FROM lineitem WHERE l_returnflag = 'A'),
+ h AS (SELECT s.l_partkey, sum(q) AS locked FROM s JOIN k USING (l_partkey) WHERE f <= as_of AND (r IS NULL OR r > as_of) GROUP BY 1)
+ SELECT s.l_partkey, s.as_of, outstanding, CAST(coalesce(locked, 0) AS BIGINT) AS locked, CAST(outstanding - coalesce(locked, 0) AS BIGINT) AS float_shares, CASE WHEN s.l_partkey IN (SELECT l_partkey FROM k) THEN '' ELSE 'no_escrow_data' END AS flags FROM s LEFT JOIN h USING (l_partkey)""")
+def escrow_float(spark, sf):
+    """Free float: shares less what is locked on the day."""
+    l = table(spark, sf, "lineitem").withColumn("f", F.to_date("l_shipdate"))
+    shares = l.groupBy("l_partkey").agg(F.sum("l_quantity").cast("long").alias("outstanding")).withColumn("as_of", _day("1998-06-30"))
+    locked = l.where("l_returnflag = 'A'").select("l_partkey", F.col("l_quantity").cast("long").alias("quantity"), F.col("f").alias("locked_from"), F.when(F.col("l_linenumber") != 7, F.date_add("f", 180)).alias("release_date"))
+    return G.float_series(shares, locked, ["l_partkey"]).select("l_partkey", "as_of", "outstanding", "locked", "float_shares", F.array_join("coverage_flags", "|").alias("flags"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT p_partkey AS c, p_partkey // 3 AS p FROM part WHERE p_partkey > 0), t AS (SELECT c AS child, p AS ancestor, 1 AS depth FROM e UNION ALL SELECT t.child, e.p, depth + 1 FROM t JOIN e ON e.c = t.ancestor) SELECT child, ancestor, depth FROM t""")
+def owner_chains(spark, sf):
+    """All owners above each entity, with how far above."""
+    e = table(spark, sf, "part").where("p_partkey > 0").select(F.col("p_partkey").alias("c"), F.floor(F.col("p_partkey") / 3).alias("p"))
+    return G.owners(e, "c", "p")
+
+
+@query("""SELECT s_nationkey, s_suppkey % 4 AS kind, round(sum(s_acctbal * CASE s_suppkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 1000 END) FILTER (WHERE s_suppkey % 4 IN (0, 1) AND s_suppkey % 3 <> 2), 4) AS total, count(*) FILTER (WHERE s_suppkey % 4 IN (0, 1) AND s_suppkey % 3 <> 2) AS n_used, count(*) FILTER (WHERE NOT (s_suppkey % 4 IN (0, 1) AND s_suppkey % 3 <> 2)) AS n_left_out FROM supplier GROUP BY 1, 2""")
+def category_sums(spark, sf):
+    """Sums of allowed categories and known units; the rest is counted."""
+    s = table(spark, sf, "supplier").withColumn("kind", F.col("s_suppkey") % 4).withColumn("unit", F.element_at(F.array(F.lit("kg"), F.lit("t"), F.lit("oz?")), (F.col("s_suppkey") % 3 + 1).cast("int")))
+    return G.category_sums(s, ["s_nationkey"], "kind", "s_acctbal", "unit", {"kg": 1.0, "t": 1000.0}, [0, 1]).withColumn("total", F.round("total", 4))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,3 +20,15 @@ def session(name: str = "pitlake", **settings: str) -> SparkSession:
     for key, value in (SETTINGS | {k.replace("__", "."): v for k, v in settings.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed and written to the checkpoint folder, so loops don't repeat what led to it.
+
+    The folder is the session's ``spark.checkpoint.dir``; a temporary one only where none is set.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pitlake-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
