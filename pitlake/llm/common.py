@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch.  Documents may be long, so batches stay short.
-BATCH_ROWS = 500
+BATCH_ROWS = 250
 U64 = np.uint64
 
 
@@ -25,7 +25,7 @@ def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) != rows:
         spark.conf.set(key, str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,9 +50,12 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and read it again; this cuts its lineage."""
+        """Write ``df`` and read it again; this cuts its lineage.
+
+        At most eight files for each core of the cluster: more tasks don't help, and each file costs.
+        """
         schema = df.schema
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.coalesce(8 * self.spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, WordHashes, lower_words, mix, release, shingle_set, short_batches, signed, table
-from .idfilter import hits, id_filter, passes
+from .common import U64, Scratch, WordHashes, lower_words, mix, release, row_count_at_most, shingle_set, short_batches, signed, table
+from .idfilter import hits, id_filter
 
 K = 64
 #: Shingles in one block, where each class counts BLOCK_ROW more than it has.
@@ -40,6 +40,8 @@ BLOCK = 600_000
 BLOCK_ROW = 2000
 WIDTH = 5
 THRESHOLD = 80  # per cent
+#: Ids that may be broadcast.
+BROADCAST_IDS = 500_000
 
 
 def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
@@ -281,21 +283,22 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD)
     """The rows of ``docs`` without near copies: of each group the row with the smallest doc_id stays.
 
     Of rows that repeat a doc_id the one with the smallest text (null first) stays; rows with a
-    null doc_id all stay.  Only the texts of documents that go or come twice are shuffled.
+    null doc_id all stay.  The ids that go are broadcast if they are at most ``BROADCAST_IDS``,
+    so the texts aren't shuffled; more are joined.
     """
     scratch = Scratch(docs.sparkSession, "one")
-    found = near_duplicates(docs, width, threshold)
-    gone = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("rows")).where("doc_id is not null and (not kept or rows > 1)")
-    gone = scratch.stage(gone, "gone")
+    found = near_duplicates(docs, width, threshold).where("doc_id is not null")
+    found = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("rows")).where("not kept or rows > 1")
+    found = scratch.stage(found, "found")
     names = docs.columns
-    some = id_filter(gone, "doc_id")
-    rows = docs.select(F.col("doc_id").alias("__id"), *names)  # the filter looks at the first column
-    sure = passes(rows, some, keep=False)
-    maybe = passes(rows, some).join(gone.select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"), F.col("rows").alias("__rows")), "__id", "left")
-    maybe = maybe.where("__kept is null or __kept")
-    nr = F.row_number().over(Window.partitionBy("__id").orderBy("text"))
-    maybe = maybe.withColumn("__nr", F.when(F.col("__rows") > 1, nr).otherwise(1)).where("__nr = 1")
-    return sure.select(*names).unionByName(maybe.select(*names))
+    checked = lambda ids: F.broadcast(ids) if row_count_at_most(ids, BROADCAST_IDS) else ids
+    out = docs.join(checked(found.where("not kept").select("doc_id")), "doc_id", "left_anti").select(*names)
+    twice = found.where("kept").select("doc_id")
+    if twice.isEmpty():
+        return out
+    nr = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    several = out.join(checked(twice), "doc_id", "left_semi").withColumn("__nr", nr).where("__nr = 1").select(*names)
+    return out.join(checked(twice), "doc_id", "left_anti").select(*names).unionByName(several)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
