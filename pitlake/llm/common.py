@@ -52,10 +52,12 @@ class Scratch:
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it again; this cuts its lineage.
 
-        At most eight files for each core of the cluster: more tasks don't help, and each file costs.
+        At most eight files for each core of the cluster, or a quarter of the shuffle partitions
+        where that is more: beyond that more tasks don't help, and each file costs.
         """
         schema = df.schema
-        df.coalesce(8 * self.spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(self.path(name))
+        most = max(8 * self.spark.sparkContext.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+        df.coalesce(most).write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

@@ -174,6 +174,8 @@ class Page:
             if any(self.nodes[n][2] or self.nodes[n][0] in removed for n in around):
                 continue
             out.append(text)
+        if not out and removed:  # a site of one page many times: what repeats is the article
+            return self.text(set())
         return "\n\n".join(out)
 
 

@@ -394,6 +394,8 @@ def test_site_style_tree_removes_what_repeats(spark):
     assert out[3, "http://a.example/x"] == prose(30, 3) + "\n\n" + prose(20, 102)
     assert out[50, "http://b.example/"].startswith("Always the same words") and out[51, None] == "" and out[None, ""] == ""
     assert html_extract.extract(df.limit(0)).count() == 0
+    copies = spark.createDataFrame([(k, "http://c.example/x", page(1)) for k in range(20)], "page_id long, url string, html string")
+    assert all(prose(30, 1) in r["text"] for r in html_extract.extract(copies).collect())
 
 
 def test_pages_keep_their_articles(spark, sf):
