@@ -634,7 +634,8 @@ def detection_keys(spark, sf):
     return e.groupBy("key").agg(F.min("event_id").alias("first_event"), F.count("*").alias("seen"))
 
 
-@query()
+@query("""SELECT c_custkey AS doc_id, 0 AS form_nr, 'app_3y' AS form, c_name AS entity_name, 'Jo ' || c_mktsegment AS director_name, CAST(DATE '2024-06-01' + CAST(c_custkey % 28 AS INTEGER) AS DATE) AS date_of_change, 'stated' AS date_basis, 'direct' AS interest_nature, NULL::VARCHAR AS indirect_detail,
+ 'Ordinary shares' AS security_class, 5000::BIGINT AS qty_acquired, NULL::BIGINT AS qty_disposed, 'On market trade' AS consideration_text, abs(c_acctbal) AS consideration_aud, c_custkey + 100000 AS held_before, c_custkey + 105000 AS held_after, false AS scrambled FROM customer""")
 def form_extract(spark, sf):
     """Notices read from forms composed out of customers and their balances."""
     c = table(spark, sf, "customer")
