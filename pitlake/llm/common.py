@@ -39,6 +39,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def few(df: DataFrame) -> DataFrame:
+    """``df`` in at most eight partitions for each core of the cluster, or a quarter of the shuffle
+    partitions where that is more: beyond that more tasks don't help, and each file costs."""
+    spark = df.sparkSession
+    return df.coalesce(max(8 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4))
+
+
 class Scratch:
     """Tables of one run, written to the shared folder so that later stages survive lost executors."""
 
@@ -50,14 +57,9 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and read it again; this cuts its lineage.
-
-        At most eight files for each core of the cluster, or a quarter of the shuffle partitions
-        where that is more: beyond that more tasks don't help, and each file costs.
-        """
+        """Write ``df`` and read it again; this cuts its lineage."""
         schema = df.schema
-        most = max(8 * self.spark.sparkContext.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-        df.coalesce(most).write.mode("overwrite").parquet(self.path(name))
+        few(df).write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

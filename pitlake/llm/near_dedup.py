@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, WordHashes, lower_words, mix, release, row_count_at_most, shingle_set, short_batches, signed, table
+from .common import U64, Scratch, WordHashes, few, lower_words, mix, release, row_count_at_most, shingle_set, short_batches, signed, table
 from .idfilter import hits, id_filter
 
 K = 64
@@ -302,4 +302,4 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), width=4)
+    return few(near_duplicates(table(spark, sf_dir, "documents"), width=4))

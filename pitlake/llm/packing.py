@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import short_batches, table
 from .tokens import default_vocabulary, encoder
@@ -123,13 +124,14 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 1, vocabulary:
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         encode = encoder(vocabulary)
-        sequence = TaskContext.get().partitionId() << 32
+        sequence = None
 
         def documents():
+            nonlocal sequence
             for batch in batches:
+                if sequence is None and batch.num_rows:
+                    sequence = batch.column(2)[0].as_py() << 32
                 for doc, payload in zip(batch.column(0).to_pylist(), encode.payloads(batch.column(1).to_pylist())):
                     yield doc, payload + end
 
@@ -147,7 +149,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 1, vocabulary:
             yield _batch(rows)
 
     short_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    # the number of the partition comes with its rows: a task may hold several partitions
+    return docs.select("doc_id", "text", F.spark_partition_id().alias("__part")).mapInArrow(run, SCHEMA)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

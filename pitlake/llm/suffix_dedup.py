@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, mix, release, short_batches, table
+from .common import U64, Scratch, few, mix, release, short_batches, table
 from .idfilter import hits, id_filter, passes
 
 LENGTH = 100
@@ -537,4 +537,4 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(table(spark, sf_dir, "documents"))
+    return few(digests(table(spark, sf_dir, "documents")))

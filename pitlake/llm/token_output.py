@@ -178,15 +178,14 @@ def write_shards(docs: DataFrame, out: str, end_id: int = 0, vocabulary: str | N
     kind = {2: "<u2", 4: "<u4"}[width]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        shard = TaskContext.get().partitionId()
-        encode, ids = encoder(vocabulary), None
+        encode, ids, shard = encoder(vocabulary), None, None
         keys, hashes, lengths, last, again = [], [], [], (), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = ids or _Writer(f"{out}/{shard:06d}.ids")
+            if ids is None:
+                shard = batch.column(2)[0].as_py()
+                ids = _Writer(f"{out}/{shard:06d}.ids")
             column = batch.column(0).to_pylist()
             for key, payload in zip(column, encode.payloads(batch.column(1).to_pylist())):
                 payload += end
@@ -210,7 +209,8 @@ def write_shards(docs: DataFrame, out: str, end_id: int = 0, vocabulary: str | N
 
     short_batches(docs.sparkSession)
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    return ordered.mapInArrow(run, "shard long, n_docs long, n_tokens long")
+    # the number of the partition comes with its rows: a task may hold several partitions
+    return ordered.select("doc_id", "text", F.spark_partition_id().alias("__part")).mapInArrow(run, "shard long, n_docs long, n_tokens long")
 
 
 def read_shards(manifest: DataFrame, out: str) -> DataFrame:

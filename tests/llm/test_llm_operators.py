@@ -113,6 +113,13 @@ def test_packing(docs, rows):
     assert sum(f < 2048 for f in fills) <= 3  # one window a partition
 
 
+def test_partitions_of_one_task_keep_their_numbers(spark, rows):
+    many = table(spark, rows).repartition(7)
+    check_packing(packing.pack(many).coalesce(2).collect(), rows)
+    out = Scratch(spark, "t6").path("shards")
+    assert len({r["shard"] for r in token_output.write_shards(many, out).coalesce(1).collect()}) >= 2
+
+
 def test_packing_closes_windows_beyond_its_bound(docs, rows):
     check_packing(packing.pack(docs.coalesce(1), max_open=2).collect(), rows)
 
