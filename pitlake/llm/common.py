@@ -26,6 +26,7 @@ def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     if int(spark.conf.get(key, "10000")) != rows:
         spark.conf.set(key, str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")  # texts may be long there too
 
 
 def shared_dir(spark: SparkSession) -> str:

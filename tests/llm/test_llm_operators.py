@@ -117,7 +117,8 @@ def test_partitions_of_one_task_keep_their_numbers(spark, rows):
     many = table(spark, rows).repartition(7)
     check_packing(packing.pack(many).coalesce(2).collect(), rows)
     out = Scratch(spark, "t6").path("shards")
-    assert len({r["shard"] for r in token_output.write_shards(many, out).coalesce(1).collect()}) >= 2
+    manifest = token_output.write_shards(table(spark, [(i, "a") for i in range(2000)]), out).coalesce(1).collect()
+    assert sum(r["n_docs"] for r in manifest) == 2000 and len({r["shard"] for r in manifest}) == len(manifest)
 
 
 def test_packing_closes_windows_beyond_its_bound(docs, rows):
