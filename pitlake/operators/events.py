@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .temporal import as_of_join
+
 #: Exact quantities of the replay.
 QUANTITY = "decimal(38,10)"
 
@@ -59,7 +61,10 @@ def greedy_windows(rows: DataFrame, entity: str, day: str, person: str, days: in
 def clusters(rows: DataFrame, entity: str, day: str, person: str, row_id: str, amount: str, knowable: str, days: int = 30, least: int = 2) -> DataFrame:
     """Windows with what is in them: persons, total, ids, and when the last of it became knowable."""
     windows = greedy_windows(rows, entity, day, person, days, least)
-    inside = windows.join(rows, entity).where(F.col(day).between(F.col("window_start"), F.col("window_end")))
+    # windows of an entity don't overlap, so a row's window is the last that began by its day:
+    # carried along the time line instead of meeting every window with every row
+    marks = windows.select(entity, F.col("window_start").alias("__begins"), "window_start", "window_end")
+    inside = as_of_join(rows, marks, [entity], day, "__begins", ["window_start", "window_end"], "window_end").where(F.col(day) <= F.col("window_end"))
     return inside.groupBy(entity, "window_start", "window_end").agg(
         F.count_distinct(person).alias("n_persons"),
         F.sum(F.coalesce(F.col(amount), F.lit(0))).alias("total_amount"),
