@@ -37,7 +37,7 @@ SCHEMA = "doc_id long, start long, length long, rule string, secret_sha256 strin
 
 #: Fixed shapes of well-known credentials.
 _SHAPES = [
-    ("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]{0,20000}-----END [A-Z ]{0,20}PRIVATE KEY-----)?"),
+    ("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*+-----END [A-Z ]{0,20}PRIVATE KEY-----)?"),
     ("cloud_key_id", r"(?<![A-Za-z0-9])(?:AKIA|ASIA|AGPA|AIDA|AROA|ANPA)[A-Z0-9]{16}(?![A-Za-z0-9])"),
     ("code_host_token", r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,}|glpat-[A-Za-z0-9_\-]{20,})"),
     ("chat_token", r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -45,8 +45,8 @@ _SHAPES = [
     ("web_token", r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}"),
     ("url_password", r"(?<=://)[^\s/:@\"']{1,64}:[^\s/@\"']{3,128}(?=@)"),
 ]
-_ASSIGNED = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)\w{0,16}[\"']?\s{0,3}(?:[:=]|=>)\s{0,3}[\"']?(?P<value>[^\s\"'<>(){},;#&$%*|!]{6,256})"
-_LONG = r"(?<![A-Za-z0-9+/_\-=.])(?=[A-Za-z+/_\-=.]{0,64}[0-9])[A-Za-z0-9+/_\-=.]{16,512}"
+_ASSIGNED = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)\w{0,16}[\"']?\s{0,3}(?:[:=]|=>)\s{0,3}[\"']?(?P<value>[^\s\"'<>(){},;#&$%*|!]{6,})"
+_LONG = r"(?<![A-Za-z0-9+/_\-=.])(?=[A-Za-z+/_\-=.]*+[0-9])[A-Za-z0-9+/_\-=.]{16,}"
 _FIND = re.compile("|".join([*(f"(?P<{n}>{p})" for n, p in _SHAPES), f"(?P<assigned>{_ASSIGNED})", f"(?P<long>{_LONG})"])).finditer
 #: A text without any of these has no candidate.
 _WORTH = re.compile(r"[A-Za-z0-9+/_\-=.]*[0-9][A-Za-z0-9+/_\-=.]{4}|(?i:passw|passwd|pwd|secret|token|key|credential|auth)|-----BEGIN|://").search
