@@ -336,7 +336,7 @@ _RUN = "to int, n int, run binary, doc_ids binary, ats binary, befores binary, a
 
 
 def sorted_runs(marked: DataFrame, receivers: int, length: int, gram: int) -> DataFrame:
-    """``marked``: doc_id, text, ats.  Front-coded sorted runs for each receiver, and spans settled already (to is null)."""
+    """``marked``: doc_id, text, ats.  Front-coded sorted runs for each receiver, and spans settled already (n is negative)."""
 
     def flush(held: list) -> Iterator[dict]:
         rows, before, after, at, doc = (np.concatenate(x) for x in zip(*held))
@@ -346,7 +346,7 @@ def sorted_runs(marked: DataFrame, receivers: int, length: int, gram: int) -> Da
         first, later = _settle_equal(rows, common_prefixes(rows), doc, at, before, after)
         spans = _spans(doc[later], at[later], before[later], after[later], length)
         if spans is not None:
-            yield {"to": None, "n": spans.num_rows, "run": b"", "doc_ids": spans["doc_id"].to_numpy().tobytes(), "ats": b"", "befores": spans["begin"].to_numpy().tobytes(), "afters": spans["stop"].to_numpy().tobytes()}
+            yield {"to": len(rows) % receivers, "n": -spans.num_rows, "run": b"", "doc_ids": spans["doc_id"].to_numpy().tobytes(), "ats": b"", "befores": spans["begin"].to_numpy().tobytes(), "afters": spans["stop"].to_numpy().tobytes()}
         rows, before, after, at, doc = rows[first], before[first], after[first], at[first], doc[first]
         if not len(rows):
             return
@@ -421,6 +421,9 @@ def merged_spans(runs: DataFrame, length: int, gram: int) -> DataFrame:
         held, to = [], None
         for batch in batches:
             for row in batch.to_pylist():
+                if row["n"] < 0:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row[c], "<i8")) for c in ("doc_ids", "befores", "afters")], names=["doc_id", "begin", "stop"])
+                    continue
                 if row["to"] != to:
                     if held:
                         yield from settle(held)
@@ -429,16 +432,7 @@ def merged_spans(runs: DataFrame, length: int, gram: int) -> DataFrame:
         if held:
             yield from settle(held)
 
-    return runs.where("to is not null").repartition("to").sortWithinPartitions("to").mapInArrow(run, _SPAN)
-
-
-def _settled(runs: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for d, b, s in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, "<i8")) for x in (d, b, s)], names=["doc_id", "begin", "stop"])
-
-    return runs.where("to is null").select("doc_ids", "befores", "afters").mapInArrow(run, _SPAN)
+    return runs.repartition("to").sortWithinPartitions("to").mapInArrow(run, _SPAN)
 
 
 def merge_spans(spans: DataFrame) -> DataFrame:
@@ -458,11 +452,11 @@ def removed_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram:
     marks = repeated_anchors(anchor_rows(docs, length, gram)).groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
     marks = scratch.stage(marks, "marks")
     some = id_filter(marks, "doc_id")
-    runs = scratch.stage(sorted_runs(passes(docs.select("doc_id", "text"), some).join(marks, "doc_id"), receivers, length, gram), "runs")
-    scratch.drop("marks")
     release(spark)
-    out = scratch.stage(merge_spans(merged_spans(runs, length, gram).unionByName(_settled(runs))), "spans")
-    scratch.drop("runs")
+    runs = sorted_runs(passes(docs.select("doc_id", "text"), some).join(marks, "doc_id"), receivers, length, gram)
+    out = scratch.stage(merge_spans(merged_spans(runs, length, gram)), "spans")
+    scratch.drop("marks")
+    del runs
     release(spark)
     return out
 
