@@ -130,3 +130,11 @@ def test_state_round_trip(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "raw")).count() == 1
     SF.write_csv(df, str(tmp_path / "csv"), ["id"])
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 2
+
+
+def test_pluggable_source(spark):
+    from pitlake.sources import announcements as A
+
+    A.register(spark)
+    rows = spark.read.format("announcements").option("source", "pitlake.sources.announcements:example").option("parts", 3).load()
+    assert rows.count() == 6 and rows.where("lodged_at is null and ticker = 'RNG'").count() == 6
