@@ -31,7 +31,7 @@ def default_vocabulary() -> str:
 class Encoder:
     """``payloads(texts)``: for each text its ids as little-endian unsigned 32-bit integers."""
 
-    LIMIT = 600_000  # pre-tokens kept
+    LIMIT = 1_000_000  # pre-tokens kept
     TOGETHER = 500  # new pre-tokens in one call, a line each
 
     def __init__(self, vocabulary: str):
