@@ -45,11 +45,13 @@ _SHAPES = [
     ("web_token", r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}"),
     ("url_password", r"(?<=://)[^\s/:@\"']{1,64}:[^\s/@\"']{3,128}(?=@)"),
 ]
-_ASSIGNED = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)\w{0,16}[\"']?\s{0,3}(?:[:=]|=>)\s{0,3}[\"']?(?P<value>[^\s\"'<>(){},;#&$%*|!]{6,})"
-_LONG = r"(?<![A-Za-z0-9+/_\-=.])(?=[A-Za-z+/_\-=.]*+[0-9])[A-Za-z0-9+/_\-=.]{16,}"
+_NAME = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)"
+_ASSIGNED = rf"{_NAME}\w{{0,16}}[\"']?\s{{0,3}}(?:[:=]|=>)\s{{0,3}}[\"']?(?P<value>[^\s\"'<>(){{}},;#&$%*|!]{{6,}})"
+_LONG_HEAD = r"(?<![A-Za-z0-9+/_\-=.])(?=[A-Za-z+/_\-=.]*+[0-9])[A-Za-z0-9+/_\-=.]{16}"
+_LONG = _LONG_HEAD + r"[A-Za-z0-9+/_\-=.]*"
 _FIND = re.compile("|".join([*(f"(?P<{n}>{p})" for n, p in _SHAPES), f"(?P<assigned>{_ASSIGNED})", f"(?P<long>{_LONG})"])).finditer
-#: A text without any of these has no candidate.
-_WORTH = re.compile(r"[A-Za-z0-9+/_\-=.]*[0-9][A-Za-z0-9+/_\-=.]{4}|(?i:passw|passwd|pwd|secret|token|key|credential|auth)|-----BEGIN|://").search
+#: A text without any of these has no candidate: what each rule can't match without.
+_WORTH = re.compile(rf"{_LONG_HEAD}|-----BEGIN |A(?:KIA|SIA|GPA|IDA|ROA|NPA)|gh[pousr]_|glpat-|xox[abprs]-|AIza|[sr]k_(?:live|test)_|sk-|eyJ|://|{_NAME}").search
 
 #: Words of the dictionary feature and of the transition model: fixed, ordinary English and technical words.
 _WORDS = """about after again also always and any are back because been before being between both but call
