@@ -12,6 +12,8 @@ A random forest trained from labelled findings scores them.
 
 Defined results: null and empty texts have no findings; a repeated row repeats
 its findings; overlapping candidates are one, the leftmost and then the longest.
+An assigned value goes to its closing quote or, unquoted, to white space; only a
+rule of three or more equal marks at its end (###) isn't part of it.
 """
 
 from __future__ import annotations
@@ -43,13 +45,19 @@ _SHAPES = [
     ("chat_token", r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,}"),
     ("api_key", r"(?<![A-Za-z0-9])(?:AIza[A-Za-z0-9_\-]{35}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|sk-[A-Za-z0-9_\-]{20,})"),
     ("web_token", r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}"),
-    ("url_password", r"(?<=://)[^\s/:@\"']{1,64}:[^\s/@\"']{3,128}(?=@)"),
+    ("url_password", r"(?<=://)[^\s/:@\"']++:[^\s/@\"']{3,}+(?=@)"),
 ]
 _NAME = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)"
-_ASSIGNED = rf"{_NAME}\w{{0,16}}[\"']?\s{{0,3}}(?:[:=]|=>)\s{{0,3}}[\"']?(?P<value>[^\s\"'<>(){{}},;#&$%*|!]{{6,}})"
+#: The last keyword of a name and the rest of it, so that a name of many keywords is read once.  A value is quoted, else it goes on to white space.
+_ASSIGNED = (
+    rf"{_NAME}(?:(?!{_NAME})\w)*+[\"']?\s{{0,3}}(?:=>|[:=])\s{{0,3}}(?!-----BEGIN |[\"']-----BEGIN )"
+    r"(?:\"(?P<double>(?:[^\"\\\r\n]|\\[^\r\n]){6,}+)\"|'(?P<single>(?:[^'\\\r\n]|\\[^\r\n]){6,}+)'|(?![\"'][^\"'\r\n]{0,5}[\"'])[\"']?(?P<bare>\S{6,}))"
+)
 _LONG_HEAD = r"(?<![A-Za-z0-9+/_\-=.])(?=[A-Za-z+/_\-=.]*+[0-9])[A-Za-z0-9+/_\-=.]{16}"
 _LONG = _LONG_HEAD + r"[A-Za-z0-9+/_\-=.]*"
-_FIND = re.compile("|".join([*(f"(?P<{n}>{p})" for n, p in _SHAPES), f"(?P<assigned>{_ASSIGNED})", f"(?P<long>{_LONG})"])).finditer
+_FIND = re.compile("|".join([*(f"(?P<{n}>{p})" for n, p in _SHAPES), f"(?P<assigned>{_ASSIGNED})", f"(?P<long>{_LONG})"])).search
+_SHAPE = re.compile("|".join(p for _, p in _SHAPES)).search
+_RULE = re.compile(r"([^\w\s])\1{2,}(?!\S)").search
 #: A text without any of these has no candidate: what each rule can't match without.
 _WORTH = re.compile(rf"{_LONG_HEAD}|-----BEGIN |A(?:KIA|SIA|GPA|IDA|ROA|NPA)|gh[pousr]_|glpat-|xox[abprs]-|AIza|[sr]k_(?:live|test)_|sk-|eyJ|://|{_NAME}").search
 
@@ -111,16 +119,40 @@ def features(text: str, start: int, end: int, rule: str) -> list[float]:
     ]
 
 
+def _bare_end(text: str, name: int, start: int, end: int) -> int:
+    """Where an unquoted value ends: before a rule of marks (###) behind it, and before the quote that its whole assignment stands in."""
+    line = text.rfind("\n", 0, name) + 1
+    for quote in "\"'":
+        at = text.rfind(quote, line, name)
+        if at >= 0 and not text[at + 1].isspace() and (at == 0 or not (text[at - 1].isalnum() or text[at - 1] == quote)):
+            closing = text.find(quote, start, end)
+            end = closing if closing >= 0 else end
+    rule = _RULE(text, start, end)
+    return rule.start() if rule and rule.start() - start >= 6 else end
+
+
 def candidates(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, rule) in code points."""
     if not _WORTH(text):
         return
-    for m in _FIND(text):
-        rule = m.lastgroup if m.lastgroup != "value" else "assigned"
-        if rule == "assigned":
-            yield m.start("value"), m.end("value"), rule
+    at = 0
+    while m := _FIND(text, at):
+        at = m.end()
+        if m["assigned"] is not None:
+            group = next(g for g in ("double", "single", "bare") if m[g] is not None)
+            start, end = m.span(group)
+            if group == "bare":
+                end = _bare_end(text, m.start(), start, end)
+                if end - start < 6:
+                    at = end
+                    continue
+            elif any(c.isspace() for c in m[group]) and _SHAPE(text, start, end):
+                at = start  # words around a credential of known shape
+                continue
+            at = end
+            yield start, end, "assigned"
         else:
-            end = m.end()
+            rule, end = m.lastgroup, m.end()
             if rule == "long":  # the full stop of a sentence isn't part of it
                 while text[end - 1] in ".-/=_+" and text[end - 1] != "=":
                     end -= 1
@@ -149,7 +181,7 @@ def labelled_findings(n: int = 3000, seed: int = 11) -> list[tuple[str, int, int
     hex_, both, base = "0123456789abcdef", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/"
 
     def secret() -> tuple[str, str, str]:
-        kind = rng.randrange(9)
+        kind = rng.randrange(12)
         name = rng.choice(["token", "password", "secret", "api_key", "apikey", "access_key", "auth_token", "passwd", "credential"])
         join = rng.choice([" = ", "=", ": ", ":", " => "])
         quote = rng.choice(["", '"', "'"])
@@ -163,11 +195,16 @@ def labelled_findings(n: int = 3000, seed: int = 11) -> list[tuple[str, int, int
             return "", rng.choice(["AIza" + of(both + "_-", 35), "sk_live_" + of(both, 24)]), ""
         if kind == 4:
             return "", "eyJ" + of(both, rng.randint(17, 60)) + "." + of(both + "_-", rng.randint(20, 120)) + "." + of(both + "_-", 43), ""
+        if kind >= 9:  # passwords of any marks, names that go on
+            name = rng.choice([name, f"{name}_for_{word()}_{word()}", name.upper()])
+            value = word().capitalize()[:8] * (kind == 9) + of(both + "!@#$%^&*()|{};,.?~", rng.randint(8, 20)) + rng.choice(["", "!", "2024", "#1"])
+            # the ornaments behind a text would be read as its end
+            return f"{name}{join}{quote}", value if quote else value.rstrip("#%") + "9", quote
         value = {5: of(hex_, rng.choice([16, 18, 20, 32, 40, 64])), 6: of(both, rng.randint(12, 48)), 7: of(base, rng.choice([24, 32, 40, 44])) + rng.choice(["", "=", "=="])}.get(kind) or of(both + "@_-.", rng.randint(8, 24))
         return f"{name}{join}{quote}", value, quote
 
     def innocent() -> tuple[str, str, str]:
-        kind = rng.randrange(14)
+        kind = rng.randrange(17)
         if kind == 0:
             return rng.choice(["", "card ", "phone ", "order "]), of(string.digits, rng.randint(12, 20)), ""
         if kind == 1:
@@ -195,6 +232,11 @@ def labelled_findings(n: int = 3000, seed: int = 11) -> list[tuple[str, int, int
             return rng.choice(["password: ", "token = ", "secret=", "auth: "]), rng.choice([word() + word(), "required", "string", "null", "undefined", "getToken", word() * 2]) + rng.choice(["", ".", ""]), ""
         if kind == 12:
             return rng.choice(["tel ", "fax ", "call ", ""]), f"+{rng.randint(1, 99)}-{of(string.digits, 3)}-{of(string.digits, 4)}-{of(string.digits, 4)}", ""
+        if kind == 14:
+            quote = rng.choice(["'", '"'])
+            return rng.choice(["password: ", "token = ", "secret=", "auth: "]) + quote, filler(rng.randint(2, 7)) + rng.choice(["", "!", ".", "?"]), quote
+        if kind in (15, 16):
+            return rng.choice(["password: ", "token=", "secret = ", "auth_token = "]), rng.choice([f"get_{word()}();", f"self.{word()},", f"${{{word()}}}", f"{word()}({word()})", f"<{word()}>", f"{word()}[{word()}]", "********", f"%{word()}%", f"{word()},{word()}"]), ""
         return "", of(string.digits, 4) + "-" + of(string.digits, 4) + "-" + of(string.digits, 4) + "-" + of(string.digits, 4), ""
 
     out = []
