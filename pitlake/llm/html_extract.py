@@ -9,10 +9,10 @@ different.  A node's importance is
 
     (1 - GAMMA ** l) * presentation + GAMMA ** l * content
 
-(l: mean number of children).  Branches under ``LEAST`` importance are removed
+(l: number of presentation styles).  Copies of a page on a host count once.  Branches under ``LEAST`` importance are removed
 from each page, and so are branches whose tag or class says what they are (menus,
 headers, footers, sidebars, notices, adverts, forms, comments).  Inside the
-article only containers are removed by importance, never paragraphs: an article
+article only containers without paragraphs are removed by importance: an article
 that a site shows on many pages stays whole.  Nodes seen less than ``SEEN``
 times on a host are judged by their tag and class alone.
 
@@ -60,6 +60,7 @@ _BLOCK = set(
     "header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 _NOISE_TAGS = set("nav footer header aside form button input select label menu dialog head figure".split())
+_HEADS = set("h1 h2 h3 h4 h5 h6".split())
 _CONTAINERS = set("div section ul ol dl table details center".split())
 _ENDS_P = _BLOCK - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "legend", "option", "optgroup"}
 #: An open element that a start tag of the other names closes.
@@ -167,16 +168,21 @@ class Page:
 
     def text(self, removed: set[int]) -> str:
         """Without noise and the branches whose paths are in ``removed``."""
-        out = []
-        for around, text in self.blocks:
-            if self.has_main and not any(self.nodes[n][3] for n in around):
-                continue
-            if any(self.nodes[n][2] or self.nodes[n][0] in removed for n in around):
-                continue
-            out.append(text)
-        if not out and removed:  # a site of one page many times: what repeats is the article
-            return self.text(set())
-        return "\n\n".join(out)
+        nodes = self.nodes
+        some = [b for b in self.blocks if (not self.has_main or any(nodes[n][3] for n in b[0])) and not any(nodes[n][2] for n in b[0])]
+        # inside the article a branch that holds paragraphs stays
+        stay = {n for around, _ in some if any(nodes[n][1] == "p" for n in around) for n in around if nodes[n][3]}
+        out = [b for b in some if not any(nodes[n][0] in removed and n not in stay for n in b[0])]
+        if not any(self._body(b) for b in out) and any(self._body(b) for b in some):  # nothing but headlines left: what repeats is the article
+            out = some
+        return "\n\n".join(text for _, text in out)
+
+    def _body(self, block: tuple[tuple[int, ...], str]) -> bool:
+        return _HEADS.isdisjoint(self.nodes[n][1] for n in block[0])
+
+    def same(self) -> int:
+        """Equal for copies of one page."""
+        return xxhash.xxh3_64_intdigest("\0".join([*(f"{n[0]} {n[5]} {n[6]}" for n in self.nodes), *(t for _, t in self.blocks)]).encode("utf-8", "surrogatepass"))
 
 
 def host_of(url: str | None) -> str:
@@ -185,14 +191,19 @@ def host_of(url: str | None) -> str:
 
 
 def style_counts(pages: DataFrame) -> DataFrame:
-    """host, path, kind (0: presentation, 1: content), what, n, children: of the nodes that importance could remove."""
-    schema = "host string, path long, kind int, what long, n long, children long"
+    """host, path, kind (0: presentation, 1: content), what, n: of the nodes that importance could remove, copies of a page counted once."""
+    schema = "host string, path long, kind int, what long, page long, n long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple, list[int]] = {}
+            counts: dict[tuple, int] = {}
+            done = set()
             for url, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 host, page = host_of(url), Page(source or "")
+                same = page.same()
+                if (host, same) in done:
+                    continue
+                done.add((host, same))
                 texts = [xxhash.xxh3_64_intdigest(t) for _, t in page.blocks]
                 for path, tag, noise, main, children, a, b in page.nodes:
                     # by tag and class the others are decided already
@@ -200,25 +211,23 @@ def style_counts(pages: DataFrame) -> DataFrame:
                         continue
                     style = xxhash.xxh3_64_intdigest(" ".join(children))
                     content = xxhash.xxh3_64_intdigest(np.array(texts[a:b], dtype=np.uint64).tobytes())
-                    for kind, what in ((0, style), (1, content)):
-                        row = counts.setdefault((host, path, kind, what), [0, 0])
-                        row[0] += 1
-                        row[1] += len(children)
+                    for key in ((host, path, 0, style, same), (host, path, 1, content, same)):
+                        counts[key] = counts.get(key, 0) + 1
             if counts:
-                host, path, kind, what = zip(*counts)
-                n, children = zip(*counts.values())
+                host, path, kind, what, same = zip(*counts)
                 long = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(host), long(path), pa.array(kind, pa.int32()), long(what), pa.array(n, pa.int64()), pa.array(children, pa.int64())], names=["host", "path", "kind", "what", "n", "children"])
+                yield pa.RecordBatch.from_arrays([pa.array(host), long(path), pa.array(kind, pa.int32()), long(what), long(same), pa.array(list(counts.values()), pa.int64())], names=["host", "path", "kind", "what", "page", "n"])
 
-    return pages.select("url", "html").mapInArrow(run, schema).groupBy("host", "path", "kind", "what").agg(F.sum("n").alias("n"), F.sum("children").alias("children"))
+    each = pages.select("url", "html").mapInArrow(run, schema).groupBy("host", "path", "kind", "what", "page").agg(F.max("n").alias("n"))
+    return each.groupBy("host", "path", "kind", "what").agg(F.sum("n").alias("n"))
 
 
 def importance(counts: DataFrame) -> DataFrame:
     """host, path, seen, presentation, content, importance of each element node."""
-    per = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("seen"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.sum("children").alias("children"))
+    per = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("seen"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.count(F.lit(1)).alias("variants"))
     entropy = F.when(F.col("seen") <= 1, 1.0).otherwise((F.log("seen") - F.col("nlogn") / F.col("seen")) / F.log("seen"))
     of = lambda k, c: F.max(F.when(F.col("kind") == k, c))
-    out = per.withColumn("entropy", entropy).groupBy("host", "path").agg(F.max("seen").alias("seen"), of(0, F.col("entropy")).alias("presentation"), of(1, F.col("entropy")).alias("content"), F.max(F.col("children") / F.col("seen")).alias("l"))
+    out = per.withColumn("entropy", entropy).groupBy("host", "path").agg(F.max("seen").alias("seen"), of(0, F.col("entropy")).alias("presentation"), of(1, F.col("entropy")).alias("content"), of(0, F.col("variants")).alias("l"))
     share = F.pow(F.lit(GAMMA), F.col("l"))
     return out.withColumn("importance", (1 - share) * F.col("presentation") + share * F.col("content"))
 

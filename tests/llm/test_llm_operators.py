@@ -454,6 +454,19 @@ def test_pages_keep_their_articles(spark, sf):
         assert out[p["page_id"]] == "\n\n".join(b for b in blocks if b)
 
 
+def test_copies_and_even_lists_keep_their_bodies(spark):
+    article = lambda k: f"<article><h1>Head {k}</h1><div class='content'><p>{prose(30, k)}</p></div></article>"
+    even = lambda k: f"<p>Day {k}</p><div class='col'><ul>{''.join(f'<li>{prose(4, 100 * k + i)}</li>' for i in range(20))}</ul></div>"
+    rows = [(k, f"http://copies.example/{k}", article(1)) for k in range(40)] + [(40, "http://copies.example/x", article(2))]
+    rows += [(100 + k, f"http://even.example/{k}", even(k)) for k in range(12)]
+    # one body on pages that differ elsewhere
+    rows += [(200 + k, f"http://dated.example/{k}", article(3).replace("</h1>", f"</h1><p>Day {k}</p>")) for k in range(12)]
+    out = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(prose(30, 1) in out[k] for k in range(40)) and prose(30, 2) in out[40]
+    assert all(out[100 + k].split("\n\n") == [f"Day {k}"] + [prose(4, 100 * k + i) for i in range(20)] for k in range(12))
+    assert all(out[200 + k] == f"Head 3\n\nDay {k}\n\n{prose(30, 3)}" for k in range(12))
+
+
 # ---------------------------------------------------------------- 9
 
 
