@@ -18,7 +18,8 @@ times on a host are judged by their tag and class alone.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by two newlines.  Where a page has
-article or main elements, the text is theirs; else it is the body's.
+article or main elements with text that aren't noise, the text is theirs; else it
+is the body's, and where that is empty the own class of articles doesn't count.
 
 Defined results: null and empty html give an empty text; a page whose url has
 no host belongs to the host ''; markup may be broken or cut off anywhere;
@@ -82,15 +83,19 @@ def _node(path: int, name: str) -> int:
 class Page:
     """The blocks of a page with the element nodes around each."""
 
-    __slots__ = ("nodes", "blocks", "has_main")
+    __slots__ = ("nodes", "blocks", "has_main", "source", "by_class", "noisy")
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, by_class: bool = True):
         #: (path, tag, noise, in main, children, start block, end block)
         self.nodes: list[list] = []
         #: (open nodes, text)
         self.blocks: list[tuple[tuple[int, ...], str]] = []
-        self.has_main = False
+        self.source, self.by_class = source, by_class
+        #: whether an article's own class made it noise
+        self.noisy = False
         self._parse(source)
+        #: whether an article or main element that isn't noise has text
+        self.has_main = any(any(self.nodes[n][3] for n in around) and not any(self.nodes[n][2] for n in around) for around, _ in self.blocks)
 
     def _parse(self, source: str) -> None:
         nodes, blocks = self.nodes, self.blocks
@@ -151,12 +156,15 @@ class Page:
             path = _node(parent[0] if parent else 0, f"{tag} {marks}")
             if parent:
                 parent[4].append(tag)
-            main = tag in ("article", "main") or "main" == marks or bool(parent and parent[3])
-            self.has_main |= main
+            outer_noise, inside = bool(parent and parent[2]), bool(parent and parent[3])
+            named = bool(marks) and not _NOISE_WORDS.isdisjoint(_WORDS(marks))
             # a header of the article itself holds its headline
-            noise = bool(parent and parent[2]) or (tag in _NOISE_TAGS and not (tag in ("header", "figure") and main)) or (bool(marks) and not _NOISE_WORDS.isdisjoint(_WORDS(marks)))
-            if tag in ("html", "body", "article", "main"):
-                noise = bool(parent and parent[2])
+            noise = outer_noise or (tag in _NOISE_TAGS and not (tag in ("header", "figure") and (inside or marks == "main"))) or named
+            if tag in ("html", "body") or (tag in ("article", "main") and not self.by_class):
+                noise = outer_noise
+            elif tag in ("article", "main") and noise and not outer_noise:
+                self.noisy = True
+            main = inside or ((tag in ("article", "main") or marks == "main") and not noise)
             nodes.append([path, tag, noise, main, [], len(blocks), -1])
             if not attrs.rstrip().endswith("/") or tag in _BLOCK:
                 stack.append(len(nodes) - 1)
@@ -170,6 +178,8 @@ class Page:
         """Without noise and the branches whose paths are in ``removed``."""
         nodes = self.nodes
         some = [b for b in self.blocks if (not self.has_main or any(nodes[n][3] for n in b[0])) and not any(nodes[n][2] for n in b[0])]
+        if not some and self.noisy:  # there is no other text than what a class calls noise
+            return Page(self.source, by_class=False).text(removed)
         # inside the article a branch that holds paragraphs stays
         stay = {n for around, _ in some if any(nodes[n][1] == "p" for n in around) for n in around if nodes[n][3]}
         out = [b for b in some if not any(nodes[n][0] in removed and n not in stay for n in b[0])]

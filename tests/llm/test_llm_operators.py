@@ -467,6 +467,17 @@ def test_copies_and_even_lists_keep_their_bodies(spark):
     assert all(out[200 + k] == f"Head 3\n\nDay {k}\n\n{prose(30, 3)}" for k in range(12))
 
 
+def test_articles_of_noise_are_not_the_text():
+    text = lambda source: html_extract.Page(f"<body>{source}</body>").text(set())
+    post = "<div class=post><p>The body</p></div>"
+    assert text(f"{post}<div class=comments><article>first!</article></div>") == "The body"
+    assert text(f"{post}<aside><article>teaser</article></aside>") == "The body"
+    assert text(f"{post}<article class=comment><p>first!</p></article>") == "The body"
+    assert text(f"{post}<article></article>") == "The body"
+    assert text(f"{post}<article><p>Story</p><article class=comment>first!</article></article>") == "Story"
+    assert text("<nav>menu</nav><article class='post social'><h1>Head</h1><p>Story</p></article>") == "Head\n\nStory"
+
+
 # ---------------------------------------------------------------- 9
 
 
