@@ -180,3 +180,20 @@ def test_document_facts(spark):
     df = spark.createDataFrame([("Appendix 3Y\nName of entity\tRing Ltd  ABN 12 345 678 901 and ABN 651 349 638",)], "t string")
     f = df.select(D.facts(F.col("t")).alias("f")).first()["f"]
     assert (f["abns"], f["acns"], f["doc_class"], f["entity_name"]) == (["12345678901"], ["651349638"], "app_3y", "Ring Ltd")
+
+
+def test_name_fold_covers_the_whole_text(spark, tmp_path):
+    import re
+    import unicodedata
+
+    from pitlake.plans.catalog import QUERIES
+
+    texts = ["one two three four Zoë Ångström", "a  b\u00a0c\td e\nfünf, ﬁve (É)!", "e\u0301 " * 300 + "end naïve", "plain", "", None, " x-y_z "]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def brute(text):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.category(c).startswith("M")).upper()
+        return " ".join(re.sub(r"[^\w\s]", " ", plain).split())
+
+    out = {r["doc_id"]: r["folded"] for r in QUERIES["name_fold_unicode"](spark, str(tmp_path)).collect()}
+    assert out == {i: None if t is None else brute(t) for i, t in enumerate(texts)}
