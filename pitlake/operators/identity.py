@@ -29,18 +29,17 @@ def fuzzy_scores(names: DataFrame, pool: DataFrame, norm: str, entity: str, hot:
     """norm, entity, score: token-set similarity of the pairs that share a token.
 
     Blocking on shared tokens loses nothing: without one the score stays under the bar of
-    acceptance.  A token of more than ``hot`` names in the pool is no block of its own but joins
-    on the pair with the name's rarest other token, so no block grows with the pool.
+    acceptance.  The block of a token is split into parts of about ``hot`` names of the pool, by
+    their hash, and each name that asks meets every part.
     """
     token = lambda df: F.explode(F.array_distinct(F.split(F.col(norm), " ")))
     left = names.select(norm).distinct().withColumn("__token", token(names))
     right = pool.select(F.col(norm).alias("__other"), F.col(norm)).distinct()
     right = right.withColumn("__token", token(right)).drop(norm)
-    size = right.groupBy("__token").agg(F.count(F.lit(1)).alias("__n"))
-    usable = left.join(size, "__token")
-    rarest = F.min("__n").over(Window.partitionBy(norm))
-    blocks = usable.withColumn("__least", rarest).where((F.col("__n") <= hot) | (F.col("__n") == F.col("__least")))
-    pairs = blocks.select(norm, "__token").join(right, "__token").select(norm, "__other").distinct()
+    size = right.groupBy("__token").agg(F.ceil(F.count(F.lit(1)) / hot).cast("int").alias("__parts"))
+    asked = left.join(size, "__token").select(norm, "__token", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part"))
+    blocks = right.join(size, "__token").select("__other", "__token", F.pmod(F.xxhash64("__other"), F.col("__parts")).cast("int").alias("__part"))
+    pairs = asked.join(blocks, ["__token", "__part"]).select(norm, "__other").distinct()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

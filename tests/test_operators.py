@@ -197,3 +197,12 @@ def test_name_fold_covers_the_whole_text(spark, tmp_path):
 
     out = {r["doc_id"]: r["folded"] for r in QUERIES["name_fold_unicode"](spark, str(tmp_path)).collect()}
     assert out == {i: None if t is None else brute(t) for i, t in enumerate(texts)}
+
+
+def test_fuzzy_scores_of_hot_tokens(spark):
+    names = [f"GLOBAL RESOURCES AUSTRALIA {w}" for w in ("MINING", "ENERGY", "COPPER", "COAL", "TIN", "GAS", "OIL")] + ["MINNING WORKS"]
+    pool = spark.createDataFrame(list(enumerate(names)), "entity long, norm string")
+    asked = spark.createDataFrame([("GLOBAL RESOURCES AUSTRALIA MINNING",)], "norm string")
+    out = {r["entity"]: r["score"] for r in I.fuzzy_scores(asked, pool, "norm", "entity", hot=2).collect()}
+    assert out == {i: token_set_ratio("GLOBAL RESOURCES AUSTRALIA MINNING", n) for i, n in enumerate(names)}
+    assert max(out, key=out.get) == 0 and out[0] > 93
