@@ -1,26 +1,39 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two interpolated Kneser-Ney models of the letters of words, one of toxic and
-one of ordinary labelled documents: raw counts for ``ORDER`` letters, distinct
-letters before (continuation counts) for the shorter ones, absolute
-discounting.  Both back off to the same shared distribution, the letter pairs
-of all documents, so what neither class has seen says nothing, and a rare or
-inflected expression is judged by the parts of it that are known.
-
-    P_c(x | h) = (max(n_c(h x) - D, 0) + D T_c(h) P_c(x | h')) / N_c(h)
-
-n: counts, T: distinct letters after h, N: all of h, h': h without its first
-letter; down to two letters of class counts, below them the shared counts.  A
-word's two log-likelihoods start at its beginning, so their difference doesn't
-depend on its neighbours.  A document is compared by length-normalised
-differences: over the whole text and over its most toxic ``WINDOWS`` words; a
-logistic curve fitted to labelled documents that the models haven't seen turns
-these into a score from 0 to 1.
+Two interpolated Kneser-Ney models of word sequences, one of toxic and one of
+ordinary labelled documents.  Pairs of words have raw counts, words the number
+of distinct words before them (continuation counts), and below both lies one
+distribution that the classes share: the words of all documents.
+
+    P_c(w | h) = max(n_c(h w) - D, 0) / N_c(h) + G_c(h) P_c(w)
+    P_c(w)     = max(k_c(w) - D', 0) / K_c + L_c S(w)
+    S(w)       = (c(w) + PRIOR) / (C + PRIOR (V + 1))
+
+n: counts of pairs, k: distinct words before w, c: counts in all documents (C
+words, V different ones), D, D': absolute discounts, G_c(h) and L_c: the mass
+that discounting leaves, so each sums to one.  Pairs seen less than ``PAIRS``
+times in both classes together leave their mass to P_c(w).  What neither class
+has seen costs both the same shared counts, and a rare expression is judged by
+them: PRIOR keeps a word of few occurrences from saying much.
+
+A word that no labelled document holds is judged by its letters: the same
+kind of model over ``ORDER`` letters, down to the letter pairs of all
+documents, normalised by the word's length.
+
+A document is compared by length-normalised differences of the two
+log-likelihoods, over the whole text and over its most toxic ``WINDOWS``
+words; a logistic curve fitted to labelled documents that the models haven't
+seen turns these into a score from 0 to 1.  Then the word models are counted
+again over both samples.
 
 Labelled rows are a bounded sample: at most ``LM_DOCS`` documents (those with
 the smallest hash of doc_id) for the models and ``FIT_DOCS`` for the curve.
-The shared counts cover all documents and whole texts.  Letters are bytes of
-UTF-8; words are lower-cased and cut at ASCII punctuation.
+The shared counts cover all words of all documents, in a table that grows with
+them.  Letters are bytes of UTF-8; words are lower-cased and cut at ASCII
+punctuation, and told apart by 64-bit hashes.
+
+Documents are read twice: once for the shared counts and the labelled texts,
+once to score.
 
 Defined results: null and empty texts score like a text that says nothing; a
 document with two labels is toxic if one says so; labels without both classes
@@ -38,13 +51,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import loose_words, short_batches, table
+from .common import U64, Scratch, WordHashes, loose_words, mix, short_batches, signed, table
 
 LM_DOCS = 20_000
 FIT_DOCS = 10_000
 ORDER = 6
 SHARED = 2
 WINDOWS = (1, 3, 12, 48)
+PRIOR = 20.0
+PAIRS = 4
 THRESHOLD = 0.3
 _EDGE = 32  # between words
 _PAD = bytes([_EDGE]) * (ORDER - 1)
@@ -85,7 +100,7 @@ def _pre_counted(batches: Iterator, values, names: list[str]) -> Iterator[pa.Rec
 
 
 def class_counts(labelled: DataFrame) -> DataFrame:
-    """``labelled``: text, toxic (0 or 1).  Rows: gram long, n_t, n_o."""
+    """``labelled``: text, toxic (0 or 1).  Rows: gram of letters long, n_t, n_o."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def values(batch):
@@ -101,24 +116,161 @@ def class_counts(labelled: DataFrame) -> DataFrame:
     return out.groupBy(F.shiftright("gram", 1).alias("gram")).agg(of(toxic).alias("n_t"), of(~toxic).alias("n_o"))
 
 
-def shared_counts(docs: DataFrame) -> np.ndarray:
-    """How often each letter follows each other one in the words of all documents: 256 by 256."""
+_GATHERED = "kind int, key long, n long, text string, toxic int, fold int"
+_WORD, _LETTERS, _LABELLED = range(3)
+
+
+def gathered(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """One pass over all documents: how often each word and each pair of letters came (counted by task), and the labelled texts.
+
+    ``sample``: doc_id, toxic, fold, small enough to broadcast.
+    """
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left").select("text", "toxic", "fold")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << 16, dtype=np.int64)
+        def out(kind: int, **columns) -> pa.RecordBatch:
+            n = len(next(iter(columns.values())))
+            columns["kind"] = np.full(n, kind)
+            schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("text", pa.string()), ("toxic", pa.int32()), ("fold", pa.int32())])
+            return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+        hashes, total, held, size = WordHashes(), np.zeros(1 << 16, dtype=np.int64), [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                letters = np.frombuffer(b" " + b" ".join(loose_words(text)) + b" ", dtype=np.uint8).astype(np.int64)
-                total += np.bincount((letters[:-1] << 8) | letters[1:], minlength=1 << 16)
+            labelled: list[tuple] = []
+            for text, toxic, fold in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if words := loose_words(text):
+                    held.append(hashes.of(words))
+                    size += len(words)
+                    letters = np.frombuffer(b" " + b" ".join(words) + b" ", dtype=np.uint8).astype(np.int64)
+                    total += np.bincount((letters[:-1] << 8) | letters[1:], minlength=1 << 16)
+                if fold is not None:
+                    labelled.append((text, toxic, fold))
+            if labelled:
+                text, toxic, fold = zip(*labelled)
+                yield out(_LABELLED, text=text, toxic=toxic, fold=fold)
+            if size > 2_000_000:
+                key, n = np.unique(np.concatenate(held), return_counts=True)
+                yield out(_WORD, key=signed(key), n=n)
+                held, size = [], 0
+        if size:
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            yield out(_WORD, key=signed(key), n=n)
         pair = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
+        if len(pair):
+            yield out(_LETTERS, key=pair, n=total[pair])
+
+    return rows.mapInArrow(run, _GATHERED)
 
-    counts = docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # 65,536 rows at most
+
+def letter_pairs(found: DataFrame) -> np.ndarray:
+    """How often each letter follows each other one in the words of all documents: 256 by 256."""
+    counts = found.where(F.col("kind") == _LETTERS).groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # 65,536 rows at most
     out = np.zeros(1 << 16)
-    out[counts["pair"].to_numpy()] = counts["n"].to_numpy()
+    out[counts["key"].to_numpy()] = counts["n"].to_numpy()
     return out.reshape(256, 256)
 
 
+def pair_counts(labelled: DataFrame) -> DataFrame:
+    """``labelled``: text, toxic, fold (0 or 1).  Rows: h, w (hashes of neighbours, 0 before the first word), t_0, o_0, t_1, o_1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            held = []
+            for text, toxic, fold in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if words := loose_words(text):
+                    w = hashes.of(words)
+                    held.append((np.append(U64(0), w[:-1]), w, np.full(len(w), int(toxic) + 2 * int(fold), dtype=np.int32)))
+            if held:
+                h, w, kind = (np.concatenate(x) for x in zip(*held))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(signed(w)), pa.array(kind)], names=["h", "w", "kind"])
+
+    of = lambda kind: F.sum(F.when(F.col("kind") == kind, 1).otherwise(0))
+    return labelled.select("text", "toxic", "fold").mapInArrow(run, "h long, w long, kind int").groupBy("h", "w").agg(of(1).alias("t_0"), of(0).alias("o_0"), of(3).alias("t_1"), of(2).alias("o_1"))
+
+
+def _seen(columns: list[str]) -> list:
+    """Aggregates: how many were seen once and twice, and ever, and the sum."""
+    of = lambda c: (F.count(F.when(F.col(c) == 1, 1)), F.count(F.when(F.col(c) == 2, 1)), F.count(F.when(F.col(c) > 0, 1)), F.sum(c))
+    return [x.alias(f"{c}_{name}") for c in columns for name, x in zip(("one", "two", "some", "sum"), of(c))]
+
+
+def _discounts(seen, columns: list[str]) -> list[float]:
+    """The usual estimate of each column's absolute discount."""
+    return [float(np.clip(seen[f"{c}_one"] / (seen[f"{c}_one"] + 2 * seen[f"{c}_two"]), 0.1, 0.95)) if seen[f"{c}_one"] and seen[f"{c}_two"] else 0.75 for c in columns]
+
+
+@dataclass
+class Probabilities:
+    """Both classes' models as tables; a class that has no words makes ``known`` false."""
+
+    known: bool
+    left: tuple[float, float] = (1.0, 1.0)  # L of toxic, ordinary
+    words: DataFrame | None = None  # w, s, p_t, p_o
+    histories: DataFrame | None = None  # h, n_t, n_o (counts), g_t, g_o
+    pairs: DataFrame | None = None  # h, w, p_t, p_o
+
+
+def shared_size(shared: DataFrame) -> float:
+    """What the shared counts (key, n) are divided by."""
+    every = shared.agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("v")).first()
+    return float(every["c"] or 0) + PRIOR * (every["v"] + 1)
+
+
+def word_models(counts: DataFrame, shared: DataFrame, size: float, scratch: Scratch, name: str) -> Probabilities:
+    """``counts``: h, w, n_t, n_o.  ``shared``: key, n of all documents' words, and their ``shared_size``."""
+    words = scratch.stage(counts.groupBy("w").agg(F.count(F.when(F.col("n_t") > 0, 1)).alias("k_t"), F.count(F.when(F.col("n_o") > 0, 1)).alias("k_o")), f"{name}_words")
+    seen = words.agg(*_seen(["k_t", "k_o"])).first()
+    if not seen["k_t_sum"] or not seen["k_o_sum"]:
+        return Probabilities(False)
+    left, p = [], {}
+    for c, d in zip(("k_t", "k_o"), _discounts(seen, ["k_t", "k_o"])):
+        left.append(d * seen[f"{c}_some"] / seen[f"{c}_sum"])
+        p[c] = F.greatest(F.col(c) - d, F.lit(0.0)) / float(seen[f"{c}_sum"]) + left[-1] * F.col("s")
+    known = words.join(shared.withColumnRenamed("key", "w"), "w", "left").withColumn("s", (F.coalesce("n", F.lit(0)) + PRIOR) / size)
+    known = scratch.stage(known.select("w", "s", p["k_t"].alias("p_t"), p["k_o"].alias("p_o")), f"{name}_known")
+    d_t, d_o = _discounts(counts.agg(*_seen(["n_t", "n_o"])).first(), ["n_t", "n_o"])
+    often = F.col("n_t") + F.col("n_o") >= PAIRS
+    kept = lambda c, d: F.sum(F.when(often, F.greatest(F.col(c) - d, F.lit(0.0))).otherwise(0.0))
+    g = lambda k, n: F.when(F.col(n) > 0, 1 - F.col(k) / F.col(n)).otherwise(1.0)
+    histories = counts.groupBy("h").agg(kept("n_t", d_t).alias("kept_t"), kept("n_o", d_o).alias("kept_o"), F.sum("n_t").alias("n_t"), F.sum("n_o").alias("n_o")).where("kept_t > 0 or kept_o > 0")
+    histories = scratch.stage(histories.select("h", "n_t", "n_o", g("kept_t", "n_t").alias("g_t"), g("kept_o", "n_o").alias("g_o")), f"{name}_histories")
+    of = lambda c, d, k: F.when(F.col(f"N_{k}") > 0, F.greatest(F.col(c) - d, F.lit(0.0)) / F.col(f"N_{k}")).otherwise(0.0) + F.col(f"g_{k}") * F.col(f"p_{k}")
+    totals = histories.select("h", F.col("n_t").alias("N_t"), F.col("n_o").alias("N_o"), "g_t", "g_o")
+    with_totals = counts.where(often).select("h", "w", F.col("n_t").alias("c_t"), F.col("n_o").alias("c_o")).join(totals, "h").join(known, "w")
+    return Probabilities(True, (left[0], left[1]), known, histories, with_totals.select("h", "w", of("c_t", d_t, "t").alias("p_t"), of("c_o", d_o, "o").alias("p_o")))
+
+
+@dataclass
+class WordRatios:
+    """log P_toxic - log P_ordinary of words and pairs of words, the step down below a history, and below everything."""
+
+    word: np.ndarray  # sorted hashes
+    ratio: np.ndarray
+    pair: np.ndarray  # sorted keys of pairs
+    pair_ratio: np.ndarray
+    history: np.ndarray  # sorted hashes
+    down: np.ndarray
+    unseen: float
+
+
+def pair_key(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix(mix(h + U64(1)) + w)
+
+
+def word_ratios(p: Probabilities) -> WordRatios:
+    """The models as arrays: as many numbers as the bounded sample has words and frequent pairs."""
+
+    def of(df: DataFrame, t: str, o: str, *keys: str) -> tuple[np.ndarray, np.ndarray]:
+        rows = df.select(*keys, F.log(F.col(t) / F.col(o)).cast("float").alias("ratio")).toArrow()
+        key = [rows[k].to_numpy().view(U64) for k in keys]
+        key = key[0] if len(key) == 1 else pair_key(*key)
+        order = np.argsort(key)
+        return key[order], rows["ratio"].to_numpy()[order]
+
+    return WordRatios(*of(p.words, "p_t", "p_o", "w"), *of(p.pairs, "p_t", "p_o", "h", "w"), *of(p.histories, "g_t", "g_o", "h"), float(np.log(p.left[0] / p.left[1])))
+
+
 @dataclass
 class Level:
     """What the grams of one order add: the whole difference of a known gram, the step down below a known history."""
@@ -170,7 +322,7 @@ def ratio_levels(gram: np.ndarray, n_t: np.ndarray, n_o: np.ndarray, shared: np.
 
 
 class Scorer(dict):
-    """Word -> its difference."""
+    """Word -> its difference by its letters."""
 
     LIMIT = 150_000
 
@@ -194,23 +346,81 @@ class Scorer(dict):
             out[left[hit]] += level.down[i[hit]]
         self.update(zip(words, np.add.reduceat(out, starts).tolist()))
 
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``wanted`` are in the sorted ``keys``, and the values of these."""
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=bool), values[:0]
+    i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    hit = keys[i] == wanted
+    return hit, values[i[hit]]
+
+
+class WordScorer:
+    """The features of texts.  Words met are kept with their numbers, up to a bound."""
+
+    LIMIT = 150_000
+
+    def __init__(self, ratios: WordRatios, levels: list[Level]):
+        self.ratios, self.letters = ratios, Scorer(levels)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.hashes = self.key = np.zeros(0, dtype=U64)
+        self.alone = self.below = np.zeros(0, dtype=np.float32)
+        self.letters.clear()
+
+    def _learn(self, words: list[bytes]) -> None:
+        hashes = WordHashes().of(words)
+        alone = np.empty(len(words), dtype=np.float32)
+        hit, ratio = _found(self.ratios.word, self.ratios.ratio, hashes)
+        alone[hit] = ratio
+        unseen = np.flatnonzero(~hit)
+        if len(unseen):
+            some = [words[i] for i in unseen]
+            self.letters.learn(some)
+            alone[unseen] = [self.ratios.unseen + self.letters[w] / (len(w) + 1) for w in some]  # the letters and the end
+            self.letters.clear()
+        below = np.zeros(len(words), dtype=np.float32)
+        hit, down = _found(self.ratios.history, self.ratios.down, hashes)
+        below[hit] = down
+        n = len(self.place)
+        self.place.update(zip(words, range(n, n + len(words))))
+        self.hashes = np.concatenate((self.hashes, hashes))
+        self.key = np.concatenate((self.key, mix(hashes + U64(1))))
+        self.alone, self.below = np.concatenate((self.alone, alone)), np.concatenate((self.below, below))
+
+    def differences(self, words: list[bytes]) -> np.ndarray:
+        """Of each word after the one before it; the words are known."""
+        at = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
+        before = mix(np.array([1], dtype=U64))
+        hit, down = _found(self.ratios.history, self.ratios.down, np.zeros(1, dtype=U64))
+        out = self.alone[at].astype(float)
+        out[1:] += self.below[at[:-1]]
+        out[0] += down[0] if hit[0] else 0.0
+        hit, ratio = _found(self.ratios.pair, self.ratios.pair_ratio, mix(np.concatenate((before, self.key[at[:-1]])) + self.hashes[at]))
+        out[hit] = ratio
+        return out
+
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """For each text: its most toxic windows, the whole text, its length."""
+        """For each text: its most toxic words, the whole text, its length."""
         words = [loose_words(t) for t in texts]
-        if len(self) > self.LIMIT:
-            self.clear()
-        new = list(set().union(*words).difference(self))
+        if len(self.place) > self.LIMIT:
+            self._clear()
+        new = list(set().union(*words).difference(self.place))
         for i in range(0, len(new), 50_000):
-            self.learn(new[i : i + 50_000])
+            self._learn(new[i : i + 50_000])
         out = np.zeros((len(texts), len(WINDOWS) + 2))
         for row, some in zip(out, words):
             if not some:
                 continue
-            x = np.fromiter(map(self.__getitem__, some), dtype=float, count=len(some))
-            sums = np.concatenate(([0.0], np.cumsum(x)))
+            x = self.differences(some)
+            most = min(WINDOWS[-1], len(x))
+            top = np.sort(np.partition(x, len(x) - most)[len(x) - most :])[::-1].cumsum()
             for k, size in enumerate(WINDOWS):
-                size = min(size, len(x))
-                row[k] = (sums[size:] - sums[:-size]).max() / size
+                size = min(size, most)
+                row[k] = top[size - 1] / size
             row[-2:] = x.mean(), np.log1p(len(x))
         return out
 
@@ -218,14 +428,14 @@ class Scorer(dict):
 _FEATURES = [*(f"__x_{w}" for w in WINDOWS), "__x_all", "__x_length"]
 
 
-def _features(docs: DataFrame, levels, keep: list[str]) -> DataFrame:
+def _features(docs: DataFrame, models, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs`` with the features of its text."""
     rows = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
     at = rows.columns.index("text")
     schema = T.StructType([*rows.schema.fields[: len(keep)], *(T.StructField(c, T.DoubleType()) for c in _FEATURES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(levels.value)  # its words go with the task
+        scorer = WordScorer(*models.value)  # its words go with the task
         for batch in batches:
             x = scorer.features(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(x[:, i]) for i in range(len(_FEATURES)))], names=[*keep, *_FEATURES])
@@ -256,30 +466,41 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], lm_docs: int, f
     """``keep`` columns of ``docs`` and __score.  Labels of documents whose residue is 2 are never read."""
     spark = docs.sparkSession
     short_batches(spark)
+    scratch = Scratch(spark, "toxicity")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("__r", residue())
 
-    def sample(rows: DataFrame, most: int) -> DataFrame:
-        some = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", "toxic")  # the bound of the broadcast
-        return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic")
-
-    # at most as many grams as the sample has letters
-    counts = class_counts(sample(known.where(F.col("__r").isin(0, 1)), lm_docs)).toArrow()
-    gram, n_t, n_o = (counts[c].to_numpy() for c in ("gram", "n_t", "n_o"))
-    if not n_t.any() or not n_o.any():
+    def sample(rows: DataFrame, most: int, fold: int) -> DataFrame:
+        return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", "toxic", F.lit(fold).alias("fold"))  # the bound of the broadcast
+
+    some = sample(known.where(F.col("__r").isin(0, 1)), lm_docs, 0).unionByName(sample(known.where(F.col("__r") == 3), fit_docs, 1))
+    found = scratch.stage(gathered(docs, some), "gathered")
+    labelled = found.where(F.col("kind") == _LABELLED).select("text", "toxic", "fold")
+    counts = scratch.stage(pair_counts(labelled), "pairs")
+    shared = scratch.stage(found.where(F.col("kind") == _WORD).groupBy("key").agg(F.sum("n").alias("n")), "words")
+    size = shared_size(shared)
+    first = word_models(counts.select("h", "w", F.col("t_0").alias("n_t"), F.col("o_0").alias("n_o")).where("n_t + n_o > 0"), shared, size, scratch, "first")
+    if not first.known:
         share = known.where(F.col("__r") != 2).agg(F.avg("toxic")).first()[0] or 0.0
         return docs.select(*keep, F.lit(float(share)).alias("__score"))
-    levels = spark.sparkContext.broadcast(ratio_levels(gram, n_t, n_o, shared_counts(docs)))
-    rows = _features(sample(known.where(F.col("__r") == 3), fit_docs), levels, ["toxic"]).collect()
+    # at most as many grams as the sample has letters
+    letters = class_counts(labelled.where("fold = 0")).toArrow()
+    levels = ratio_levels(*(letters[c].to_numpy() for c in ("gram", "n_t", "n_o")), letter_pairs(found))
+    models = spark.sparkContext.broadcast((word_ratios(first), levels))
+    rows = _features(labelled.where("fold = 1"), models, ["toxic"]).collect()
+    models.unpersist()
     rows = sorted(tuple(r) for r in rows)
     if len({r[0] for r in rows}) == 2:
         mean, scale, beta = fit_curve(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], dtype=float))
     else:
         mean, scale, beta = np.zeros(len(_FEATURES)), np.ones(len(_FEATURES)), np.array([-4.0, 1.0, *[0.0] * (len(_FEATURES) - 1)])
+    both = word_models(counts.select("h", "w", (F.col("t_0") + F.col("t_1")).alias("n_t"), (F.col("o_0") + F.col("o_1")).alias("n_o")), shared, size, scratch, "both")
+    models = spark.sparkContext.broadcast((word_ratios(both), levels))
+    scratch.drop("")
     z = F.lit(float(beta[0] - (beta[1:] * mean / scale).sum()))
     for c, a in zip(_FEATURES, (beta[1:] / scale).tolist()):
         z = z + F.col(c) * a
     z = F.least(F.lit(30.0), F.greatest(F.lit(-30.0), z))
-    return _features(docs, levels, keep).select(*keep, (1 / (1 + F.exp(-z))).alias("__score"))
+    return _features(docs, models, keep).select(*keep, (1 / (1 + F.exp(-z))).alias("__score"))
 
 
 def score(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, threshold: float = THRESHOLD, lm_docs: int = LM_DOCS, fit_docs: int = FIT_DOCS) -> DataFrame:

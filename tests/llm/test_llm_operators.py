@@ -419,6 +419,83 @@ def test_kneser_ney_sums_to_one():
     assert scorer[b"idiot"] > 0 > scorer[b"then"] and abs(scorer[b"zzzz"]) < abs(scorer[b"then"])
 
 
+def brute_models(labelled, every, pairs_bar=toxicity.PAIRS, prior=toxicity.PRIOR):
+    """P of each class by dictionaries: words, pairs, what is left below a history and below everything."""
+    n = [Counter(), Counter()]
+    for text, toxic in labelled:
+        words = loose_words(text)
+        n[toxic].update(zip([b"", *words[:-1]], words) if words else ())
+    k = [Counter(w for _, w in c) for c in n]
+    shared = Counter(w for t in every for w in loose_words(t))
+    size = sum(shared.values()) + prior * (len(shared) + 1)
+    d = lambda c: (lambda a, b: min(max(a / (a + 2 * b), 0.1), 0.95) if a and b else 0.75)(sum(v == 1 for v in c.values()), sum(v == 2 for v in c.values()))
+    out = []
+    for c in (1, 0):
+        left = d(k[c]) * len(k[c]) / sum(k[c].values())
+        word = {w: max(k[c][w] - d(k[c]), 0) / sum(k[c].values()) + left * (shared[w] + prior) / size for w in {*k[0], *k[1]}}
+        often = {p for p in {*n[0], *n[1]} if n[0][p] + n[1][p] >= pairs_bar}
+        total = Counter()
+        for (h, _), v in n[c].items():
+            total[h] += v
+        kept = Counter()
+        for p in often:
+            kept[p[0]] += max(n[c][p] - d(n[c]), 0)
+        down = {h: 1 - kept[h] / total[h] if total[h] else 1.0 for h, _ in often}
+        pair = {(h, w): (max(n[c][h, w] - d(n[c]), 0) / total[h] if total[h] else 0) + down[h] * word[w] for h, w in often}
+        out.append((word, pair, down, left))
+    return out, {w: (v + prior) / size for w, v in shared.items()}
+
+
+def test_word_models_equal_brute_force_and_sum_to_one(spark):
+    r = random.Random(3)
+    some = WORDS[:40]
+    labelled = [(" ".join(r.choice(some + ["bad thing", "bad thing", "vile"] * 3 if y else some) for _ in range(60)), y) for y in [0, 1] * 40] + [(None, 0), ("", 1)]
+    every = [t for t, _ in labelled] + [prose(200, 5), None]
+    scratch = Scratch(spark, "t7")
+    df = spark.createDataFrame([(t, y, 0) for t, y in labelled], "text string, toxic int, fold int")
+    counts = toxicity.pair_counts(df).select("h", "w", F.col("t_0").alias("n_t"), F.col("o_0").alias("n_o"))
+    none = spark.createDataFrame([], "doc_id long, toxic int, fold int")
+    found = toxicity.gathered(table(spark, list(enumerate(every))), none)
+    shared = found.where(F.col("kind") == toxicity._WORD).groupBy("key").agg(F.sum("n").alias("n"))
+    models = toxicity.word_models(counts, shared, toxicity.shared_size(shared), scratch, "m")
+    of = lambda w: int(toxicity.signed(toxicity.WordHashes().of([w]))[0]) if w else 0
+    expect, s = brute_models(labelled, every)
+    words = {x["w"]: x for x in models.words.collect()}
+    pairs = {(x["h"], x["w"]): x for x in models.pairs.collect()}
+    downs = {x["h"]: x for x in models.histories.collect()}
+    for c, (word, pair, down, left) in zip("to", expect):
+        assert len(words) == len(word) and all(words[of(w)][f"p_{c}"] == pytest.approx(p) for w, p in word.items())
+        assert len(pairs) == len(pair) and all(pairs[of(h), of(w)][f"p_{c}"] == pytest.approx(p) for (h, w), p in pair.items())
+        assert len(downs) == len(down) and all(downs[of(h)][f"g_{c}"] == pytest.approx(p) for h, p in down.items())
+        # words no class has seen have what is left times their shared share, one of them stands for all that are in no document
+        nowhere = toxicity.PRIOR / toxicity.shared_size(shared)
+        unseen = sum(p for w, p in s.items() if w not in word) + nowhere
+        assert models.left["to".index(c)] == pytest.approx(left)
+        assert sum(word.values()) + left * unseen == pytest.approx(1.0)
+        for h in down:
+            after = [w for g, w in pair if g == h]
+            assert sum(pair[h, w] for w in after) + down[h] * (1 - sum(word[w] for w in after)) == pytest.approx(1.0)
+    # the scorer adds up the same numbers
+    ratios = toxicity.word_ratios(models)
+    scorer = toxicity.WordScorer(ratios, toxicity.ratio_levels(*(np.array(x) for x in ([0], [1], [1])), np.ones((256, 256))))
+    text = " ".join([some[0], "bad", "thing", some[3], "vile", some[1], "bad", some[2]])
+    got = scorer.features([text])[0]
+    seq, (wt, pt, dt, _), (wo, po, do, _) = loose_words(text), *expect
+    want = [np.log(pt[p] / po[p]) if (p := (h, w)) in pt else np.log(dt.get(h, 1) / do.get(h, 1)) + np.log(wt[w] / wo[w]) for h, w in zip([b"", *seq[:-1]], seq)]
+    assert got[-2] == pytest.approx(np.mean(want), abs=1e-5) and got[0] == pytest.approx(max(want), abs=1e-5) and got[1] == pytest.approx(np.mean(sorted(want)[-3:]), abs=1e-5)
+
+
+def test_toxicity_in_each_language(spark, sf):
+    """On labelled documents it hasn't seen: recall of 0.9 and precision of 0.85 in each language."""
+    large = sf.replace("sf0.001", "sf0.1").replace("sf0.01", "sf0.1")
+    out = {r["doc_id"]: r["predicted"] for r in registry.QUERIES["op7_toxicity"](spark, large).where("held_out").collect()}
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{large}/documents.parquet").select("doc_id", "lang").collect()}
+    said = [(lang[r["doc_id"]], out[r["doc_id"]], r["toxic"]) for r in spark.read.parquet(f"{large}/labels.parquet").collect() if r["doc_id"] in out]
+    for one in {g for g, _, t in said if t}:
+        right = sum(p and t for g, p, t in said if g == one)
+        assert right >= 0.9 * sum(t for g, _, t in said if g == one) and right >= 0.85 * sum(p for g, p, _ in said if g == one), one
+
+
 # ---------------------------------------------------------------- 8
 
 
