@@ -555,6 +555,106 @@ def test_articles_of_noise_are_not_the_text():
     assert text("<nav>menu</nav><article class='post social'><h1>Head</h1><p>Story</p></article>") == "Head\n\nStory"
 
 
+def brute_importance(pages):
+    """host, path of names -> importance, by loops over parsed pages: (host, page)."""
+    phrases, styles, on = {}, {}, {}
+    lies_in, same = {}, {}
+    for host, source in dict.fromkeys(pages):
+        page = html_extract.Page(source)
+        name = lambda n, page=page: page.nodes[n][0]
+        for scope, key in (("host", lambda n, host=host, page=page: (host, page.nodes[n][0])), ("all", lambda n, page=page: page.nodes[n][6])):
+            for n, node in enumerate(page.nodes):
+                if node[1] in html_extract._BLOCK:
+                    on.setdefault((scope, key(n)), set()).add((host, source))
+                    if node[4]:
+                        styles.setdefault((scope, key(n)), Counter())[tuple(node[4])] += 1
+            for around, text in page.blocks:
+                n = page.holder(around)
+                for phrase in re.split("[.!?;:|\u00b7\u2022\u2013\u2014]+", text):
+                    if phrase.strip():
+                        phrases.setdefault((scope, key(n)), {}).setdefault(phrase.strip(), set()).add((host, source))
+        for around, _ in page.blocks:
+            n = page.holder(around)
+            same[host, name(n)] = page.nodes[n][6]
+            lies_in.setdefault((host, name(n)), set()).update((host, name(m)) for m in around[: around.index(n) + 1] if page.nodes[m][1] in html_extract._BLOCK)
+
+    def news(scope, key):
+        span = max(np.log(len(on[scope, key])), np.log(2))
+        return sum(len(x) * (1 - np.log(len(x)) / span) for x in phrases[scope, key].values()), sum(map(len, phrases[scope, key].values()))
+
+    def measured(scope, key, new, read):
+        span = max(np.log(len(on[scope, key])), np.log(2))
+        content = min(1, max(0, new / read))
+        if (scope, key) not in styles:
+            return content
+        n = np.array(list(styles[scope, key].values()))
+        shown = min(1, max(0, -(n / n.sum() * np.log(n / n.sum())).sum() / span))
+        share = html_extract.GAMMA ** len(n)
+        return (1 - share) * shown + share * content
+
+    prior, own = html_extract.PRIOR, {}
+    for key, all_key in same.items():
+        below = [news("host", k) for k in same if key in lies_in[k]]
+        m, every = len(on["host", key]) - 1, len(on["all", all_key]) - 1
+        elsewhere = (every * measured("all", all_key, *news("all", all_key)) + prior) / (every + prior)
+        own[key] = (m * measured("host", key, sum(b[0] for b in below), sum(b[1] for b in below)) + prior * elsewhere) / (m + prior)
+    return {key: max(own[k] for k in same if key in lies_in[k]) for key in same}
+
+
+def test_importance_equals_brute_force(spark):
+    r = random.Random(9)
+    page = lambda k: f"<body><div class=top>Always. {r.choice(['one', 'two', 'three'])}</div><div>{'<ul><li>x. y<li>' + prose(3, k % 4) + '</ul>' if k % 3 else 'text'}<p>{prose(12, k)}. Shared end</p></div><footer>by us; 2020</footer>"
+    rows = [(k, f"http://{'abc'[k % 3 if k < 20 else 2]}.example/{k}", page(k)) for k in range(40)]
+    rows += [(100 + k, "http://a.example/again", rows[3][2] + f"<!-- {k} -->") for k in range(5)]  # copies of one
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = html_extract.summary(html_extract.style_counts(html_extract.with_copies(df)))
+    got = {(x["path"] & 0xFFFFFFFFFFFFFFFF): x["importance"] for x in html_extract.importance(found).collect()}
+    expect = brute_importance([(html_extract.host_of(u), re.sub("<!--.*?-->", "", h)) for _, u, h in rows])
+    by_root = {}
+    for _, url, source in rows:  # the same nodes under the host's root
+        plain, rooted = html_extract.Page(source), html_extract.Page(source, root=html_extract.root_of(url))
+        by_root |= {(html_extract.host_of(url), a[0]): b[0] for a, b in zip(plain.nodes, rooted.nodes)}
+    assert {by_root[k]: pytest.approx(v) for k, v in expect.items()} == got
+
+
+def test_the_tree_decides_where_nothing_is_named(spark, sf):
+    """The test pages with every name taken out: importance alone finds the articles."""
+    pages = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.1').replace('sf0.01', 'sf0.1')}/pages.parquet")
+    bare = pages.withColumn("html", F.regexp_replace(F.regexp_replace("html", "</?(?:nav|article)>", ""), "footer>|div class=\"ad\">|/div>", "section>").alias("html"))
+    bare = bare.withColumn("html", F.regexp_replace("html", "<(/?)section>", "<$1div>"))
+    out = {r["page_id"]: r["text"] for r in html_extract.extract(bare.select("page_id", "url", "html")).collect()}
+    lost = kept = blocks = 0
+    for p in pages.collect():
+        page = html_extract.Page(p["html"])
+        got = Counter(out[p["page_id"]].split("\n\n"))
+        for around, text in page.blocks:
+            inside = any(page.nodes[n][1] == "article" for n in around)
+            blocks += 1
+            lost += inside and not got[text]
+            kept += not inside and not any(t == text for a, t in page.blocks if any(page.nodes[n][1] == "article" for n in a)) and got[text] > 0
+    assert lost == 0 and kept < 0.2 * blocks
+
+
+def test_names_do_not_take_the_main_part():
+    text = lambda source: html_extract.Page(f"<body>{source}</body>").text({})
+    assert text("<div class='layout has-sidebar'><article><p>Story</p></article></div>") == "Story"
+    assert text("<div class='legal-news'><p>body</p></div>") == "body"
+    assert text("<article><h2 class='article-header'>Head</h2><p class='social-policy'>On policy</p><p>End</p></article>") == "Head\n\nOn policy\n\nEnd"
+    assert text("<div><p>a</p><figure><figcaption>What it shows</figcaption></figure></div>") == "a\n\nWhat it shows"
+    assert text("<div class='site-header'>x</div><div class='post-comments'>y</div><div id='cookie-notice'>z</div><p>body</p>") == "body"
+    assert text("<div class='legal'><p>body</p></div>") == "body"
+
+
+def test_very_long_pages_and_skew(spark):
+    """A page of a megabyte, a host with most pages, and branches that are joined by host instead of broadcast."""
+    strip = "<div class='strip'>Always the same words</div>"
+    rows = [(k, "http://hot.example/x" if k % 3 else f"http://h{k}.example/", f"<body>{strip}<div><p>{prose(20, k)}</p></div>") for k in range(90)]
+    rows += [(500, "http://hot.example/long", f"<body>{strip}<div><p>{prose(150_000, 1)}</p></div>" + "<div>" * 2000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = [{r["page_id"]: r["text"] for r in html_extract.extract(df, broadcast_rows=bound).collect()} for bound in (100_000, 0)]
+    assert out[0] == out[1] and out[0][500] == prose(150_000, 1) and out[0][1] == prose(20, 1)
+
+
 # ---------------------------------------------------------------- 9
 
 
