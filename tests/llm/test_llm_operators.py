@@ -330,6 +330,61 @@ def test_assigned_values_are_whole(spark):
     assert said("token" * 20000) == []
 
 
+def said_by(forest, some):
+    return [any(s < b and e > a for s, e, _, _ in secrets.scan_texts([text], forest)[0]) for text, a, b, _ in some]
+
+
+def test_forest_on_templates_it_has_not_seen():
+    """Each of these sorts of finding is left out of the training and must still be told."""
+    for template in ("assigned_letters", "assigned_base", "assigned_word_marks", "said_before", "bearer", "uuid", "path", "code", "digest", "snake"):
+        forest = secrets.train(secrets.labelled_findings(2000, 1, without=(template,)), trees=15)
+        some = secrets.labelled_findings(120, 3, only=(template,))
+        assert sum(x == (template in secrets.SECRETS) for x in said_by(forest, some)) / len(some) >= 0.85, template
+
+
+def test_forest_decides_not_the_rule():
+    forest = secrets.train(secrets.labelled_findings())
+    key, sha = "9fK2mQ7zXw41bT6pLs0Qd83n", "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    found = lambda text: [(r, s >= 0.5) for (_, _, r), s in zip(secrets.candidates(text), forest.predict(np.array([secrets.features(text, a, b, r) for a, b, r in secrets.candidates(text)])))]
+    assert found(f"the token is {key} ok") == [("long", True)] and found(f"Authorization: Bearer {key}x") == [("assigned", False), ("long", True)]  # the word Bearer, the key
+    assert found(f"commit {sha} merged") == [("long", False)] and found(f"{sha} is the checksum") == [("long", False)]
+    assert found(f'token = "{sha}" x') == [("assigned", True)] and found("password: correcthorsebatterystaple now") == [("assigned", True)]
+    assert found("password: required now") == [("assigned", False)] and found("token = get_value(); then") == [("assigned", False)]
+
+
+def test_private_key_blocks_go_whole(spark):
+    body = "\n".join("MIIEowIBAAKCAQEA" + "xY9/" * 12 for _ in range(5)) + "\nAbc="
+    blocks = [
+        f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123ABCD\n\n{body}\n-----END RSA PRIVATE KEY-----",
+        f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----".replace("\n", "\\n"),
+        f"-----BEGIN OPENSSH PRIVATE KEY-----\r\n{body}\r\n-----END OPENSSH PRIVATE KEY-----",
+        f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 1\n\n{body}\n-----END PGP PRIVATE KEY BLOCK-----",
+        f"-----BEGIN EC PRIVATE KEY-----\n{body}",
+    ]
+    texts = [f'before {b} after words' for b in blocks] + [f'{{"key": "{blocks[1]}"}}', "-----BEGIN PRIVATE KEY-----" * 3000]
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(table(spark, list(enumerate(texts)))).collect()}
+    assert all(clean[i] == "before <private_key> after words" for i in range(5)) and clean[5] == '{"key": "<private_key>"}'
+    assert "BEGIN" not in clean[6]
+
+
+def test_planted_secrets_and_redaction_by_brute_force(spark, sf):
+    """The secrets planted in the documents: all found, nothing else, and the rest of each text stays."""
+    large = sf.replace("sf0.001", "sf0.1").replace("sf0.01", "sf0.1")
+    docs = spark.read.parquet(f"{large}/documents.parquet")
+    found = Counter((r["doc_id"], r["start"], r["length"]) for r in registry.QUERIES["op4_secret_scan"](spark, large).collect())
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs.select("doc_id", "text")).collect()}
+    planted = Counter()
+    for r in docs.select("doc_id", "text").collect():
+        spans = [m.span(1) for m in re.finditer('(?i)token = "([0-9a-f]{40})"', r["text"] or "")]
+        planted.update((r["doc_id"], a, b - a) for a, b in spans)
+        want, at = [], 0
+        for a, b in spans:
+            want += [(r["text"][at:a]), "<assigned>"]
+            at = b
+        assert clean[r["doc_id"]] == (r["text"] if r["text"] is None else "".join(want) + r["text"][at:])
+    assert len(planted) > 100 and found == planted
+
+
 # ---------------------------------------------------------------- 5
 
 
