@@ -25,27 +25,75 @@ def unique_match(names: DataFrame, pool: DataFrame, norm: str, entity: str, out:
     return names.join(found, norm, "left").withColumn(out, hit).withColumn(f"{out}_collides", F.coalesce(F.col("__low") != F.col("__high"), F.lit(False))).drop("__low", "__high")
 
 
-def fuzzy_scores(names: DataFrame, pool: DataFrame, norm: str, entity: str, hot: int = 10_000) -> DataFrame:
-    """norm, entity, score: token-set similarity of the pairs that share a token.
+def _in_parts(left: DataFrame, right: DataFrame, norm: str, key: str, hot: int) -> DataFrame:
+    """Pairs (norm, __other) with an equal key; a key of many names of the right side is split into parts of about ``hot``."""
+    size = right.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / hot).cast("int").alias("__parts"))
+    asked = left.join(size, key).select(norm, key, F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part"))
+    blocks = right.join(size, key).select("__other", key, F.pmod(F.xxhash64("__other"), F.col("__parts")).cast("int").alias("__part"))
+    return asked.join(blocks, [key, "__part"]).select(norm, "__other")
 
-    Blocking on shared tokens loses nothing: without one the score stays under the bar of
-    acceptance.  The block of a token is split into parts of about ``hot`` names of the pool, by
-    their hash, and each name that asks meets every part.
+
+def fuzzy_scores(names: DataFrame, pool: DataFrame, norm: str, entity: str, hot: int = 10_000, least: float = CANDIDATE_SCORE) -> DataFrame:
+    """norm, entity, score: all pairs whose token-set similarity is ``least`` or more.
+
+    No pair is lost.  With s = least / 100, |x| the length of the tokens of x joined by spaces:
+
+    - A score by the shared tokens (these with or without the rest of one side) needs shared
+      tokens of length s |x| / (2 - s) for one of the two names x, so its tokens that aren't
+      shared have a length of at most |x| (1 - s / (2 - s)) together, a space each included.  Of
+      the rarest tokens of x that are longer than that together one is shared.
+    - A score of both wholes allows d = (1 - s) (|x| + |y|) insertions and deletions.  Each
+      takes at most two letter pairs from a name (pairs within a token and at its ends, so
+      their order doesn't matter).  Of the 2 d + 1 rarest pairs of each one is shared.
+
+    So names meet by their rarest tokens and letter pairs alone, and words that most names hold
+    make no block unless a name has no others.
     """
-    token = lambda df: F.explode(F.array_distinct(F.split(F.col(norm), " ")))
-    left = names.select(norm).distinct().withColumn("__token", token(names))
-    right = pool.select(F.col(norm).alias("__other"), F.col(norm)).distinct()
-    right = right.withColumn("__token", token(right)).drop(norm)
-    size = right.groupBy("__token").agg(F.ceil(F.count(F.lit(1)) / hot).cast("int").alias("__parts"))
-    asked = left.join(size, "__token").select(norm, "__token", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part"))
-    blocks = right.join(size, "__token").select("__other", "__token", F.pmod(F.xxhash64("__other"), F.col("__parts")).cast("int").alias("__part"))
-    pairs = asked.join(blocks, ["__token", "__part"]).select(norm, "__other").distinct()
+    s = least / 100
+    squeezed = F.trim(F.regexp_replace(F.col(norm), r"\s+", " "))
+    whole = F.array_join(F.array_distinct(F.split(squeezed, " ")), " ")
+    rows = lambda df: df.select(norm).distinct().withColumn("__whole", whole).where("__whole != ''").withColumn("__size", F.length("__whole"))
+    left, right = rows(names), rows(pool).withColumnRenamed(norm, "__other")
+    by_rarity = lambda key, name: Window.partitionBy(name).orderBy(F.coalesce("__n", F.lit(0)), key)
+
+    def tokens(df: DataFrame, name: str) -> DataFrame:
+        return df.select(name, "__size", F.explode(F.split("__whole", " ")).alias("__token"))
+
+    def rarest_tokens(df: DataFrame, name: str) -> DataFrame:
+        told = df.join(often_tokens, "__token", "left")
+        before = F.sum(F.length("__token") + 1).over(by_rarity("__token", name).rowsBetween(Window.unboundedPreceding, -1))
+        return told.withColumn("__before", F.coalesce(before, F.lit(0))).where(F.col("__before") <= F.col("__size") * (1 - s / (2 - s)) + 1e-9).select(name, "__token")
+
+    left_tokens, right_tokens = tokens(left, norm), tokens(right, "__other")
+    often_tokens = right_tokens.groupBy("__token").agg(F.count(F.lit(1)).alias("__n"))
+    by_token = _in_parts(rarest_tokens(left_tokens, norm), right_tokens.select("__other", "__token"), norm, "__token", hot)
+    by_token = by_token.unionByName(_in_parts(left_tokens.select(norm, "__token"), rarest_tokens(right_tokens, "__other"), norm, "__token", hot))
+
+    def letters(df: DataFrame, name: str) -> DataFrame:
+        padded = F.concat(F.lit(" "), F.col("__whole"), F.lit(" "))
+        pairs = F.transform(F.sequence(F.lit(1), F.col("__size") + 1), lambda i: F.substring(padded, i, F.lit(2)))
+        some = df.select(name, "__size", F.explode(pairs).alias("__pair")).groupBy(name, "__size", "__pair").agg(F.count(F.lit(1)).alias("__times"))
+        return some.select(name, "__size", F.explode(F.transform(F.sequence(F.lit(1), F.col("__times").cast("int")), lambda i: F.concat("__pair", i.cast("string")))).alias("__gram"))
+
+    def rarest_letters(df: DataFrame, name: str) -> DataFrame:
+        # the other name is at most 1 / s - ... as long: |y| <= |x| (2 - s) / s
+        most = F.floor((1 - s) * F.col("__size") * (1 + (2 - s) / s) + 1e-9)
+        told = df.join(often_letters, "__gram", "left").withColumn("__nr", F.row_number().over(by_rarity("__gram", name)))
+        return told.where(F.col("__nr") <= 2 * most + 1).select(name, "__gram")
+
+    left_letters, right_letters = letters(left, norm), letters(right, "__other")
+    often_letters = right_letters.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
+    by_letter = _in_parts(rarest_letters(left_letters, norm), rarest_letters(right_letters, "__other"), norm, "__gram", hot)
+    sizes = left.select(norm, "__size"), right.select("__other", F.col("__size").alias("__other_size"))
+    near = F.abs(F.col("__size") - F.col("__other_size")) <= (1 - s) * (F.col("__size") + F.col("__other_size")) + 1e-9
+    by_letter = by_letter.distinct().join(sizes[0], norm).join(sizes[1], "__other").where(near).select(norm, "__other")
+    pairs = by_token.unionByName(by_letter).distinct()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.assign(score=[token_set_ratio(a, b) for a, b in zip(batch[norm], batch["__other"])])
 
-    scored = pairs.mapInPandas(score, f"{norm} string, __other string, score double")
+    scored = pairs.mapInPandas(score, f"{norm} string, __other string, score double").where(F.col("score") >= least)
     owners = pool.select(F.col(norm).alias("__other"), entity).distinct()
     return scored.join(owners, "__other").groupBy(norm, entity).agg(F.max("score").alias("score"))
 
@@ -54,7 +102,7 @@ def resolve(names: DataFrame, pool: DataFrame, aliases: DataFrame, norm: str, en
     """norm, entity, method, confidence of each distinct name.
 
     Exact, then alias; several entities at either tier are a collision and go to review.  Then
-    the best fuzzy score, if it clears the bar and leads the best other entity; then ``model``
+    the best fuzzy score over all names of the pool, if it clears the bar and leads the best other entity; then ``model``
     (norm, entity, score of the ten best candidates -> norm, entity, confidence); else review.
     ``pool`` holds all names, former ones too.
     """
@@ -64,7 +112,7 @@ def resolve(names: DataFrame, pool: DataFrame, aliases: DataFrame, norm: str, en
     blank = F.coalesce(F.col(norm), F.lit("")) == ""
     settled = ~blank & (F.col("__exact").isNotNull() | F.col("__exact_collides") | F.col("__alias").isNotNull() | F.col("__alias_collides"))
     open_ = tiers.where(~settled & ~blank).select(norm)
-    scores = fuzzy_scores(open_, pool, norm, entity)
+    scores = fuzzy_scores(open_, pool, norm, entity, least=FUZZY_ACCEPT - FUZZY_LEAD if model is None else CANDIDATE_SCORE)
     order = Window.partitionBy(norm).orderBy(F.col("score").desc(), entity)
     ranked = scores.withColumn("__nr", F.row_number().over(order))
     best = ranked.groupBy(norm).agg(F.max(F.when(F.col("__nr") == 1, F.col(entity))).alias("__best"), F.max("score").alias("__score"), F.coalesce(F.max(F.when(F.col("__nr") == 2, F.col("score"))), F.lit(0.0)).alias("__second"))

@@ -56,20 +56,21 @@ def is_custodian(name: Column) -> Column:
     return F.lower(name).rlike(CUSTODIANS)
 
 
-def owners(edges: DataFrame, child: str, parent: str, levels: int = 20) -> DataFrame:
-    """child, ancestor, depth: every owner above each entity; a cycle ends where it closes.
+def owners(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """child, ancestor, depth: every owner above each entity, however far; a cycle ends where it closes.
 
-    One join a level, each over what the last found; ``levels`` bounds the loop, not the width.
+    One join a level, each over what the last found, until nothing new is.
     """
-    step = edges.select(F.col(child).alias("__c"), F.col(parent).alias("__p")).where("__c is not null and __p is not null").distinct()
-    found = step.select(F.col("__c").alias("child"), F.col("__p").alias("ancestor"), F.lit(1).alias("depth"))
-    found = last = cut(found)
-    for depth in range(2, levels + 1):
+    step = cut(edges.select(F.col(child).alias("__c"), F.col(parent).alias("__p")).where("__c is not null and __p is not null").distinct())
+    found = last = step.select(F.col("__c").alias("child"), F.col("__p").alias("ancestor"), F.lit(1).alias("depth"))
+    depth = 1
+    while not last.isEmpty():
+        depth += 1
         last = last.join(step, F.col("ancestor") == F.col("__c")).select("child", F.col("__p").alias("ancestor"), F.lit(depth).alias("depth"))
         last = cut(last.distinct().join(found.select("child", "ancestor"), ["child", "ancestor"], "left_anti"))
-        if last.isEmpty():
-            break
         found = found.unionByName(last)
+        if depth % 10 == 0:  # many small parts would be read again at each level
+            found = cut(found.coalesce(max(8, step.sparkSession.sparkContext.defaultParallelism)))
     return found.where("child != ancestor")
 
 

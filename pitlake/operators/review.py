@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 # Fixed values.
 ACCEPT = 0.9
 LATE_DAYS = 8
@@ -88,19 +90,24 @@ def prior_version(records: DataFrame, keys: Sequence[str], version: str, payload
     return records.withColumn("prior_payload", F.lag(payload).over(Window.partitionBy(*keys).orderBy(version)))
 
 
-def leaves(rows: DataFrame, keys: Sequence[str], payload: str, levels: int = 8) -> DataFrame:
-    """keys, path, value of every scalar in a JSON payload, through objects and arrays; array lengths are leaves too."""
-    base = rows.select(*keys, F.lit("$").alias("path"), F.parse_json(F.col(payload)).alias("v"))
+def leaves(rows: DataFrame, keys: Sequence[str], payload: str) -> DataFrame:
+    """keys, path, value of every scalar in a JSON payload, through objects and arrays of any depth; array lengths are leaves too.
+
+    The payload is parsed once; a level is read from what the level above left nested.
+    """
+    base = cut(rows.select(*keys, F.lit("$").alias("path"), F.parse_json(F.col(payload)).alias("v")))
+    kind = F.schema_of_variant("v")
+    nested = F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
     out = None
-    for _ in range(levels):
-        kind = F.schema_of_variant("v")
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        here = base.where(~F.coalesce(nested, F.lit(False))).select(*keys, "path", F.col("v").cast("string").alias("value"))
+    while True:
+        here = base.where(~nested).select(*keys, "path", F.col("v").cast("string").alias("value"))
         sized = base.where(kind.startswith("ARRAY")).select(*keys, F.concat("path", F.lit("[]")).alias("path"), F.size(F.col("v").cast("array<variant>")).cast("string").alias("value"))
         found = here.unionByName(sized)
         out = found if out is None else out.unionByName(found)
-        base = base.where(nested).lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("v").outer())).select(*keys, F.concat(F.col("path"), F.coalesce(F.concat(F.lit("."), F.col("key")), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))).alias("path"), F.col("value").alias("v"))
-    return out
+        inner = base.where(nested)
+        if inner.isEmpty():
+            return out
+        base = cut(inner.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("v").outer())).select(*keys, F.concat(F.col("path"), F.coalesce(F.concat(F.lit("."), F.col("key")), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))).alias("path"), F.col("value").alias("v")))
 
 
 def same_scalar(a: Column, b: Column) -> Column:
@@ -110,10 +117,10 @@ def same_scalar(a: Column, b: Column) -> Column:
     return F.coalesce(num(a) == num(b), text(a) == text(b), a.isNull() & b.isNull())
 
 
-def payload_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], payload: str, levels: int = 8) -> DataFrame:
+def payload_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], payload: str) -> DataFrame:
     """keys, path and both values wherever two payloads differ; arrays of unequal length are one difference."""
-    left = leaves(a, keys, payload, levels).withColumnRenamed("value", "value_a").withColumn("__a", F.lit(1))
-    right = leaves(b, keys, payload, levels).withColumnRenamed("value", "value_b").withColumn("__b", F.lit(1))
+    left = leaves(a, keys, payload).withColumnRenamed("value", "value_a").withColumn("__a", F.lit(1))
+    right = leaves(b, keys, payload).withColumnRenamed("value", "value_b").withColumn("__b", F.lit(1))
     both = left.join(right, [*keys, "path"], "full_outer").where(~F.coalesce(same_scalar(F.col("value_a"), F.col("value_b")), F.lit(False)))
     sized = both.where(F.col("path").endswith("[]")).select(*keys, F.expr("left(path, length(path) - 2)").alias("__stop"))
     inside = both.where(~F.col("path").endswith("[]")).join(sized, list(keys), "left").withColumn("__in", F.coalesce(F.col("path").startswith(F.concat(F.col("__stop"), F.lit("["))), F.lit(False)))

@@ -206,3 +206,49 @@ def test_fuzzy_scores_of_hot_tokens(spark):
     out = {r["entity"]: r["score"] for r in I.fuzzy_scores(asked, pool, "norm", "entity", hot=2).collect()}
     assert out == {i: token_set_ratio("GLOBAL RESOURCES AUSTRALIA MINNING", n) for i, n in enumerate(names)}
     assert max(out, key=out.get) == 0 and out[0] > 93
+
+
+def test_fuzzy_scores_lose_no_pair(spark):
+    """Against all pairs by brute force, at the bar of the runner-up and at that of a model's candidates."""
+    import random
+
+    from pitlake.functions.scoring import token_set_ratio
+
+    r = random.Random(5)
+    words = ["BANK", "GROUP", "WOODSIDE", "RESOURCES", "AUSTRALIA", "MINING", "OF", "A", "NORTH", "STAR", "GOLD", "HOLDING"] + ["".join(r.choice("ABCDE") for _ in range(r.randint(2, 7))) for _ in range(20)]
+
+    def changed(name):
+        name = list(name)
+        for _ in range(r.randint(1, 3)):
+            at = r.randrange(len(name))
+            name[at : at + 1] = r.choice([[], [name[at], r.choice("ABXS ")], [r.choice("AEZ")]])
+        return " ".join("".join(name).split()) or "X"
+
+    pool = sorted({" ".join(r.choice(words) for _ in range(r.randint(1, 4))) for _ in range(150)} | {"WOODSIDE", "BANK"})
+    names = sorted({changed(r.choice(pool)) for _ in range(120)} | {"WOODSIDES", "BANK FOO", "WOOD SIDE", "A"})
+    asked = spark.createDataFrame([(n,) for n in names], "norm string")
+    known = spark.createDataFrame([(n, i) for i, n in enumerate(pool)], "norm string, entity long")
+    for least in (90.0, 60.0):
+        out = {(x["norm"], x["entity"]): x["score"] for x in I.fuzzy_scores(asked, known, "norm", "entity", hot=7, least=least).collect()}
+        assert out == {(n, i): x for n in names for i, p in enumerate(pool) if (x := token_set_ratio(n, p)) >= least}
+    said = {x["norm"]: (x["entity"], x["method"]) for x in I.resolve(asked, known, known.limit(0), "norm", "entity").collect()}
+    for n in names:
+        best = sorted(((token_set_ratio(n, p), -i) for i, p in enumerate(pool)), reverse=True)
+        if n not in pool:
+            sure = best[0][0] >= 93 and best[0][0] - best[1][0] >= 3
+            assert said[n] == ((-best[0][1], "fuzzy") if sure else (None, "review")), n
+
+
+def test_chains_and_payloads_of_any_depth(spark):
+    from pitlake.operators import registers as G
+
+    edges = spark.createDataFrame([(k, k + 1) for k in range(100)] + [(200, 201), (201, 200), (None, 3), (3, None)], "c long, p long")
+    out = [(r["child"], r["ancestor"], r["depth"]) for r in G.owners(edges, "c", "p").collect()]
+    assert sorted(out) == sorted([(a, b, b - a) for a in range(100) for b in range(a + 1, 101)] + [(200, 201, 1), (201, 200, 1)])
+
+    def deep(k, value):
+        return ('{"a":[' * k) + f'"{value}"' + ("]}" * k)
+
+    rows = lambda v: spark.createDataFrame([(1, deep(6, v)), (2, None), (3, "{}"), (4, "5")], "k long, p string")
+    diff = R.payload_diff(rows("x"), rows("y"), ["k"], "p").collect()
+    assert [(r["k"], r["path"], r["value_a"], r["value_b"]) for r in diff] == [(1, "$" + ".a[0]" * 6, "x", "y")]
