@@ -79,12 +79,12 @@ def interval_lookup_unique(spark, sf):
     return P.lookup_unique(d, v, ["cust"], "c_custkey", "day", "f", "t", "o_orderkey", "the_order").select("c_custkey", "day", "the_order")
 
 
-@query(f"""WITH {ORDERS_SQL}, v AS (SELECT o_custkey, o_orderkey, order_day AS f, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(order_day + 20 AS DATE) END AS t FROM od WHERE order_day >= DATE '1998-01-01')
+@query(f"""WITH {ORDERS_SQL}, v AS (SELECT o_custkey, o_orderkey, order_day AS f, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(order_day + 20 AS DATE) END AS t FROM od)
  SELECT a.o_custkey, a.o_orderkey AS id_a, b.o_orderkey AS id_b, greatest(a.f, b.f) AS overlap_from, least(coalesce(a.t, DATE '9999-12-31'), coalesce(b.t, DATE '9999-12-31')) AS overlap_to
  FROM v a JOIN v b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey AND a.f <= coalesce(b.t, DATE '9999-12-31') AND b.f <= coalesce(a.t, DATE '9999-12-31')""")
 def overlap_collisions(spark, sf):
     """Overlapping intervals of one customer; open ones reach to the end of time."""
-    v = orders(spark, sf).where(F.col("order_day") >= _day("1998-01-01")).withColumn("t", F.when(F.col("o_orderstatus") != "P", F.date_add("order_day", 20)))
+    v = orders(spark, sf).withColumn("t", F.when(F.col("o_orderstatus") != "P", F.date_add("order_day", 20)))
     return P.overlaps(v, ["o_custkey"], "o_orderkey", "order_day", "t")
 
 
@@ -96,13 +96,13 @@ def bitemporal_known_as_of(spark, sf):
     return e.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("amount").cast("decimal(18,2)").alias("total"))
 
 
-@query(f"""WITH {PURCHASES_SQL}, snap AS (SELECT DISTINCT CAST(date_trunc('week', event_day) AS DATE) AS as_of FROM ev WHERE event_day < DATE '2024-01-18'),
- mem AS (SELECT DISTINCT CAST(date_trunc('week', event_day) AS DATE) AS as_of, entity FROM ev WHERE event_day < DATE '2024-01-18' AND event_type = 'click' AND entity IS NOT NULL AND user_id % 3 = 0),
+@query(f"""WITH {PURCHASES_SQL}, snap AS (SELECT DISTINCT CAST(date_trunc('week', event_day) AS DATE) AS as_of FROM ev),
+ mem AS (SELECT DISTINCT CAST(date_trunc('week', event_day) AS DATE) AS as_of, entity FROM ev WHERE event_type = 'click' AND entity IS NOT NULL AND user_id % 3 = 0),
  p AS (SELECT event_id, entity, event_day, (SELECT max(as_of) FROM snap WHERE as_of <= event_day AND as_of + 2 <= event_day) AS best FROM pu)
  SELECT event_id, entity, event_day, CASE WHEN best IS NULL OR event_day - best > 8 THEN NULL ELSE EXISTS (SELECT 1 FROM mem m WHERE m.as_of = p.best AND m.entity = p.entity) END AS is_member FROM p""")
 def membership_3valued(spark, sf):
     """Membership by the newest snapshot knowable on the day; null where there is none or it is stale."""
-    e = events(spark, sf).where(F.col("event_day") < _day("2024-01-18"))
+    e = events(spark, sf)
     week = F.to_date(F.date_trunc("week", "event_day"))
     snaps = e.select(week.alias("as_of")).distinct().withColumn("knowable_at", F.date_add("as_of", 2))
     members = e.where("event_type = 'click' and entity is not null and user_id % 3 = 0").select(week.alias("as_of"), "entity").distinct()
@@ -148,7 +148,7 @@ def single_or_blank(spark, sf):
 
 def _share_log(spark, sf):
     """lineitem as a share log: the first line of a part is its anchor, first lines of orders are ratios, others deltas."""
-    l = table(spark, sf, "lineitem").where("l_partkey % 4 = 0 or true").select("l_partkey", F.to_date("l_shipdate").alias("event_date"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("event_id"), "l_linenumber", "l_orderkey", "l_returnflag", F.col("l_quantity").cast("decimal(38,10)").alias("q"))
+    l = table(spark, sf, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("event_date"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("event_id"), "l_linenumber", "l_orderkey", "l_returnflag", F.col("l_quantity").cast("decimal(38,10)").alias("q"))
     ratio = F.col("l_linenumber") == 1
     l = l.withColumn("kind", F.when(F.col("l_returnflag") == "R", "issue_proposed").when(ratio, "split").otherwise("issue"))
     l = l.withColumn("ratio_num", F.when(ratio, F.lit(5).cast("decimal(38,10)"))).withColumn("ratio_den", F.when(ratio, F.lit(4).cast("decimal(38,10)"))).withColumn("qty_delta", F.when(~ratio, F.col("q")))
@@ -446,7 +446,7 @@ def registry_rank(spark, sf):
     return I.rank_registrations(r, r, "norm").select("norm", "number", "basis")
 
 
-@query()
+@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(upper(replace(strip_accents(text), 'ß', 'SS')), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS folded FROM documents""")
 def name_fold_unicode(spark, sf):
     """Accents folded off the whole text of each document."""
     return table(spark, sf, "documents").select("doc_id", T.fold(F.col("text")).alias("folded"))
@@ -515,7 +515,7 @@ def json_unnest(spark, sf):
  SELECT p_partkey, '$.name' AS path, a.n AS value_a, b.n AS value_b FROM a JOIN b USING (p_partkey) WHERE lower(a.n) <> lower(b.n) UNION ALL SELECT p_partkey, '$.size', a.s, b.s FROM a JOIN b USING (p_partkey) WHERE b.s IS NULL""")
 def payload_diff(spark, sf):
     """Where two payloads differ, numbers as numbers and words without case."""
-    p = table(spark, sf, "part").where("p_partkey % 1 = 0")
+    p = table(spark, sf, "part")
     a = p.select("p_partkey", F.to_json(F.struct(F.upper("p_name").alias("name"), F.col("p_size").cast("string").alias("size"))).alias("payload"))
     other = F.when(F.col("p_partkey") % 3 == 0, F.concat("p_name", F.lit("x"))).otherwise(F.lower("p_name"))
     b = p.select("p_partkey", F.to_json(F.struct(other.alias("name"), F.when(F.col("p_partkey") % 4 != 0, F.concat(F.lit("0"), F.col("p_size").cast("string"))).alias("size"))).alias("payload"))
@@ -566,10 +566,10 @@ def monitor_capture_rate(spark, sf):
     return Q.capture_rate(table(spark, sf, "events"), F.col("event_type") != "error", "ts", now).withColumn("rate", F.round("rate", 9))
 
 
-@query(f"""SELECT event_type, count(*) AS n_open, CAST(min(ts) AS DATE) AS oldest, CASE WHEN min(ts) < TIMESTAMP '{_NOW}' - INTERVAL 14 DAY THEN 'halted' WHEN min(ts) < TIMESTAMP '{_NOW}' - INTERVAL 7 DAY THEN 'late' END AS alarm FROM events WHERE event_id % 50 = 0 AND ts >= TIMESTAMP '2024-01-08' GROUP BY 1""")
+@query(f"""SELECT event_type, count(*) AS n_open, CAST(min(ts) AS DATE) AS oldest, CASE WHEN min(ts) < TIMESTAMP '{_NOW}' - INTERVAL 14 DAY THEN 'halted' WHEN min(ts) < TIMESTAMP '{_NOW}' - INTERVAL 7 DAY THEN 'late' END AS alarm FROM events GROUP BY 1""")
 def review_sla(spark, sf):
     """Open items by age."""
-    items = table(spark, sf, "events").where("event_id % 50 = 0 and ts >= timestamp_ntz'2024-01-08'").withColumn("resolved_at", F.lit(None).cast("timestamp_ntz"))
+    items = table(spark, sf, "events").withColumn("resolved_at", F.lit(None).cast("timestamp_ntz"))
     return Q.review_sla(items, "ts", F.lit(_NOW).cast("timestamp_ntz"), ["event_type"]).withColumn("oldest", F.to_date("oldest"))
 
 
@@ -674,11 +674,11 @@ def asof_membership(spark, sf):
     return P.as_of_join(p, m.withColumn("tie", F.col("newest")), ["c_custkey"], "day", "begun", ["newest"], "tie")
 
 
-@query(f"""WITH {ORDERS_SQL}, t AS (SELECT c_custkey % 100 AS ticker, c_custkey AS entity FROM customer WHERE c_custkey < 130), h AS (SELECT DISTINCT s_suppkey % 120 AS ticker FROM supplier UNION SELECT n_nationkey * 3 FROM nation),
+@query(f"""WITH {ORDERS_SQL}, t AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN c_custkey - 1 ELSE c_custkey END AS ticker, c_custkey AS entity FROM customer), h AS (SELECT DISTINCT s_suppkey % 120 AS ticker FROM supplier UNION SELECT n_nationkey * 3 FROM nation),
  u AS (SELECT ticker, CASE WHEN count(DISTINCT entity) = 1 THEN min(entity) END AS entity FROM t GROUP BY 1) SELECT h.ticker, u.entity, u.entity IS NULL AS unresolved FROM h LEFT JOIN u ON u.ticker = h.ticker""")
 def index_load(spark, sf):
     """Tickers of an index with their entity; unresolved ones are kept and reported."""
-    t = table(spark, sf, "customer").where("c_custkey < 130").select((F.col("c_custkey") % 100).alias("ticker"), F.col("c_custkey").alias("entity"))
+    t = table(spark, sf, "customer").select(F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey") - 1).otherwise(F.col("c_custkey")).alias("ticker"), F.col("c_custkey").alias("entity"))
     h = table(spark, sf, "supplier").select((F.col("s_suppkey") % 120).alias("ticker")).union(table(spark, sf, "nation").select((F.col("n_nationkey") * 3).cast("long"))).distinct()
     return I.unique_match(h, t, "ticker", "entity", "found").select("ticker", F.col("found").alias("entity"), F.col("found").isNull().alias("unresolved"))
 
@@ -740,12 +740,12 @@ def notice_validation(spark, sf):
     return out.select("event_id", F.size("errors").cast("int").alias("n_errors"), F.size("warnings").cast("int").alias("n_warnings"), "status")
 
 
-@query("""WITH r AS (SELECT event_id AS doc_id, event_id % 3 + 1 AS v FROM events WHERE event_id < 3000)
+@query("""WITH r AS (SELECT event_id AS doc_id, event_id % 3 + 1 AS v FROM events)
  SELECT doc_id, v AS version, 'P' || CAST(k AS VARCHAR) AS person, CAST(doc_id + k AS BIGINT) AS qty_acquired, CASE WHEN v = 1 THEN 'contradicted' ELSE 'unverified' END AS corroboration, CASE WHEN v = 1 THEN 'arithmetic: x' WHEN v = 2 THEN 'late' ELSE 'routed to review with no validator finding recorded' END AS because
  FROM r, (SELECT unnest([0, 1]) AS k) WHERE doc_id % 5 <> 0 AND NOT (k = 1 AND doc_id % 2 = 0)""")
 def uncorroborated(spark, sf):
     """Readings under review: the newest version, through notices and securities, with the reasons."""
-    e = table(spark, sf, "events").where("event_id < 3000").withColumn("v", F.col("event_id") % 3 + 1)
+    e = table(spark, sf, "events").withColumn("v", F.col("event_id") % 3 + 1)
     sec = lambda k: F.struct(F.when((F.lit(k) == 1) & (F.col("event_id") % 2 == 0), "n/a").otherwise((F.col("event_id") + k).cast("string")).alias("qty_acquired"))
     notice = lambda k: F.struct(F.lit(f"P{k}").alias("director_name"), F.lit("2024-01-05").alias("date_of_change"), F.array(sec(k)).alias("securities"))
     full = F.to_json(F.struct(F.array(notice(0), notice(1)).alias("notices")))
@@ -759,12 +759,12 @@ def uncorroborated(spark, sf):
     return out.select("doc_id", "version", "person", F.col("qty_acquired").cast("long").alias("qty_acquired"), "corroboration", F.array_join("because", "; ").alias("because"))
 
 
-@query(f"""WITH i AS (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'p' || CAST(user_id % 5 AS VARCHAR) END AS parser, ts FROM events WHERE event_id % 97 = 0 AND event_id % 4 <> 0), p AS (SELECT DISTINCT 'p' || CAST(user_id % 7 AS VARCHAR) AS parser FROM events)
+@query(f"""WITH i AS (SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN 'p' || CAST(user_id % 5 AS VARCHAR) END AS parser, ts FROM events), p AS (SELECT DISTINCT 'p' || CAST(user_id % 7 AS VARCHAR) AS parser FROM events)
  SELECT p.parser, coalesce(bool_or(i.ts < TIMESTAMP '{_NOW}' - INTERVAL 14 DAY AND i.event_id % 3 <> 0), false) AS halted FROM p LEFT JOIN i USING (parser) GROUP BY 1""")
 def halted_parsers(spark, sf):
     """Parsers that an old open item stops."""
     e = table(spark, sf, "events")
-    items = e.where("event_id % 97 = 0 and event_id % 4 != 0").select(F.concat(F.lit("p"), (F.col("user_id") % 5).cast("string")).alias("parser"), F.col("ts").alias("created_at"), F.when(F.col("event_id") % 3 == 0, F.col("ts")).alias("resolved_at"), F.lit("extraction").alias("kind"), F.col("event_id").alias("doc_id"))
+    items = e.select(F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("p"), (F.col("user_id") % 5).cast("string"))).alias("parser"), F.col("ts").alias("created_at"), F.when((F.col("event_id") % 3 == 0) | (F.col("event_id") % 4 == 0), F.col("ts")).alias("resolved_at"), F.lit("extraction").alias("kind"), F.col("event_id").alias("doc_id"))
     parsers = e.select(F.concat(F.lit("p"), (F.col("user_id") % 7).cast("string")).alias("parser")).distinct()
     return R.halted(items, parsers, F.lit(_NOW).cast("timestamp_ntz"))
 
@@ -810,13 +810,13 @@ def monitor_identity(spark, sf):
     return Q.identity_rate(e, l, "entity").withColumn("rate", F.round("rate", 9))
 
 
-@query("""WITH p AS (SELECT user_id AS load_id, event_id AS part_no, sha256(event_type || CAST(user_id % 20 AS VARCHAR)) AS h FROM events WHERE event_id < 400), l AS (SELECT load_id, list(h ORDER BY part_no) AS d, load_id % 2 AS source FROM p GROUP BY load_id)
+@query("""WITH p AS (SELECT event_id // 2 AS load_id, event_id AS part_no, sha256(event_type || CAST(user_id % 3 AS VARCHAR)) AS h FROM events), l AS (SELECT load_id, list(h ORDER BY part_no) AS d, load_id % 2 AS source FROM p GROUP BY load_id)
  SELECT load_id, source, first_value(load_id) OVER (PARTITION BY source, d ORDER BY load_id) <> load_id AS is_repeat FROM l""")
 def load_repeats(spark, sf):
     """Loads of content that was loaded before."""
     from ..sources.state import load_state
 
-    parts = table(spark, sf, "events").where("event_id < 400").select(F.col("user_id").alias("load_id"), F.col("event_id").alias("part_no"), F.sha2(F.concat("event_type", (F.col("user_id") % 20).cast("string")).cast("binary"), 256).alias("sha256"))
+    parts = table(spark, sf, "events").select(F.expr("event_id div 2").alias("load_id"), F.col("event_id").alias("part_no"), F.sha2(F.concat("event_type", (F.col("user_id") % 3).cast("string")).cast("binary"), 256).alias("sha256"))
     loads = parts.select("load_id").distinct().withColumn("source", F.col("load_id") % 2)
     return load_state(loads, parts).select("load_id", "source", "is_repeat")
 
