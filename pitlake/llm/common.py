@@ -21,30 +21,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the memory of one Arrow batch sent to a Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) != rows:
-        spark.conf.set(key, str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
-    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")  # texts may be long there too
+    """Bound the memory of one Arrow batch sent to a Python worker, where the session leaves that to Spark.
+
+    These settings are read when a plan runs, which is after the operator returns, so they can't
+    be put back; what a session has set itself stays as it is.
+    """
+    own = spark._jsparkSession.sessionState().conf()
+    # texts may be long in a batch of the Parquet reader too
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20), ("spark.sql.parquet.columnarReaderBatchSize", 512)):
+        if not own.contains(key):
+            spark.conf.set(key, str(value))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one where it is unset and Spark runs on this machine alone."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         base = getattr(spark.sparkContext, "_pitlake_scratch", None)
         if base is None:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="pitlake-")
             spark.sparkContext._pitlake_scratch = base
     return base.rstrip("/")
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files and local rows under ``df``, as its plan knows them; None where it doesn't."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(n >= 1 << 60 for n in sizes) else sum(sizes)
+
+
+def parts_of(df: DataFrame, size: int, unknown: int = 1) -> int:
+    """How many partitions of about ``size`` bytes of input ``df`` makes, one at least; ``unknown`` where its size isn't known."""
+    total = input_bytes(df)
+    return unknown if total is None else min(max(1, -(-total // size)), 1 << 30)
+
+
+#: Bytes of input a task may read.
+TASK_BYTES = 64 << 20
+
+
 def few(df: DataFrame) -> DataFrame:
-    """``df`` in at most eight partitions for each core of the cluster, or a quarter of the shuffle
-    partitions where that is more: beyond that more tasks don't help, and each file costs."""
+    """``df`` in no more partitions than help, as each file costs: eight for each core, a quarter of
+    the shuffle partitions or one for each ``TASK_BYTES`` of its input, whichever is most."""
     spark = df.sparkSession
-    return df.coalesce(max(8 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4))
+    return df.coalesce(max(8 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4, parts_of(df, TASK_BYTES)))
 
 
 class Scratch:
