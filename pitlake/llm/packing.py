@@ -7,10 +7,13 @@ packing").  The counts are kept in one array with an entry for each level, so
 a placement is one vector subtraction and one argmin over the capacity.
 
 A document longer than a window first fills whole windows; its rest is placed.
-Every partition packs alone, streaming: closed windows leave at once, open
-windows hold at most ``max_open`` times the capacity in ids.  Windows that are
-still open at the end (or beyond ``max_open``) are poured together, cutting a
-document wherever a window is full, so a partition pads one window at most.
+Every partition packs alone, streaming: closed windows leave at once.  Windows
+that are still open at its end are poured together, cutting a document wherever
+a window is full, so a partition pads one window at most.  The more documents a
+partition has, the more windows are closed by the method, so partitions of less
+than ``PART_BYTES`` of input are put together.  Open windows can't be more than
+what a partition holds; ids in them take two bytes where the vocabulary allows.
+``max_open`` bounds them, if it is given, by pouring earlier.
 
 Defined results: null text is empty (its end id alone); repeated doc_ids are
 packed each on their own; null doc_ids stay null; an empty table gives no rows.
@@ -26,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import short_batches, table
+from .common import parts_of, short_batches, table
 from .tokens import default_vocabulary, encoder
 
 CAPACITY = 2048
-MAX_OPEN = 4096
+#: Bytes of input (compressed) that a partition has at least, if there are that many.
+PART_BYTES = 16 << 20
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -83,16 +87,16 @@ class LevelArray:
         self.open = 0
 
 
-def pour(windows: Iterator[list], capacity: int) -> Iterator[list]:
-    """Windows filled without gaps from the pieces of others; pieces are cut where a window is full."""
+def pour(windows: Iterator[list], capacity: int, width: int = 4) -> Iterator[list]:
+    """Windows filled without gaps from the pieces of others; pieces are cut where a window is full.  ``width``: bytes an id."""
     out, room = [], capacity
     for window in windows:
         for doc, start, payload, total in window:
             while payload:
-                head, payload = payload[: 4 * room], payload[4 * room :]
+                head, payload = payload[: width * room], payload[width * room :]
                 out.append((doc, start, head, total))
-                start += len(head) // 4
-                room -= len(head) // 4
+                start += len(head) // width
+                room -= len(head) // width
                 if not room:
                     yield out
                     out, room = [], capacity
@@ -100,31 +104,33 @@ def pour(windows: Iterator[list], capacity: int) -> Iterator[list]:
         yield out
 
 
-def windows_of(pieces: Iterator[tuple], capacity: int = CAPACITY, max_open: int = MAX_OPEN) -> Iterator[list]:
-    """``pieces``: (key, payload of 4 bytes an id) of whole documents; yields windows of (key, start, payload, total)."""
+def windows_of(pieces: Iterator[tuple], capacity: int = CAPACITY, max_open: int | None = None, width: int = 4) -> Iterator[list]:
+    """``pieces``: (key, payload of ``width`` bytes an id) of whole documents; yields windows of (key, start, payload, total)."""
     levels = LevelArray(capacity)
     for doc, payload in pieces:
-        total = len(payload) // 4
+        total = len(payload) // width
         start = 0
         while total - start >= capacity:
-            yield [(doc, start, payload[4 * start : 4 * (start + capacity)], total)]
+            yield [(doc, start, payload[width * start : width * (start + capacity)], total)]
             start += capacity
         if start < total:
-            full = levels.place((doc, start, payload[4 * start :], total), total - start)
+            full = levels.place((doc, start, payload[width * start :], total), total - start)
             if full:
                 yield full
-        if levels.open > max_open:
-            yield from pour(levels.drain(), capacity)
-    yield from pour(levels.drain(), capacity)
+        if max_open is not None and levels.open > max_open:
+            yield from pour(levels.drain(), capacity, width)
+    yield from pour(levels.drain(), capacity, width)
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 1, vocabulary: str | None = None, max_open: int = MAX_OPEN) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 1, vocabulary: str | None = None, max_open: int | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
     """One row for each piece of each document.  ``sequence_id`` is the partition's number in the high bits."""
     vocabulary = vocabulary or default_vocabulary()
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
+        kind = "<u2" if max(encode.library.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+        width = np.dtype(kind).itemsize
+        end = np.array([end_id], dtype=kind).tobytes()
         sequence = None
 
         def documents():
@@ -133,14 +139,15 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 1, vocabulary:
                 if sequence is None and batch.num_rows:
                     sequence = batch.column(2)[0].as_py() << 32
                 for doc, payload in zip(batch.column(0).to_pylist(), encode.payloads(batch.column(1).to_pylist())):
-                    yield doc, payload + end
+                    yield doc, np.frombuffer(payload, "<u4").astype(kind).tobytes() + end
 
         rows: list[tuple] = []
-        for window in windows_of(documents(), capacity, max_open):
+        for window in windows_of(documents(), capacity, max_open, width):
             offset = 0
             for doc, start, payload, total in window:
-                rows.append((doc, start, len(payload) // 4, zlib.crc32(payload), total, sequence, offset))
-                offset += len(payload) // 4
+                ids = np.frombuffer(payload, kind).astype("<u4")
+                rows.append((doc, start, len(ids), zlib.crc32(ids), total, sequence, offset))
+                offset += len(ids)
             sequence += 1
             if len(rows) > 20_000:
                 yield _batch(rows)
@@ -149,6 +156,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 1, vocabulary:
             yield _batch(rows)
 
     short_batches(docs.sparkSession)
+    docs = docs.select("doc_id", "text").coalesce(parts_of(docs, part_bytes, unknown=1 << 30))
     # the number of the partition comes with its rows: a task may hold several partitions
     return docs.select("doc_id", "text", F.spark_partition_id().alias("__part")).mapInArrow(run, SCHEMA)
 
