@@ -4,14 +4,18 @@ Layout of one shard: ``NNNNNN.ids`` holds the raw ids of its documents one
 after another (little-endian, 2 bytes an id where the vocabulary allows, else
 4); ``NNNNNN.index`` maps a document key to the id offset and length in
 constant time; ``NNNNNN.keys`` lists the keys for enumeration.  Shards follow
-each other in ascending key order and a manifest row tells each shard's bounds.
+each other in ascending key order, about ``SHARD_BYTES`` of input each, and a
+manifest row tells each shard's bounds.
 
 The index is a cascade of bit arrays: at level L a key hashes to one bit; keys
 that are alone on their bit are settled, the others go to the next level.  A
 key's slot is the number of settled bits before its own, so n keys fill the
-slots 0 to n - 1 without gaps.  Each slot stores a 32-bit fingerprint of its
-key, the offset and the length; a key that was never stored is told by its
-fingerprint but for one case in 2**32.
+slots 0 to n - 1 without gaps.  The bits are stored in blocks of ``BLOCK`` with
+the number of settled bits before each, so a lookup reads the header, one block
+a level (under two on average) and one record, whatever the size of the shard.
+Each slot's record has a 32-bit fingerprint of its key, the length and the
+offset; a key that was never stored is told by its fingerprint but for one case
+in 2**32.
 
 Defined results: null text is the end id alone; a repeated key is stored once
 for each occurrence (key, 0), (key, 1) ...; a null key sorts first.
@@ -19,7 +23,6 @@ for each occurrence (key, 0), (key, 1) ...; a null key sorts first.
 
 from __future__ import annotations
 
-import json
 import struct
 import uuid
 import zlib
@@ -31,11 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, mix, short_batches, table
+from .common import U64, Scratch, mix, parts_of, short_batches, table
 from .tokens import default_vocabulary, encoder
 
 GAMMA = 1.6
-MAGIC = b"PLMPH001"
+MAGIC = b"PLMPH002"
+#: Bits that share a stored rank.
+BLOCK = 512
+_RECORD = np.dtype([("print", "<u4"), ("length", "<u4"), ("offset", "<i8")])
+#: Bytes of input (compressed) in a shard.
+SHARD_BYTES = 16 << 20
 
 
 def key_hash(key, occurrence: int = 0) -> int:
@@ -84,22 +92,47 @@ class PerfectHash:
         return out
 
     def to_bytes(self) -> bytes:
-        out = [struct.pack("<q", len(self.levels))]
-        for bits in self.levels:
-            out += [struct.pack("<q", len(bits)), np.packbits(bits).tobytes()]
+        """The number of levels, the bits of each, and each level's blocks: a rank and the bits."""
+        out = [struct.pack("<q", len(self.levels)), *(struct.pack("<q", len(bits)) for bits in self.levels)]
+        for bits, ranks in zip(self.levels, self.ranks):
+            n = -(-len(bits) // BLOCK)
+            blocks = np.zeros((n, 1 + BLOCK // 64), dtype="<u8")
+            blocks[:, 0] = ranks[::BLOCK]
+            blocks[:, 1:] = np.packbits(np.pad(bits, (0, n * BLOCK - len(bits))), bitorder="little").view("<u8").reshape(n, -1)
+            out.append(blocks.tobytes())
         return b"".join(out)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> tuple[PerfectHash, int]:
-        (n,), at, levels = struct.unpack_from("<q", data), 8, []
-        for _ in range(n):
-            (bits,) = struct.unpack_from("<q", data, at)
-            size = (bits + 7) // 8
-            levels.append(np.unpackbits(np.frombuffer(data, np.uint8, size, at + 8), count=bits).astype(bool))
-            at += 8 + size
+        (n,) = struct.unpack_from("<q", data)
+        sizes, at, levels = struct.unpack_from(f"<{n}q", data, 8), 8 + 8 * n, []
+        for bits in sizes:
+            blocks = np.frombuffer(data, "<u8", -(-bits // BLOCK) * (1 + BLOCK // 64), at).reshape(-1, 1 + BLOCK // 64)
+            levels.append(np.unpackbits(np.ascontiguousarray(blocks[:, 1:]).view(np.uint8).reshape(-1), count=bits, bitorder="little").astype(bool))
+            at += blocks.nbytes
         return cls(levels), at
 
 
+class RangedHash:
+    """The same, read from a file a block at a time; ``read(at, size)`` gives bytes from where it was stored."""
+
+    def __init__(self, read):
+        self.read = read
+        (n,) = struct.unpack("<q", read(0, 8))
+        self.sizes = struct.unpack(f"<{n}q", read(8, 8 * n))
+        self.starts = np.cumsum([8 + 8 * n, *(-(-b // BLOCK) * (8 + BLOCK // 8) for b in self.sizes)]).tolist()
+        self.end = self.starts[-1]
+
+    def find(self, key: int) -> int:
+        for level, bits in enumerate(self.sizes):
+            at = int(PerfectHash._slot(np.array([key], dtype=U64), level, bits)[0])
+            block = self.read(self.starts[level] + at // BLOCK * (8 + BLOCK // 8), 8 + BLOCK // 8)
+            within = int.from_bytes(block[8:], "little")
+            if within >> (at % BLOCK) & 1:
+                return int.from_bytes(block[:8], "little") + (within & ((1 << (at % BLOCK)) - 1)).bit_count()
+        return -1
+
+
 def _fingerprints(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes ^ U64(0xD6E8FEB86659FD93)) >> U64(32)).astype("<u4")
 
@@ -128,7 +161,9 @@ class ShardIndex:
         return np.where(found, self.offsets[slot], -1), np.where(found, self.lengths[slot], 0)
 
     def to_bytes(self) -> bytes:
-        return b"".join([MAGIC, struct.pack("<qq", self.perfect.size, self.width), self.perfect.to_bytes(), self.prints.tobytes(), self.offsets.tobytes(), self.lengths.tobytes()])
+        records = np.empty(self.perfect.size, dtype=_RECORD)
+        records["print"], records["length"], records["offset"] = self.prints, self.lengths, self.offsets
+        return b"".join([MAGIC, struct.pack("<qq", self.perfect.size, self.width), self.perfect.to_bytes(), records.tobytes()])
 
     @classmethod
     def from_bytes(cls, data: bytes) -> ShardIndex:
@@ -136,12 +171,8 @@ class ShardIndex:
             raise ValueError("not a shard index")
         size, width = struct.unpack_from("<qq", data, 8)
         perfect, at = PerfectHash.from_bytes(data[24:])
-        at += 24
-        parts = []
-        for kind in ("<u4", "<i8", "<i8"):
-            parts.append(np.frombuffer(data, kind, size, at))
-            at += parts[-1].nbytes
-        return cls(perfect, *parts, width)
+        records = np.frombuffer(data, _RECORD, size, at + 24)
+        return cls(perfect, records["print"], records["offset"], records["length"].astype("<i8"), width)
 
 
 def _files(path: str):
@@ -171,11 +202,40 @@ def _read(path: str) -> bytes:
         return f.read()
 
 
-def write_shards(docs: DataFrame, out: str, end_id: int = 0, vocabulary: str | None = None, width: int = 2) -> DataFrame:
-    """Write the shards of ``docs`` (doc_id, text) under ``out``; one manifest row for each shard, lazily."""
+def id_width(vocabulary: str, end_id: int) -> int:
+    """Bytes that hold every id of a vocabulary."""
+    return 2 if max(encoder(vocabulary).library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+
+
+_KINDS = {2: "<u2", 4: "<u4"}
+
+
+def narrow(payload: bytes, width: int) -> bytes:
+    """Ids of four bytes in ``width`` bytes each; ids that don't fit raise."""
+    ids = np.frombuffer(payload, "<u4")
+    if width == 2 and len(ids) and int(ids.max()) > 0xFFFF:
+        raise ValueError(f"id {int(ids.max())} doesn't fit in two bytes")
+    return ids.astype(_KINDS[width]).tobytes()
+
+
+def _keys_to_bytes(keys: list[int | None]) -> bytes:
+    """How many, which are null (a byte each), the keys as longs."""
+    return struct.pack("<q", len(keys)) + bytes(k is None for k in keys) + np.array([k or 0 for k in keys], dtype="<i8").tobytes()
+
+
+def _keys_from_bytes(data: bytes) -> list[int | None]:
+    (n,) = struct.unpack_from("<q", data)
+    return [None if null else k for null, k in zip(data[8 : 8 + n], np.frombuffer(data, "<i8", n, 8 + n).tolist())]
+
+
+def write_shards(docs: DataFrame, out: str, end_id: int = 0, vocabulary: str | None = None, width: int | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Write the shards of ``docs`` (doc_id, text) under ``out``; one manifest row for each shard, lazily.
+
+    ``width``: bytes an id, by the vocabulary's size if not given; ids that don't fit raise.
+    """
     vocabulary = vocabulary or default_vocabulary()
     end = np.array([end_id], dtype="<u4").tobytes()
-    kind = {2: "<u2", 4: "<u4"}[width]
+    width = width or id_width(vocabulary, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, ids, shard = encoder(vocabulary), None, None
@@ -194,21 +254,22 @@ def write_shards(docs: DataFrame, out: str, end_id: int = 0, vocabulary: str | N
                 keys.append(key)
                 hashes.append(key_hash(key, again))
                 lengths.append(len(payload) // 4)
-                narrow = np.frombuffer(payload, "<u4").astype(kind)
-                ids.write(narrow.tobytes())
+                ids.write(narrow(payload, width))
         if ids is None:
             return
         ids.close()
         sizes = np.array(lengths, dtype=np.int64)
         index = ShardIndex.build(np.array(hashes, dtype=U64), np.cumsum(sizes) - sizes, sizes, width)
-        for name, data in (("index", index.to_bytes()), ("keys", json.dumps(keys).encode())):
+        for name, data in (("index", index.to_bytes()), ("keys", _keys_to_bytes(keys))):
             f = _Writer(f"{out}/{shard:06d}.{name}")
             f.write(data)
             f.close()
         yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [len(keys)], "n_tokens": [int(sizes.sum())]}, schema=pa.schema([("shard", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-    short_batches(docs.sparkSession)
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    spark = docs.sparkSession
+    short_batches(spark)
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_of(docs, shard_bytes))
+    ordered = docs.select("doc_id", "text").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id")
     # the number of the partition comes with its rows: a task may hold several partitions
     return ordered.select("doc_id", "text", F.spark_partition_id().alias("__part")).mapInArrow(run, "shard long, n_docs long, n_tokens long")
 
@@ -220,14 +281,14 @@ def read_shards(manifest: DataFrame, out: str) -> DataFrame:
         for batch in batches:
             for shard, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 index = ShardIndex.from_bytes(_read(f"{out}/{shard:06d}.index"))
-                keys = json.loads(_read(f"{out}/{shard:06d}.keys"))
+                keys = _keys_from_bytes(_read(f"{out}/{shard:06d}.keys"))
                 hashes, last, again = [], (), 0
                 for key in keys:
                     again = again + 1 if last == (key,) else 0
                     last = (key,)
                     hashes.append(key_hash(key, again))
                 offsets, lengths = index.lookup(np.array(hashes, dtype=U64))
-                kind = {2: "<u2", 4: "<u4"}[index.width]
+                kind = _KINDS[index.width]
                 sums = np.zeros(len(keys), dtype=np.int64)
                 files, at = _files(f"{out}/{shard:06d}.ids")
                 with files.open_input_file(at) as f:
@@ -243,15 +304,24 @@ def read_shards(manifest: DataFrame, out: str) -> DataFrame:
 
 
 def lookup(out: str, shard: int, key, occurrence: int = 0) -> np.ndarray | None:
-    """The ids of one document: one probe of the index and one ranged read; None if the key isn't stored."""
-    index = ShardIndex.from_bytes(_read(f"{out}/{shard:06d}.index"))
-    offsets, lengths = index.lookup(np.array([key_hash(key, occurrence)], dtype=U64))
-    if offsets[0] < 0:
+    """The ids of one document by a few ranged reads, however many the shard holds; None if the key isn't stored."""
+    files, at = _files(f"{out}/{shard:06d}.index")
+    wanted = key_hash(key, occurrence)
+    with files.open_input_file(at) as f:
+        head = f.read_at(24, 0)
+        if head[:8] != MAGIC:
+            raise ValueError("not a shard index")
+        size, width = struct.unpack_from("<qq", head, 8)
+        perfect = RangedHash(lambda start, n: f.read_at(n, 24 + start))
+        slot = perfect.find(wanted) if size else -1
+        if slot < 0:
+            return None
+        (record,) = np.frombuffer(f.read_at(_RECORD.itemsize, 24 + perfect.end + slot * _RECORD.itemsize), _RECORD)
+    if record["print"] != _fingerprints(np.array([wanted], dtype=U64))[0]:
         return None
     files, at = _files(f"{out}/{shard:06d}.ids")
     with files.open_input_file(at) as f:
-        f.seek(int(offsets[0]) * index.width)
-        return np.frombuffer(f.read(int(lengths[0]) * index.width), {2: "<u2", 4: "<u4"}[index.width])
+        return np.frombuffer(f.read_at(int(record["length"]) * width, int(record["offset"]) * width), _KINDS[width])
 
 
 def token_shards(docs: DataFrame, scratch: Scratch, **options) -> tuple[DataFrame, str]:
