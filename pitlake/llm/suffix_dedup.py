@@ -8,13 +8,16 @@ A byte goes if it lies in a string of ``LENGTH`` bytes that also starts earlier
    alone, so two equal windows have an anchor at the same place: only suffixes
    that start at anchors need sorting.  Anchors whose hash occurs once in the
    corpus can't repeat and go (the distinguishing-prefix step of distributed
-   string sorting); the hashes are exchanged without their text.
+   string sorting); the hashes are exchanged without their text.  A hash that
+   repeats among ``CHUNK`` anchors of a task is settled there, and one of its
+   anchors stands for all, so a common gram sends a row a chunk, not all.
 2. Runs.  Each task sorts the suffixes of its anchors: LENGTH bytes onwards,
    then, to tell equal ones apart, the LENGTH bytes before, backwards.  Equal
    ones in a task are settled there but for the earliest.  The sorted run is
    cut by the hash of the first GRAM bytes and front-coded: for each suffix how
    many bytes it shares with the one before it, and the rest.
-3. Merge.  Each receiving task merges its runs with a loser tree whose nodes
+3. Merge.  There are as many receivers as the anchors' bytes ask for
+   (``RECEIVED`` suffixes each).  Each merges its runs with a loser tree whose nodes
    know how many bytes a candidate shares with the last winner; candidates that
    share different numbers are ordered without reading a byte, others compared
    from the first unknown byte on.  The merge yields the common prefixes again.
@@ -40,13 +43,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, few, mix, release, short_batches, table
+from .common import U64, Scratch, few, mix, parts_of, release, short_batches, table
 from .idfilter import hits, id_filter, passes
 
 LENGTH = 100
 GRAM = 32
 #: Suffixes in one run of a task.
 RUN = 30_000
+#: Anchors in which a task looks for repeats of its own.
+CHUNK = 500_000
+#: Input bytes (compressed) for each partition that hashes are dealt to, and suffixes for each receiver.
+DEALT_BYTES = 16 << 20
+RECEIVED = 250_000
 _POSITION = 24  # bits of a position that go with 40 bits of hash; longer texts have parts
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTES = mix(np.arange(256, dtype=U64) * U64(0xD6E8FEB86659FD93) + U64(0x5851F42D4C957F2D))
@@ -111,45 +119,75 @@ def _bytes(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 
 
+def _repeats(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of each distinct hash's first, which of these have others, and the places of the others."""
+    order = np.argsort(hashes, kind="stable")
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    first = np.append(True, ~same)[: len(order)]
+    starts = np.flatnonzero(first)
+    many = np.diff(np.append(starts, len(order))) > 1
+    return order[first], many, order[~first]
+
+
 def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc_id, part, key: 40 bits of an anchor's hash and 24 of its position."""
+    """doc_id, part, key (40 bits of an anchor's hash and 24 of its position), state, deal.
+
+    state: 0 the only anchor of its hash in a chunk of a task, 1 one that stands for several, 2 another of them,
+    which needs no comparison any more and is dealt by its place.
+    """
     low = (1 << _POSITION) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            doc, part, key = (np.concatenate(x) for x in zip(*held))
+            first, many, others = _repeats(key >> U64(_POSITION))
+            at = np.concatenate((first, others))
+            state = np.concatenate((many.astype(np.int8), np.full(len(others), 2, dtype=np.int8)))
+            key = key[at]
+            deal = np.where(state == 2, mix(key + doc[at].astype(U64)), key) >> U64(_POSITION)
+            return pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(part[at]), pa.array(key.view(np.int64)), pa.array(state), pa.array(deal.view(np.int64))], names=["doc_id", "part", "key", "state", "deal"])
+
+        held, size = [], 0
         for batch in batches:
-            ids, keys, parts = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 at, hashes = anchors(np.frombuffer(_bytes(text), np.uint8), length, gram)
                 if len(at):
-                    ids.append(np.full(len(at), doc, dtype=np.int64))
-                    parts.append((at >> _POSITION).astype(np.int32))
-                    keys.append((hashes & ~U64(low)) | (at & low).astype(U64))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(parts)), pa.array(np.concatenate(keys).view(np.int64))], names=["doc_id", "part", "key"])
+                    held.append((np.full(len(at), doc, dtype=np.int64), (at >> _POSITION).astype(np.int32), (hashes & ~U64(low)) | (at & low).astype(U64)))
+                    size += len(at)
+                    if size >= CHUNK:
+                        yield out()
+                        held, size = [], 0
+        if size:
+            yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, part int, key long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, part int, key long, state tinyint, deal long")
 
 
-def repeated_anchors(rows: DataFrame) -> DataFrame:
+def repeated_anchors(rows: DataFrame, parts: int) -> DataFrame:
     """doc_id, at: the anchors whose hash occurs again.  A task looks through the hashes it was dealt."""
     low = (1 << _POSITION) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [batch for batch in batches if batch.num_rows]
-        if not held:
-            return
-        doc, part, key = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(3))
-        del held
-        hashes = key.view(U64) >> U64(_POSITION)
-        order = np.argsort(hashes, kind="stable")
-        hashes = hashes[order]
-        same = hashes[1:] == hashes[:-1]
-        order = order[np.append(False, same) | np.append(same, False)]
-        at = (part[order].astype(np.int64) << _POSITION) | (key[order] & low)
-        for i in range(0, len(order), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(doc[order[i : i + 100_000]]), pa.array(at[i : i + 100_000])], names=["doc_id", "at"])
+        held = []
+
+        def found(doc: np.ndarray, part: np.ndarray, key: np.ndarray) -> Iterator[pa.RecordBatch]:
+            at = (part.astype(np.int64) << _POSITION) | (key & low)
+            for i in range(0, len(doc), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(doc[i : i + 100_000]), pa.array(at[i : i + 100_000])], names=["doc_id", "at"])
+
+        for batch in batches:
+            doc, part, key, state = (batch.column(i).to_numpy() for i in range(4))
+            settled = state == 2
+            yield from found(doc[settled], part[settled], key[settled])
+            held.append(tuple(x[~settled] for x in (doc, part, key, state)))
+        if held:
+            doc, part, key, state = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            first, many, others = _repeats(key.view(U64) >> U64(_POSITION))
+            again = np.concatenate((first[many | (state[first] == 1)], others))
+            yield from found(doc[again], part[again], key[again])
 
-    return rows.repartition(F.shiftrightunsigned("key", _POSITION)).mapInArrow(run, "doc_id long, at long")
+    return rows.repartition(parts, "deal").select("doc_id", "part", "key", "state").mapInArrow(run, "doc_id long, at long")
 
 
 # ---------------------------------------------------------------- runs
@@ -382,7 +420,7 @@ def sorted_runs(marked: DataFrame, receivers: int, length: int, gram: int) -> Da
     return marked.select("doc_id", "text", "ats").mapInArrow(run, _RUN)
 
 
-def merged_spans(runs: DataFrame, length: int, gram: int) -> DataFrame:
+def merged_spans(runs: DataFrame, receivers: int, length: int, gram: int) -> DataFrame:
     """Removed spans: each receiver merges its runs and tells the windows that came earlier."""
     width = 2 * length
 
@@ -432,7 +470,7 @@ def merged_spans(runs: DataFrame, length: int, gram: int) -> DataFrame:
         if held:
             yield from settle(held)
 
-    return runs.repartition("to").sortWithinPartitions("to").mapInArrow(run, _SPAN)
+    return runs.repartition(receivers, "to").sortWithinPartitions("to").mapInArrow(run, _SPAN)
 
 
 def merge_spans(spans: DataFrame) -> DataFrame:
@@ -448,13 +486,14 @@ def merge_spans(spans: DataFrame) -> DataFrame:
 def removed_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, spans (begin, stop in bytes) of the documents (unique doc_ids) that lose something."""
     spark = docs.sparkSession
-    receivers = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    marks = repeated_anchors(anchor_rows(docs, length, gram)).groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    marks = repeated_anchors(anchor_rows(docs, length, gram), max(least, parts_of(docs, DEALT_BYTES))).groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
     marks = scratch.stage(marks, "marks")
+    receivers = max(least, -(-(marks.agg(F.sum(F.size("ats"))).first()[0] or 0) // RECEIVED))
     some = id_filter(marks, "doc_id")
     release(spark)
     runs = sorted_runs(passes(docs.select("doc_id", "text"), some).join(marks, "doc_id"), receivers, length, gram)
-    out = scratch.stage(merge_spans(merged_spans(runs, length, gram)), "spans")
+    out = scratch.stage(merge_spans(merged_spans(runs, receivers, length, gram)), "spans")
     scratch.drop("marks")
     del runs
     release(spark)

@@ -173,6 +173,58 @@ def test_perfect_hash_is_minimal():
     assert token_output.PerfectHash.build(np.zeros(0, np.uint64)).size == 0
 
 
+def test_index_is_read_by_ranges(spark, tmp_path):
+    """A lookup reads a header, a block a level and a record; every key finds what the whole index finds."""
+    n = 20_000
+    hashes = np.array([token_output.key_hash(k) for k in range(n)], dtype=np.uint64)
+    sizes = np.arange(n) % 7 + 1
+    index = token_output.ShardIndex.build(hashes, np.cumsum(sizes) - sizes, sizes, 2)
+    data = index.to_bytes()
+    again = token_output.ShardIndex.from_bytes(data)
+    assert (again.lookup(hashes)[0] == np.cumsum(sizes) - sizes).all() and (again.lookup(hashes)[1] == sizes).all()
+    ids = np.arange(int(sizes.sum())).astype("<u2")
+    for name, content in (("000000.index", data), ("000000.ids", ids.tobytes())):
+        (tmp_path / name).write_bytes(content)
+    for k in [0, 1, n - 1, *range(5, n, 997)]:
+        start = int(sizes[:k].sum())
+        assert token_output.lookup(str(tmp_path), 0, k).tolist() == ids[start : start + sizes[k]].tolist()
+    assert token_output.lookup(str(tmp_path), 0, n + 5) is None
+    reads = []
+    ranged = token_output.RangedHash(lambda at, size: (reads.append(size), data[24 + at : 24 + at + size])[1])
+    reads.clear()
+    assert [ranged.find(int(h)) for h in hashes[:500]] == index.perfect.find(hashes[:500]).tolist()
+    assert sum(reads) < 500 * 72 * 4
+
+
+def test_ids_that_do_not_fit_raise():
+    wide = np.array([1, 70_000], dtype="<u4").tobytes()
+    with pytest.raises(ValueError):
+        token_output.narrow(wide, 2)
+    assert np.frombuffer(token_output.narrow(wide, 4), "<u4").tolist() == [1, 70_000]
+    assert token_output._keys_from_bytes(token_output._keys_to_bytes([None, -3, 2**62])) == [None, -3, 2**62]
+
+
+def test_tokens_odd(spark):
+    """Null keys, repeated rows, an empty table, clashing columns and null texts."""
+    df = odd(spark)
+    pieces = packing.pack(df).collect()
+    assert Counter((p["doc_id"], p["doc_tokens"]) for p in pieces if p["start"] == 0)[None, 1] == 1 and len({(p["sequence_id"], p["offset"]) for p in pieces}) == len(pieces)
+    assert sum(p["length"] for p in pieces) == sum(len(ids_of(t, 1)) for t in (prose(40, 2), prose(40, 2), prose(40, 2), None, "short", None))
+    manifest, out = token_output.token_shards(df, Scratch(spark, "odd"))
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_tokens"]) for r in token_output.read_shards(manifest, out).collect())
+    assert [g[:2] for g in got] == [(False, 0), (False, 0), (True, 1), (True, 1), (True, 5), (True, 5)] and sum(g[2] for g in got) == sum(p["length"] for p in pieces)
+    assert packing.pack(df.limit(0)).count() == 0
+    manifest, out = token_output.token_shards(df.limit(0), Scratch(spark, "none"))
+    assert token_output.read_shards(manifest, out).count() == 0
+
+
+def test_small_partitions_are_packed_together(spark, sf, tmp_path):
+    spark.read.parquet(f"{sf}/documents.parquet").repartition(40).write.parquet(f"{tmp_path}/documents.parquet")
+    pieces = packing.op1_packing(spark, str(tmp_path)).toPandas()
+    fills = pieces.groupby("sequence_id")["length"].sum()
+    assert (fills < 2048).sum() <= 1
+
+
 # ---------------------------------------------------------------- 2
 
 
