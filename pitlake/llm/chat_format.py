@@ -153,7 +153,9 @@ class Generation:
 
 # ---------------------------------------------------------------- parser
 
-_PARTS = re.compile(r"(\{\{.*?\}\}|\{%.*?%\}|\{#.*?#\})", re.DOTALL)
+_OPEN = re.compile(r"\{[{%#]")
+_CLOSE = {"{{": "}}", "{%": "%}", "{#": "#}"}
+_STRING = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"", re.DOTALL)
 _TOKEN = re.compile(r"\s*(?:(?P<string>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<number>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|<=|>=|[<>+|.\[\]()=]))")
 _LITERALS = {"true": True, "false": False, "none": None}
 _COMPARE = {"==", "!=", "<", "<=", ">", ">=", "in"}
@@ -260,10 +262,28 @@ class _Expressions:
         raise TemplateError(f"unexpected {value!r}")
 
 
+def _parts(source: str) -> Iterator[str]:
+    """Texts and whole tags in order; a tag ends at its mark outside of strings."""
+    at = 0
+    while m := _OPEN.search(source, at):
+        if m.start() > at:
+            yield source[at : m.start()]
+        close, end = _CLOSE[m[0]], m.end()
+        while not source.startswith(close, end):
+            if end >= len(source):
+                raise TemplateError(f"{m[0]!r} isn't closed")
+            string = _STRING.match(source, end) if m[0] != "{#" else None
+            end = string.end() if string else end + 1
+        at = end + len(close)
+        yield source[m.start() : at]
+    if at < len(source):
+        yield source[at:]
+
+
 def parse(source: str) -> list:
     root: list = []
     stack: list[tuple[str, object, list]] = [("", None, root)]
-    for part in _PARTS.split(source):
+    for part in _parts(source):
         kind, node, body = stack[-1]
         if part.startswith("{#"):
             continue
@@ -461,10 +481,14 @@ def _statement(node) -> Callable[[dict], Iterator]:
         over, body = _expression(node.over), _block(node.body)
 
         def loop(scope):
+            outer = {k: scope[k] for k in (node.name, "loop") if k in scope}
             for i, x in enumerate(over(scope)):
                 scope[node.name] = x
                 scope["loop"] = {"index0": i, "first": i == 0}
                 yield from body(scope)
+            for k in (node.name, "loop"):
+                scope.pop(k, None)
+            scope.update(outer)
         return loop
     if isinstance(node, If):
         branches = [(_expression(c), _block(b)) for c, b in node.branches]

@@ -240,6 +240,23 @@ def test_templates():
     assert tree == [chat_format.Text("abc")]
 
 
+def test_loops_leave_names_as_they_were():
+    render = lambda s, **v: chat_format.render(chat_format.compile_template(s), v)[0]
+    assert render("{% for a in xs %}{% for b in ys %}{{ loop.index0 }}{% endfor %}{{ loop.index0 }}{{ a }} {% endfor %}", xs="xyz", ys="pq") == "010x 011y 012z "
+    assert render("{% for a in xs %}{{ a }}{% endfor %}{{ a }}", xs="xy", a="out") == "xyout"
+    with pytest.raises(chat_format.TemplateError):
+        render("{% for a in xs %}{% endfor %}{{ a }}", xs="xy")
+
+
+def test_tags_end_outside_of_strings():
+    render = lambda s, **v: chat_format.render(chat_format.compile_template(s), v)[0]
+    assert render("{{ '}}' }}{% if x == '%}' %}y{% endif %}{# ' #}{{ \"a'}}\" }}", x="%}") == "}}ya'}}"
+    assert render("{ {{ '{{' }} } %}") == "{ {{ } %}"
+    for bad in ("{{ 'a }}", "{% if x", "{# c"):
+        with pytest.raises(chat_format.TemplateError):
+            chat_format.parse(bad)
+
+
 def test_escapes_are_reversible():
     r = random.Random(2)
     parts = [*chat_format.CONTROLS, "\\", "\\\\", "<", "|>", "n", "\n", "<|e", "nd|>", "é"]
@@ -267,6 +284,14 @@ def test_conversations(spark):
     assert chat_format.digests(df.limit(0)).count() == 0
 
 
+def test_long_and_repeated_turns(spark):
+    long = (chat_format.HOSTILE + "\\ wörd ") * 100_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long), (2, 0, "assistant", "same"), (2, 0, "assistant", "same")]
+    out = {r["conv_id"]: r for r in chat_format.digests(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert (out[1]["loss_chars"], out[1]["loss_sha256"]) == (len(long), hashlib.sha256(long.encode()).hexdigest())
+    assert (out[2]["n_turns"], out[2]["loss_chars"]) == (2, 8)
+
+
 # ---------------------------------------------------------------- 3
 
 
@@ -470,6 +495,7 @@ def test_decision_list_learns_and_emits(spark):
     assert quality_rules.apply_rules(df, quality_rules.fit(df, labels.limit(0))).where("kept").count() == 120
     strange = quality_rules.apply_rules(odd(spark), rules)
     assert strange.count() == 6 and strange.where("text is null and not kept and base_failed").count() == 2
+    assert quality_rules.apply_rules(df.limit(0), rules).count() == 0 and not quality_rules.fit(df.limit(0), labels).rules
 
 
 def test_quality_is_native(spark, sf):
@@ -789,6 +815,7 @@ def test_containment(spark):
     assert kept == {i for i, _ in docs} - {i for i, _ in expect}
     strange = odd(spark)
     assert decontamination.without_contaminated(strange, bench).columns == strange.columns
+    assert decontamination.contained_items(df.limit(0), bench).count() == 0
     assert decontamination.contained_items(df, bench.limit(0)).count() == 0 and decontamination.without_contaminated(df, bench.limit(0)).count() == len(docs)
 
 
