@@ -7,7 +7,7 @@ import datetime as dt
 import sys
 
 COMMANDS = (
-    "migrate ingest parse reprocess monitor ops-report review detect capture worklist load-index spot-check load-reference coverage universe set-doc-url snapshot restore signals build-signals check queries run"
+    "migrate ingest parse reprocess monitor ops-report review detect capture worklist load-index spot-check load-reference coverage universe set-doc-url backfill snapshot restore signals build-signals check queries run"
 ).split()
 
 
@@ -20,11 +20,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--as-of", type=day, default=dt.date.today())
     p.add_argument("--max-market-cap", type=float)
     p.add_argument("--exclude-top", type=int)
-    p.add_argument("--kind", default="cluster", choices=("cluster", "conviction", "registry", "listings"))
+    p.add_argument("--kind", default="cluster", choices=("cluster", "conviction", "registry", "listings", "business-numbers"))
     p.add_argument("--limit", type=int, default=50)
     p.add_argument("--seed", type=int, default=0)
     p.add_argument("--apply", action="store_true")
     p.add_argument("--allow-shrink", action="store_true")
+    p.add_argument("--force", action="store_true", help="apply an extract again that is applied already")
+    p.add_argument("--out", help="folder for a screen as CSV; without it the first rows are shown")
     return p.parse_args(argv)
 
 
@@ -36,6 +38,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = session()
     x = Platform(spark, a.root)
     show = lambda df: df.show(a.limit, truncate=False)
+
+    def report(df) -> None:
+        from .sources.files import write_csv
+
+        write_csv(df, a.out) if a.out else show(df)
+
     if a.command == "queries":
         from .plans.catalog import QUERIES
 
@@ -74,16 +82,20 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "load-index":
         show(x.load_index(a.what[0], a.as_of))
     elif a.command == "load-reference":
-        if a.kind == "registry":
-            print(x.load_registry(*a.what), "rows")
-        else:
-            x.load_listings(a.what[0], a.as_of, a.allow_shrink)
+        source, apply = {
+            "registry": ("registry", lambda: x.load_registry(*a.what)),
+            "business-numbers": ("business-numbers", lambda: [x.load_business_numbers(path) for path in a.what]),
+        }.get(a.kind, ("listings", lambda: x.load_listings(a.what[0], a.as_of, a.allow_shrink)))
+        print(source, x.load(source, a.as_of, a.what, apply, a.force))
     elif a.command == "coverage":
+        show(x.number_coverage())
         show(x.coverage())
     elif a.command == "universe":
-        show(x.universe(a.as_of, a.max_market_cap, a.exclude_top))
+        report(x.universe(a.as_of, a.max_market_cap, a.exclude_top))
     elif a.command == "set-doc-url":
         x.set_doc_url(int(a.what[0]), a.what[1])
+    elif a.command == "backfill":
+        show(x.backfill_from(*a.what))
     elif a.command == "snapshot":
         show(x.snapshot(a.what[0]))
     elif a.command == "restore":
@@ -91,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "build-signals":
         x.build_signals()
     elif a.command == "signals":
-        show(x.signals(a.kind))
+        report(x.signals(a.kind))
     elif a.command == "check":
         show(x.check())
     return 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -168,18 +170,18 @@ def backfill(rows: DataFrame, found: DataFrame, sha: str) -> DataFrame:
     return out.withColumn("outcome", what).withColumn("text", F.coalesce("text", "__text")).withColumn("lodged_at", F.coalesce("lodged_at", "__made")).drop("__text", "__made", "__hit")
 
 
-def attach(detections: DataFrame, captures: DataFrame) -> DataFrame:
+def attach(detections: DataFrame, captures: DataFrame, classes: Sequence[str] = PARSEABLE) -> DataFrame:
     """Detections with the digest of their file; a file that another document has closes the detection."""
     taken = detections.where("sha256 is not null").select("sha256").withColumn("__taken", F.lit(True)).distinct()
     got = captures.select("detection_id", F.col("sha256").alias("__sha")).dropDuplicates(["detection_id"]).join(taken.withColumnRenamed("sha256", "__sha"), "__sha", "left")
     out = detections.join(got, "detection_id", "left")
-    status = F.when(F.col("__sha").isNull(), F.col("parse_status")).when(F.col("__taken"), "not_applicable").when(F.col("doc_class").isin(*PARSEABLE), "unparsed").otherwise("not_applicable")
+    status = F.when(F.col("__sha").isNull(), F.col("parse_status")).when(F.col("__taken"), "not_applicable").when(F.col("doc_class").isin(*classes), "unparsed").otherwise("not_applicable")
     return out.withColumn("parse_status", status).withColumn("sha256", F.coalesce("sha256", F.when(F.col("__taken").isNull(), F.col("__sha")))).drop("__sha", "__taken")
 
 
-def worklist(detections: DataFrame, most: int) -> DataFrame:
+def worklist(detections: DataFrame, most: int, classes: Sequence[str] = PARSEABLE) -> DataFrame:
     """Open detections worth capturing: sensitive first, newest first, unknown times last."""
-    return detections.where((F.col("parse_status") == "detected") & F.col("doc_class").isin(*PARSEABLE)).orderBy(F.col("price_sensitive").desc_nulls_last(), F.col("lodged_at").desc_nulls_last(), "detection_id").limit(most)
+    return detections.where((F.col("parse_status") == "detected") & F.col("doc_class").isin(*classes)).orderBy(F.col("price_sensitive").desc_nulls_last(), F.col("lodged_at").desc_nulls_last(), "detection_id").limit(most)
 
 
 def spot_check(rows: DataFrame, most: int, seed: int = 0) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the checks.
@@ -12,6 +12,7 @@ TOLERANCE = 0.005
 STUCK_HOURS, CAPTURE_HOURS, CAPTURE_FLOOR, CAPTURE_LEAST = 24, 96, 0.9, 20
 REVIEW_DAYS, DRAIN_DAYS = 14, 7
 UNIDENTIFIED = 0.06
+COVERED = 0.99
 
 
 def reconcile(rows: DataFrame, replayed: str, external: str, tolerance: float = TOLERANCE) -> DataFrame:
@@ -92,9 +93,24 @@ def identity_rate(entities: DataFrame, listings: DataFrame, entity: str, ceiling
 
 
 def examples(rows: DataFrame, label: Column, value: str, most: int = 5) -> DataFrame:
-    """label, n and the first values of each label in order."""
-    order = F.array_sort(F.collect_list(value))
-    return rows.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n"), F.slice(order, 1, most).alias("examples"))
+    """label, n and the first values of each label in order; only ``most`` rows a label and task are shuffled."""
+    named = rows.select(label.alias("label"), F.col(value).alias("__value"))
+    first = F.row_number().over(Window.partitionBy("label").orderBy("__value"))
+    kept = named.where("__value is not null").withColumn("__nr", first).where(F.col("__nr") <= most)
+    some = kept.groupBy("label").agg(F.array_sort(F.collect_list("__value")).alias("examples")).withColumnRenamed("label", "__label")
+    counts = named.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    none = F.array().cast(some.schema["examples"].dataType)
+    return counts.join(some, F.col("label").eqNullSafe(F.col("__label")), "left").select("label", "n", F.coalesce("examples", none).alias("examples"))
+
+
+def number_coverage(entities: DataFrame, listings: DataFrame, entity: str, bar: float = COVERED) -> DataFrame:
+    """One row: entities ever listed, those with a company number, foreign ones without, the rest, the covered share and whether it meets the bar."""
+    ever = entities.join(listings.select(entity).distinct(), entity, "left_semi")
+    has, foreign = F.col("acn").isNotNull(), F.coalesce(F.col("entity_kind") == "foreign", F.lit(False))
+    n = lambda w: F.count(F.when(w, 1))
+    out = ever.agg(F.count(F.lit(1)).alias("total"), n(has).alias("with_number"), n(~has & foreign).alias("flagged_foreign"), n(~has & ~foreign).alias("unresolved"))
+    rate = F.coalesce(share(F.col("with_number") + F.col("flagged_foreign"), F.col("total")), F.lit(0.0))
+    return out.withColumn("rate", rate).withColumn("meets", (F.col("total") > 0) & (F.col("rate") >= bar))
 
 
 def alarms(*checks: tuple[str, DataFrame, Column]) -> DataFrame:

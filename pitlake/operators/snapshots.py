@@ -128,8 +128,23 @@ def universe(listings: DataFrame, names: DataFrame, figures: DataFrame, entities
     order = Window.partitionBy(entity, code).orderBy(F.col("as_at").desc())
     newest = figures.where(F.col("as_at") <= day).withColumn("__nr", F.row_number().over(order)).where("__nr = 1").select(entity, code, "market_cap", "sector", "as_at")
     out = open_.join(named, entity, "left").join(newest, [entity, code], "left").join(entities, entity, "left")
-    rank = F.rank().over(Window.orderBy(F.col("market_cap").desc_nulls_last()))  # one row for each listed code
-    return out.withColumn("identity", F.when(F.col("acn").isNotNull() | F.col("arbn").isNotNull(), "resolved").otherwise("in_review")).withColumn("cap_rank", F.when(F.col("market_cap").isNotNull(), rank))
+    return rank_down(out.withColumn("identity", F.when(F.col("acn").isNotNull() | F.col("arbn").isNotNull(), "resolved").otherwise("in_review")), "market_cap", "cap_rank")
+
+
+def rank_down(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``df`` with the rank of each value from the largest down; equal values share it, null has none.
+
+    Rows are ranked within slices of about 1.5 % of the value; the rows of larger slices are added.
+    There are some thousand slices whatever the rows, and only their counts meet in one task.
+    """
+    # values that aren't positive have no logarithm and make the last slice
+    cut = F.coalesce(F.floor(F.log(F.col(value).cast("double")) * 64), F.lit(-(10**6)))
+    rows = df.withColumn("__slice", F.when(F.col(value).isNotNull(), cut))
+    larger = F.sum("__n").over(Window.orderBy(F.col("__slice").desc()).rowsBetween(Window.unboundedPreceding, -1))
+    counts = rows.where("__slice is not null").groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))
+    above = counts.select("__slice", F.coalesce(larger, F.lit(0)).alias("__above"))
+    ranked = rows.join(above, "__slice", "left").withColumn("__r", F.rank().over(Window.partitionBy("__slice").orderBy(F.col(value).desc())))
+    return ranked.withColumn(out, F.when(F.col(value).isNotNull(), F.col("__r") + F.col("__above"))).drop("__slice", "__above", "__r")
 
 
 def size_label(cap: Column, rank: Column, most: float | None = None, top: int | None = None) -> Column:

@@ -14,6 +14,18 @@ from pyspark.sql import functions as F
 
 Cols = Sequence[str]
 
+#: Days of a slot of the time line; intervals meet only what lies in one of their slots.
+SLOT_DAYS = 512
+
+
+def _slot(day: Column) -> Column:
+    return F.floor(F.unix_date(F.to_date(day)) / SLOT_DAYS)
+
+
+def _in_slots(df: DataFrame, begins: Column, ends: Column) -> DataFrame:
+    """A row for each slot from ``begins`` to ``ends``, the first slot at least."""
+    return df.withColumn("__slot", F.explode(F.sequence(_slot(begins), F.greatest(_slot(begins), _slot(ends)))))
+
 
 def valid_on(day: Column, begins: Column, ends: Column) -> Column:
     """Whether an inclusive interval with an optional end holds on ``day``."""
@@ -63,8 +75,15 @@ def as_of_join(left: DataFrame, right: DataFrame, on: Cols, left_at: str, right_
 
 
 def lookup_unique(left: DataFrame, right: DataFrame, on: Cols, key: str, day: str, begins: str, ends: str, value: str, out: str) -> DataFrame:
-    """``left`` with the only ``value`` whose interval holds on ``day``; null where there is none or more than one."""
-    hits = left.select(key, day, *on).join(right.select(*on, begins, ends, value), list(on)).where(valid_on(F.col(day), F.col(begins), F.col(ends)))
+    """``left`` with the only ``value`` whose interval holds on ``day``; null where there is none or more than one.
+
+    A day meets the intervals of its key in its slot, not all of its key.  All days after the
+    last date of ``right`` share one slot, so that open intervals end somewhere.
+    """
+    last = right.agg(F.max(F.greatest(begins, ends))).scalar()
+    probes = left.select(key, day, *on).withColumn("__slot", F.least(_slot(F.col(day)), _slot(last)))
+    held = _in_slots(right.select(*on, begins, ends, value), F.col(begins), F.least(F.col(ends), last))
+    hits = probes.join(held, [*on, "__slot"]).where(valid_on(F.col(day), F.col(begins), F.col(ends)))
     one = hits.groupBy(key).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
     return left.join(one, key, "left").withColumn(out, F.when(F.col("__low") == F.col("__high"), F.col("__low"))).drop("__low", "__high")
 
@@ -76,10 +95,17 @@ def single_or_blank(df: DataFrame, keys: Cols, value: str, preferred: Column, ou
 
 
 def overlaps(df: DataFrame, keys: Cols, id_: str, begins: str, ends: str) -> DataFrame:
-    """Pairs of intervals of one key that overlap: keys, id_a < id_b, the shared days."""
-    far = F.to_date(F.lit("9999-12-31"))
-    side = lambda s: df.select(*keys, F.col(id_).alias(f"id_{s}"), F.col(begins).alias(f"from_{s}"), F.coalesce(F.col(ends), far).alias(f"to_{s}"))
-    both = side("a").join(side("b"), list(keys)).where("id_a < id_b and from_a <= to_b and from_b <= to_a")
+    """Pairs of intervals of one key that overlap: keys, id_a < id_b, the shared days.
+
+    Two intervals meet in the slot where the later one begins, so none after the last beginning is needed.
+    """
+    far, last = F.to_date(F.lit("9999-12-31")), df.agg(F.max(begins)).scalar()
+
+    def side(s: str) -> DataFrame:
+        rows = df.select(*keys, F.col(id_).alias(f"id_{s}"), F.col(begins).alias(f"from_{s}"), F.coalesce(F.col(ends), far).alias(f"to_{s}"))
+        return _in_slots(rows, F.col(f"from_{s}"), F.least(F.col(f"to_{s}"), last))
+
+    both = side("a").join(side("b"), [*keys, "__slot"]).where("id_a < id_b and from_a <= to_b and from_b <= to_a").where(_slot(F.greatest("from_a", "from_b")) == F.col("__slot"))
     return both.select(*keys, "id_a", "id_b", F.greatest("from_a", "from_b").alias("overlap_from"), F.least("to_a", "to_b").alias("overlap_to"))
 
 

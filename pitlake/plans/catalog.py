@@ -865,3 +865,82 @@ def category_sums(spark, sf):
     """Sums of allowed categories and known units; the rest is counted."""
     s = table(spark, sf, "supplier").withColumn("kind", F.col("s_suppkey") % 4).withColumn("unit", F.element_at(F.array(F.lit("kg"), F.lit("t"), F.lit("oz?")), (F.col("s_suppkey") % 3 + 1).cast("int")))
     return G.category_sums(s, ["s_nationkey"], "kind", "s_acctbal", "unit", {"kg": 1.0, "t": 1000.0}, [0, 1]).withColumn("total", F.round("total", 4))
+
+
+@query("""SELECT o_orderkey FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderkey % 7 <> 0 AND o_orderstatus IN ('O', 'F')""")
+def accepted_trades(spark, sf):
+    """Cash buys that are neither superseded nor waiting for review."""
+    o = table(spark, sf, "orders").withColumn("classification", F.when(F.col("o_orderpriority") == "5-LOW", "unknown").otherwise(C.CASH_BUY))
+    status = F.when(F.col("o_orderstatus") == "O", "auto").when(F.col("o_orderstatus") == "F", "human_corrected").otherwise("review")
+    o = o.withColumn("superseded", F.col("o_orderkey") % 7 == 0).withColumn("review_status", status)
+    return o.where(C.accepted()).select("o_orderkey")
+
+
+@query("""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN text END AS text, CASE WHEN doc_id % 4 <> 0 THEN TIMESTAMP '2024-01-01' END AS lodged,
+  doc_id % 5 <> 0 AS found, CASE WHEN doc_id % 2 = 0 THEN text END AS new_text, CASE WHEN doc_id % 8 <> 0 THEN TIMESTAMP '2024-02-02' END AS new_at FROM documents)
+ SELECT doc_id, CASE WHEN text IS NOT NULL AND lodged IS NOT NULL THEN 'complete' WHEN NOT found THEN 'missing'
+  WHEN text IS NULL AND new_text IS NOT NULL AND lodged IS NULL AND new_at IS NOT NULL THEN 'both' WHEN text IS NULL AND new_text IS NOT NULL THEN 'text' WHEN lodged IS NULL AND new_at IS NOT NULL THEN 'date' ELSE 'unreadable' END AS outcome,
+  length(coalesce(text, CASE WHEN found THEN new_text END)) AS chars, CAST(coalesce(lodged, CASE WHEN found THEN new_at END) AS DATE) AS day FROM d""")
+def backfill_documents(spark, sf):
+    """Documents that lack a text or a date take them from what was found."""
+    at = lambda when, day: F.when(when, F.lit(day).cast("timestamp_ntz"))
+    i = F.col("doc_id")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    lacking = docs.select("doc_id", F.when(i % 3 != 0, F.col("text")).alias("text"), at(i % 4 != 0, "2024-01-01").alias("lodged_at"))
+    found = docs.where(i % 5 != 0).select("doc_id", F.when(i % 2 == 0, F.col("text")).alias("text"), at(i % 8 != 0, "2024-02-02").alias("made_at"))
+    return D.backfill(lacking, found, "doc_id").select("doc_id", "outcome", F.char_length("text").alias("chars"), F.to_date("lodged_at").alias("day"))
+
+
+@query("""SELECT o_custkey, o_orderkey, lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS prior_payload FROM orders""")
+def prior_version(spark, sf):
+    """Each version with what the version before it said."""
+    return R.prior_version(table(spark, sf, "orders"), ["o_custkey"], "o_orderkey", "o_orderstatus").select("o_custkey", "o_orderkey", "prior_payload")
+
+
+@query("""WITH n AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN c_name || ' (The)' WHEN 1 THEN ' ' || c_name || ' (THE) ' ELSE c_name END AS name FROM customer)
+ SELECT c_custkey, name AS variant FROM n UNION ALL SELECT c_custkey, 'THE ' || trim(left(trim(name), length(trim(name)) - 5)) FROM n WHERE upper(trim(name)) LIKE '%(THE)'""")
+def name_variants(spark, sf):
+    """A listed name, and the one with its article in front."""
+    name = F.when(F.col("c_custkey") % 3 == 0, F.concat("c_name", F.lit(" (The)"))).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit(" "), "c_name", F.lit(" (THE) "))).otherwise(F.col("c_name"))
+    return table(spark, sf, "customer").select("c_custkey", F.explode(T.listed_variants(name)).alias("variant"))
+
+
+@query("""WITH d AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 4 = 0 THEN 'h' || s_suppkey END AS sha, CASE WHEN s_suppkey % 3 = 0 THEN 'other' ELSE 'app_3y' END AS kind FROM supplier),
+ c AS (SELECT id, 'h' || (id - id % 5) AS got FROM d WHERE id % 2 = 1), t AS (SELECT sha AS got FROM d WHERE sha IS NOT NULL)
+ SELECT id AS detection_id, CASE WHEN c.got IS NULL THEN 'detected' WHEN t.got IS NOT NULL THEN 'not_applicable' WHEN kind = 'app_3y' THEN 'unparsed' ELSE 'not_applicable' END AS parse_status,
+  coalesce(sha, CASE WHEN t.got IS NULL THEN c.got END) AS sha256 FROM d LEFT JOIN c USING (id) LEFT JOIN t ON t.got = c.got""")
+def attach_files(spark, sf):
+    """Detections take the digest of their file; a file that is another's already closes them."""
+    i = F.col("s_suppkey")
+    d = table(spark, sf, "supplier").select(i.alias("detection_id"), F.when(i % 4 == 0, F.concat(F.lit("h"), i)).alias("sha256"), F.when(i % 3 == 0, "other").otherwise("app_3y").alias("doc_class"), F.lit("detected").alias("parse_status"))
+    files = d.where("detection_id % 2 = 1").select("detection_id", F.concat(F.lit("h"), F.expr("detection_id - detection_id % 5")).alias("sha256"))
+    return D.attach(d, files).select("detection_id", "parse_status", "sha256")
+
+
+@query("""SELECT o_orderkey AS item_id, CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderstatus = 'O' THEN 'apply' WHEN o_orderstatus = 'F' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'retract' END ELSE 'apply' END AS follow_up FROM orders""")
+def resolve_reviews(spark, sf):
+    """What follows from a human's decisions."""
+    o = table(spark, sf, "orders").withColumnRenamed("o_orderkey", "item_id")
+    items = o.select("item_id", F.when(F.col("item_id") % 2 == 0, "extraction").otherwise("resolution").alias("kind"))
+    said = F.when(F.col("o_orderstatus") == "O", "accepted").when(F.col("o_orderstatus") == "F", "rejected").otherwise("corrected")
+    return R.resolve_items(items, o.where("item_id % 3 != 0").select("item_id", said.alias("decision"))).select("item_id", "follow_up")
+
+
+@query("""WITH n AS (SELECT 'CLERK ' || (c_custkey % 500) AS norm, ' clerk ' || (c_custkey % 500) || ' ' || c_mktsegment AS raw FROM customer),
+ s AS (SELECT DISTINCT 'CLERK ' || (c_custkey % 500) AS norm, 'stored ' || (c_custkey % 500) AS raw FROM customer WHERE (c_custkey % 500) % 2 = 0)
+ SELECT norm AS name_norm, raw AS display_name FROM s UNION ALL SELECT norm, min(trim(raw)) FROM n WHERE norm NOT IN (SELECT norm FROM s) GROUP BY 1""")
+def persons_register(spark, sf):
+    """One person for each normalised name; those on record keep their row."""
+    k = F.col("c_custkey") % 500
+    named = table(spark, sf, "customer").select(k.alias("k"), F.concat(F.lit("CLERK "), k).alias("norm"), F.concat(F.lit(" clerk "), k, F.lit(" "), "c_mktsegment").alias("raw"))
+    stored = named.where("k % 2 = 0").select("k", "norm").distinct().select(F.col("k").alias("person_id"), F.col("norm").alias("name_norm"), F.concat(F.lit("stored "), "k").alias("display_name"), F.lit(None).cast("long").alias("merged_into"))
+    return C.persons(named, F.col("norm"), "raw", stored).select("name_norm", "display_name")
+
+
+@query("""SELECT count(*) AS total, count(*) FILTER (WHERE s_suppkey % 5 <> 0) AS with_number, count(*) FILTER (WHERE s_suppkey % 5 = 0 AND s_nationkey < 10) AS flagged_foreign, count(*) FILTER (WHERE s_suppkey % 5 = 0 AND s_nationkey >= 10) AS unresolved,
+  round(count(*) FILTER (WHERE s_suppkey % 5 <> 0 OR s_nationkey < 10) / count(*), 9) AS rate, count(*) FILTER (WHERE s_suppkey % 5 <> 0 OR s_nationkey < 10) >= 0.99 * count(*) AS meets FROM supplier WHERE s_acctbal > 0""")
+def number_coverage(spark, sf):
+    """The share of listed entities with a number or known to be foreign, against its bar."""
+    s = table(spark, sf, "supplier")
+    entities = s.select(F.col("s_suppkey").alias("e"), F.when(F.col("s_suppkey") % 5 != 0, "1").alias("acn"), F.when(F.col("s_nationkey") < 10, "foreign").otherwise("company").alias("entity_kind"))
+    return Q.number_coverage(entities, s.where("s_acctbal > 0").select(F.col("s_suppkey").alias("e")), "e").withColumn("rate", F.round("rate", 9))

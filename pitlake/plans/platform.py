@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import forms, mail
+from ..functions import mail
 from ..functions import text as T
 from ..operators import documents as D
 from ..operators import events as E
@@ -25,9 +25,9 @@ from ..operators import snapshots as S
 from ..operators import temporal as P
 from ..operators import trades as C
 from ..sources import files, state
+from .parsers import InterestNotices, Parser, Registry
 from .schema import COLUMNS, KEYS, constraints, schema
 
-PARSER, PARSER_VERSION = "interest_notice", 1
 SIGNAL_VERSION = 2
 WINDOW_DAYS, LEAST_PERSONS, STALE_DAYS = 30, 2, 14
 
@@ -37,8 +37,9 @@ class BacktestUnavailable(RuntimeError):
 
 
 class Platform:
-    def __init__(self, spark: SparkSession, root: str, index_code: str = "INDEX"):
+    def __init__(self, spark: SparkSession, root: str, index_code: str = "INDEX", parsers: Sequence[Parser] | None = None):
         self.spark, self.root, self.index_code = spark, root.rstrip("/"), index_code
+        self.parsers = Registry([InterestNotices()] if parsers is None else parsers)
 
     # ------------------------------------------------------------ tables
 
@@ -95,11 +96,35 @@ class Platform:
         return state.next_id(self.table(name), key)
 
     def _numbered(self, df: DataFrame, name: str, key: str, *order) -> DataFrame:
-        first = self._next(name, key)
-        return df.withColumn(key, F.row_number().over(Window.orderBy(*order)) + F.lit(first - 1))  # new rows of one run
+        return state.numbered(df, key, self._next(name, key), *order)
 
     # ------------------------------------------------------------ reference data
 
+    def load(self, source: str, as_at: dt.date, paths: Sequence[str], apply: Callable[[], object], force: bool = False) -> str:
+        """Put an extract's parts on record and apply it, unless just these parts are applied already: new, changed, unchanged or forced."""
+        files_ = self.spark.createDataFrame([(i, self._qualified(p)) for i, p in enumerate(paths, 1)], "part_no int, path string")
+        digests = self.spark.read.format("binaryFile").load(list(dict.fromkeys(paths))).select("path", D.digest(F.col("content")).alias("sha256"))
+        offered = files_.join(digests, "path").select(F.lit(source).alias("source"), F.lit(as_at).alias("as_at"), "part_no", "sha256")
+        from ..session import cut
+
+        loads, parts, outcomes = state.register_loads(self.table("reference_loads"), self.table("reference_load_parts"), cut(offered))
+        now = outcomes.first()
+        loads, parts = cut(loads), cut(parts)
+        self.put("reference_loads", loads)
+        self.put("reference_load_parts", parts)
+        mine = F.col("load_id") == now["load_id"]
+        if now["outcome"] == "unchanged" and not loads.where(mine & F.col("applied")).isEmpty():
+            if not force:
+                return "unchanged"
+            now = {"outcome": "forced", "load_id": now["load_id"]}
+        apply()
+        self.put("reference_loads", self.table("reference_loads").withColumn("applied", F.col("applied") | mine))
+        return now["outcome"]
+
+    def _qualified(self, path: str) -> str:
+        fs, p = self._fs(path)
+        return fs.getFileStatus(p).getPath().toString()
+
     def load_registry(self, *paths: str) -> int:
         new = files.read_registry(self.spark, *paths)
         order = F.struct((~F.col("is_current_name")).cast("int"), F.coalesce("registration_date", F.to_date(F.lit("9999-12-31"))), "name")
@@ -152,7 +177,7 @@ class Platform:
         self.upsert("universe_membership", gone.unionByName(begun, allowMissingColumns=True))
         self.upsert("listing_snapshots", snap.select("entity_id", day.alias("as_at"), "ticker", "market_cap", "sector", "listing_date"))
 
-    def load_business_numbers(self, path: str, row_tag: str, number: Sequence[str], company: Sequence[str]) -> DataFrame:
+    def load_business_numbers(self, path: str, row_tag: str = "ABR", number: Sequence[str] = ("ABN",), company: Sequence[str] = ("ASICNumber",)) -> DataFrame:
         """ABNs for known companies; outcomes counted, conflicts to review."""
         extract = files.read_business_numbers(self.spark, path, row_tag, number, company).select(F.col("company").alias("acn"), F.col("number").alias("abn"))
         out = I.attach_numbers(self.table("entities"), extract, "acn", "abn")
@@ -177,7 +202,7 @@ class Platform:
         lists = self.table("listings").select(F.col("ticker").alias(ticker), "valid_from", "valid_to", F.col("entity_id").alias("__e"))
         return P.lookup_unique(dated, lists, [ticker], key, "__day", "valid_from", "valid_to", "__e", "entity_id").drop("__day")
 
-    def detect(self, folder: str, senders: tuple[mail.Sender, ...] = ()) -> int:
+    def detect(self, folder: str, senders: tuple[mail.Sender, ...] = mail.SENDERS) -> int:
         """Messages of a folder as detections; reading a folder again changes nothing."""
         found = mail.detections(files.read_mail_folder(self.spark, folder), senders)
         found = found.withColumn("key", D.detection_key(F.col("announcement"), F.col("source"), F.col("source_ref")))
@@ -186,7 +211,7 @@ class Platform:
         stored = docs.where("detection_key is not null").select(F.col("detection_key").alias("key"), F.col("ticker_as_lodged").alias("ticker"), "title", "entity_id", "doc_class", F.lit("rules").alias("method"), F.lit(True).alias("format_recognised"), "detected_at")
         _, reviews = D.record_detections(stored, found)
         first = found.withColumn("__nr", F.row_number().over(Window.partitionBy("key").orderBy("detected_at", "title"))).where("__nr = 1").join(stored.select("key"), "key", "left_anti")
-        new = first.select(F.col("key").alias("detection_key"), "entity_id", F.col("ticker").alias("ticker_as_lodged"), "doc_class", "title", "lodged_at", F.when(F.col("lodged_at").isNotNull(), "alert").alias("lodged_at_source"), "detected_at", F.col("source").alias("detection_source"), F.col("announcement").alias("announcement_id"), "price_sensitive", "document_urls", F.lit("detected").alias("parse_status"))
+        new = first.select(F.col("key").alias("detection_key"), "entity_id", F.col("ticker").alias("ticker_as_lodged"), "doc_class", "title", "lodged_at", F.when(F.col("lodged_at").isNotNull(), "alert").alias("lodged_at_source"), "detected_at", F.col("source").alias("detection_source"), F.col("announcement").alias("announcement_id"), "price_sensitive", "manual_open_urls", "document_urls", F.lit("detected").alias("parse_status"))
         from ..session import cut
 
         new, reviews = cut(self._numbered(new, "documents", "doc_id", "detection_key")), cut(reviews)
@@ -214,7 +239,7 @@ class Platform:
         once = Window.partitionBy("detection_id").orderBy("capture_id")
         matched = matched.withColumn("detection_id", F.when(F.row_number().over(once) == 1, F.col("detection_id")))
         new = cut(new.join(matched, "capture_id"))
-        status = F.when(F.col("doc_class").isin(*D.PARSEABLE), "unparsed").otherwise("not_applicable")
+        status = F.when(F.col("doc_class").isin(*self.parsers.doc_classes()), "unparsed").otherwise("not_applicable")
         fields = ["sha256", D.raw_path(F.col("sha256")).alias("storage_path"), F.col("text").alias("document_text"), F.when(F.col("text").isNotNull(), D.digest(F.col("text"))).alias("text_sha256"), F.current_timestamp().alias("fetched_at"), "doc_class", "entity_id", F.col("ticker").alias("ticker_as_lodged"), "title", "lodged_at", F.when(F.col("lodged_at").isNotNull(), "manual").alias("lodged_at_source"), F.col("announcement").alias("announcement_id"), status.alias("parse_status")]
         alone = self._numbered(new.where("detection_id is null").select(*fields), "documents", "doc_id", "sha256")
         answers = new.where("detection_id is not null").select(F.col("detection_id").alias("doc_id"), "sha256", D.raw_path(F.col("sha256")).alias("storage_path"), F.col("text").alias("document_text"), F.when(F.col("text").isNotNull(), D.digest(F.col("text"))).alias("text_sha256"), F.current_timestamp().alias("fetched_at"), "doc_class", "entity_id", status.alias("parse_status"))
@@ -238,28 +263,22 @@ class Platform:
         self.put("documents", out)
         return out.groupBy("outcome").count()
 
+    def backfill_from(self, *folders: str) -> DataFrame:
+        """``backfill`` with the texts and stated times of the files below some folders."""
+        found = None
+        for folder in folders:
+            some = files.read_file_drop(self.spark, folder).select("sha256", files.text_of(F.col("content")).alias("text"), F.col("lodged_at").alias("made_at"))
+            found = some if found is None else found.unionByName(some)
+        return self.backfill(found)
+
     def worklist(self, most: int = 50) -> DataFrame:
-        return D.worklist(self.table("documents").withColumnRenamed("doc_id", "detection_id"), most)
+        return D.worklist(self.table("documents").withColumnRenamed("doc_id", "detection_id"), most, sorted(self.parsers.doc_classes()))
 
     def spot_check(self, most: int = 10, seed: int = 0) -> DataFrame:
         return D.spot_check(self.table("trades").where("not superseded"), most, seed)
 
     # ------------------------------------------------------------ parse
 
-    def _readings(self, docs: DataFrame) -> DataFrame:
-        """One row for each document: payload, findings, confidence."""
-        notices = forms.extract_notices(docs.select("doc_id", F.col("document_text").alias("text"))).where("not scrambled")
-        sec = F.struct("security_class", "qty_acquired", "qty_disposed", "consideration_text", "consideration_aud", "held_before", "held_after")
-        rows = notices.join(docs.select("doc_id", "doc_class", "lodged_at"), "doc_id").withColumn("is_final", F.col("doc_class") == "app_3z").withColumn("securities", F.array(sec)).withColumn("date_of_change", F.col("date_of_change").cast("string")).withColumn("lodged", P.market_date(F.col("lodged_at")))
-        checked = R.validate_notices(rows, "lodged")
-        notice = F.struct("form_nr", "director_name", "date_of_change", "date_basis", "dates_stated", "interest_nature", "indirect_detail", "securities")
-        flat = lambda c: F.flatten(F.collect_list(c))
-        per = checked.groupBy("doc_id").agg(F.to_json(F.struct(F.max("entity_name").alias("company_name"), F.sort_array(F.collect_list(notice)).alias("notices"))).alias("payload"), flat("errors").alias("errors"), flat("warnings").alias("warnings"), flat("disagreements").alias("disagreements"))
-        out = docs.select("doc_id", "entity_id", "doc_class").join(per, "doc_id", "left")
-        none = F.array().cast("array<string>")
-        errors = F.concat(F.coalesce("errors", F.array(F.lit("no notices"))), F.when(F.col("entity_id").isNull(), F.array(F.lit("entity not resolved"))).otherwise(none))
-        return out.withColumn("errors", errors).withColumn("warnings", F.coalesce("warnings", none)).withColumn("disagreements", F.coalesce("disagreements", none)).withColumn("payload", F.coalesce("payload", F.lit('{"notices":[]}')))
-
     def _named_entities(self, docs: DataFrame) -> DataFrame:
         """Documents whose entity isn't known get it from the name they print."""
         name = T.company_norm(F.coalesce(D.facts(F.coalesce("document_text", F.lit("")))["entity_name"], F.lit("")))
@@ -271,44 +290,43 @@ class Platform:
         return docs.where("entity_id is not null").unionByName(named)
 
     def parse(self, docs: DataFrame | None = None, apply: bool = True) -> DataFrame:
-        """Read waiting documents: readings, then accepted ones to trades and the others to review.  Counts by status."""
+        """Each parser reads the waiting documents of its classes: readings, then accepted ones to trades and the others to review.  Counts by status."""
+        statuses = [self._parse(parser, docs, apply) for parser in self.parsers]
+        every = self.spark.createDataFrame([], "status string")
+        for some in statuses:
+            every = every.unionByName(some)
+        return every.groupBy("status").count()
+
+    def _parse(self, parser: Parser, docs: DataFrame | None, apply: bool) -> DataFrame:
         from ..session import cut
 
         every = self.table("documents")
         docs = every.where("parse_status = 'unparsed'") if docs is None else docs
-        docs = cut(self._named_entities(docs.where(F.col("doc_class").isin(*D.PARSEABLE))))
-        read = self._readings(docs)
-        stored = self.table("parsed_records").where((F.col("parser") == PARSER) & (F.col("version") == PARSER_VERSION)).select("doc_id", F.col("payload").alias("__old"))
+        docs = cut(self._named_entities(docs.where(F.col("doc_class").isin(*parser.doc_classes))))
+        read = parser.read(docs)
+        stored = self.table("parsed_records").where((F.col("parser") == parser.name) & (F.col("version") == parser.version)).select("doc_id", F.col("payload").alias("__old"))
         read = read.join(stored, "doc_id", "left").withColumn("conflict", F.coalesce(F.col("__old") != F.col("payload"), F.lit(False)))
-        stop = R.halted(self.table("review_items"), self.spark.createDataFrame([(PARSER,)], "parser string"), F.current_timestamp()).first()["halted"]
+        stop = R.halted(self.table("review_items"), self.spark.createDataFrame([(parser.name,)], "parser string"), F.current_timestamp()).first()["halted"]
         done = cut(R.evaluate(read, F.col("conflict"), F.lit(stop)))
         records = self.table("parsed_records")
-        new = done.where("__old is null").select("doc_id", F.lit(PARSER).alias("parser"), F.lit(PARSER_VERSION).alias("version"), "payload", "errors", "warnings", "disagreements", "confidence", F.current_timestamp().alias("created_at"))
+        new = done.where("__old is null").select("doc_id", F.lit(parser.name).alias("parser"), F.lit(parser.version).alias("version"), "payload", "errors", "warnings", "disagreements", "confidence", F.current_timestamp().alias("created_at"))
         self.put("parsed_records", records.unionByName(new))
         if apply:
-            self._route(done, docs)
-        return done.groupBy("status").count()
+            self._route(parser, done, docs)
+        return done.select("status")
 
-    def _route(self, done: DataFrame, docs: DataFrame) -> None:
+    def _route(self, parser: Parser, done: DataFrame, docs: DataFrame) -> None:
         from ..session import cut
 
         accepted = done.where("status = 'validated'").select("doc_id", "entity_id", "payload")
-        rows = cut(self._trades(accepted, docs, "auto"))
+        rows = cut(parser.rows(accepted, docs, "auto"))
         kept = E.retract(self.table("trades"), done, "doc_id")
         self._put_trades(kept, rows)
         items = R.review_items(done, self.table("review_items").where("kind = 'extraction'"), "doc_id")
-        self._review(items.select("kind", "doc_id", F.lit(PARSER).alias("parser"), "reason"))
+        self._review(items.select("kind", "doc_id", F.lit(parser.name).alias("parser"), "reason"))
         now = done.select("doc_id", F.col("status").alias("parse_status"), "entity_id")
         self.upsert("documents", now)
 
-    def _trades(self, accepted: DataFrame, docs: DataFrame, status: str) -> DataFrame:
-        sec = "struct<security_class:string,qty_acquired:decimal(38,6),qty_disposed:decimal(38,6),consideration_text:string,consideration_aud:decimal(38,6),held_before:decimal(38,6),held_after:decimal(38,6)>"
-        kind = f"struct<notices:array<struct<director_name:string,date_of_change:date,date_basis:string,dates_stated:array<date>,interest_nature:string,securities:array<{sec}>>>>"
-        rows = accepted.withColumn("n", F.explode(F.from_json("payload", kind)["notices"])).withColumn("s", F.explode("n.securities")).join(docs.select("doc_id", F.col("lodged_at").alias("knowable_at")), "doc_id")
-        rows = rows.select("doc_id", "entity_id", "knowable_at", F.col("n.director_name").alias("person"), F.col("n.date_of_change").alias("event_date"), F.coalesce("n.date_basis", F.lit("stated")).alias("event_date_basis"), F.col("n.dates_stated").alias("event_dates_stated"), F.col("n.interest_nature").alias("interest_nature"), "s.*")
-        rows = rows.where("event_date is not null").withColumn("classification", C.classify(F.col("consideration_text"), F.col("qty_acquired"), F.col("qty_disposed"), F.col("consideration_aud"))).withColumn("price_per_unit", C.unit_price(F.col("consideration_aud"), F.col("qty_acquired"), F.col("qty_disposed")).cast("decimal(38,6)"))
-        return rows.withColumn("name_norm", T.person_norm(F.col("person"))).withColumn("review_status", F.lit(status))
-
     def _put_trades(self, kept: DataFrame, new: DataFrame) -> None:
         """Trades after new rows, with persons, ids and supersession recomputed over all of them."""
         from ..session import cut
@@ -323,8 +341,11 @@ class Platform:
     def reprocess(self, apply: bool = False) -> DataFrame:
         """Documents read again by the present parser, but for those a human settled; without ``apply`` readings only."""
         settled = self.table("review_items").where("resolution in ('accepted', 'corrected', 'rejected')").select("doc_id")
-        plan = R.reprocess_plan(self.table("parsed_records").where(F.col("parser") == PARSER), PARSER_VERSION, settled.where("doc_id is not null"))
-        return self.parse(self.table("documents").join(plan.select("doc_id"), "doc_id", "left_semi"), apply)
+        old = self.spark.createDataFrame([], "doc_id long")
+        for parser in self.parsers:
+            records = self.table("parsed_records").where(F.col("parser") == parser.name)
+            old = old.unionByName(R.reprocess_plan(records, parser.version, settled.where("doc_id is not null")).select("doc_id"))
+        return self.parse(self.table("documents").join(old, "doc_id", "left_semi"), apply)
 
     def review_list(self, most: int = 50) -> DataFrame:
         return self.table("review_items").where("resolved_at is null").orderBy("created_at", "item_id").limit(most)
@@ -342,15 +363,17 @@ class Platform:
         items = self.table("review_items")
         found = cut(R.resolve_items(items.where(F.col("item_id") == item_id), self.spark.createDataFrame([(item_id, decision)], "item_id long, decision string")))
         docs = self.table("documents").join(found.select("doc_id"), "doc_id", "left_semi")
-        follow = (found.first() or {"follow_up": None})["follow_up"]
+        item = found.first()
+        follow = item["follow_up"] if item else None
+        parser = self.parsers[item["parser"]] if item and item["parser"] in self.parsers.parsers else next(iter(self.parsers))
         if follow == "apply" and not docs.isEmpty():
             records = R.latest_versions(self.table("parsed_records"), ["doc_id", "parser"], "version").select("doc_id", "payload")
             reading = docs.select("doc_id", "entity_id").join(records, "doc_id").withColumn("payload", F.lit(payload) if payload else F.col("payload"))
-            rows = cut(self._trades(reading, docs, f"human_{decision}"))
+            rows = cut(parser.rows(reading, docs, f"human_{decision}"))
             self._put_trades(E.retract(self.table("trades"), docs, "doc_id"), rows)
             self.upsert("documents", docs.select("doc_id", F.lit("validated").alias("parse_status")))
         elif follow == "retract" and not docs.isEmpty():
-            self._put_trades(E.retract(self.table("trades"), docs, "doc_id"), self._trades(docs.select("doc_id", "entity_id", F.lit('{"notices":[]}').alias("payload")), docs, "auto"))
+            self._put_trades(E.retract(self.table("trades"), docs, "doc_id"), parser.rows(docs.select("doc_id", "entity_id", F.lit('{"notices":[]}').alias("payload")), docs, "auto"))
             self.upsert("documents", docs.select("doc_id", F.lit("rejected").alias("parse_status")))
         hit = F.col("item_id") == item_id
         self.put("review_items", items.withColumn("resolved_at", F.when(hit, F.current_timestamp()).otherwise(F.col("resolved_at"))).withColumn("resolution", F.when(hit, F.lit(decision)).otherwise(F.col("resolution"))))
@@ -364,19 +387,29 @@ class Platform:
         anchors = self.table("share_anchors")
         return E.replay(anchors, self.table("share_events"), ["entity_id", "class_code"], F.lit(as_of) if as_of else None, F.lit(known) if known else None)
 
+    def _replayed(self, asked: DataFrame) -> DataFrame:
+        """entity_id, class_code, as_at, replayed: the replay of each class on each day that is asked of it, in one plan."""
+        keys = ["entity_id", "class_code", "as_at"]
+        asked = asked.select(*keys).distinct()
+        anchors = self.table("share_anchors").join(asked, keys[:2]).where("anchor_date <= as_at")
+        events = self.table("share_events").join(asked, keys[:2]).where("event_date <= as_at")
+        return E.replay(anchors, events, keys).select(*keys, F.col("quantity").alias("replayed"))
+
+    def reconciled_at(self, as_of: dt.date) -> DataFrame:
+        """The replay on a day against the newest manual count by then; within_tolerance is null, not true, without one."""
+        day = F.lit(as_of)
+        classes = self.table("share_anchors").select("entity_id", "class_code").unionByName(self.table("share_events").select("entity_id", "class_code")).distinct()
+        replayed = self._replayed(classes.withColumn("as_at", day)).drop("as_at")
+        manual = P.as_of_constant(self.table("manual_share_counts"), ["entity_id", "class_code"], "as_at", day)
+        manual = manual.select("entity_id", "class_code", F.col("as_at").alias("counted_at"), F.col("quantity").alias("external"))
+        return Q.reconcile(classes.join(replayed, ["entity_id", "class_code"], "left").join(manual, ["entity_id", "class_code"], "left"), "replayed", "external")
+
     def reconcile(self) -> DataFrame:
         """Replayed against manual counts; verdicts are stored, the doubtful go to review."""
         from ..session import cut
 
         counts = self.table("manual_share_counts")
-        days = [r[0] for r in counts.select("as_at").distinct().orderBy("as_at").collect()]  # dates of manual counts: few by nature
-        out = None
-        for day in days:
-            got = self.shares_outstanding(day).select("entity_id", "class_code", F.col("quantity").alias("replayed"))
-            some = counts.where(F.col("as_at") == F.lit(day)).join(got, ["entity_id", "class_code"], "left")
-            out = some if out is None else out.unionByName(some)
-        if out is None:
-            return self.table("share_reconciliations")
+        out = counts.join(self._replayed(counts.select("entity_id", "class_code", "as_at")), ["entity_id", "class_code", "as_at"], "left")
         done = cut(Q.reconcile(out.withColumn("external", F.col("quantity")), "replayed", "external").withColumn("checked_at", F.current_timestamp()))
         self.upsert("share_reconciliations", done)
         self._review(done.where("needs_review").select(F.lit("reconciliation").alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("parser"), F.format_string("shares of %s %s at %s", F.col("entity_id"), F.col("class_code"), F.col("as_at").cast("string")).alias("reason")))
@@ -426,6 +459,10 @@ class Platform:
         hint = F.when(F.col("name").rlike(r"(?i)\b(trust|fund|reit)\b"), "scheme or trust").when(F.col("name").rlike(r"(?i)\b(plc|inc|corp|sa|nv)\b"), "foreign form").otherwise("other")
         return Q.examples(listed, hint, "ticker")
 
+    def number_coverage(self) -> DataFrame:
+        """The share of listed entities with a company number or known to be foreign, and whether it suffices."""
+        return Q.number_coverage(self.table("entities"), self.table("listings"), "entity_id")
+
     def collisions(self) -> DataFrame:
         """Codes that two entities hold at one time; there must be none."""
         return P.overlaps(self.table("listings"), ["exchange", "ticker", "security_class"], "entity_id", "valid_from", "valid_to")
@@ -434,7 +471,7 @@ class Platform:
         """All checks; leaves a row in monitor_runs whether or not there are alarms."""
         at = F.lit(now) if now else F.current_timestamp()
         docs, items, trades = self.table("documents"), self.table("review_items"), self.table("trades")
-        parseable = docs.where(F.col("doc_class").isin(*D.PARSEABLE))
+        parseable = docs.where(F.col("doc_class").isin(*self.parsers.doc_classes()))
         feeds = Q.feed_volume(self.table("feed_slos"), docs.withColumn("feed", F.col("doc_class")), "feed", "detected_at", at, "lodged_at")
         # identity items without a document never resolve; another check counts them
         queue = items.where(~((F.col("kind") == "resolution") & F.col("doc_id").isNull()))

@@ -25,10 +25,15 @@ def session(name: str = "pitlake", **settings: str) -> SparkSession:
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed and written to the checkpoint folder, so loops don't repeat what led to it.
 
-    The folder is the session's ``spark.checkpoint.dir``; a temporary one only where none is set.
+    The folder is the session's ``spark.checkpoint.dir``; where none is set, a temporary one serves on a
+    local master and anything else is an error.
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pitlake-")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="pitlake-")
         context.setCheckpointDir(folder)
     return df.checkpoint()

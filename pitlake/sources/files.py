@@ -157,9 +157,9 @@ def text_of(content: Column) -> Column:
     return F.when(F.substring(content, 1, 5) == F.lit(b"%PDF-"), None).otherwise(F.decode(content, "UTF-8"))
 
 
-def write_csv(df: DataFrame, path: str, order: Sequence[str], single: bool = True) -> None:
-    """A report as CSV: ordered, with a header, null as nothing.  ``single`` is for reports; large tables keep their parts."""
-    rows = df.orderBy(*order)
+def write_csv(df: DataFrame, path: str, order: Sequence[str] = (), single: bool = True) -> None:
+    """A report as CSV: ordered (as it comes without ``order``), with a header, null as nothing.  ``single`` is for reports; large tables keep their parts."""
+    rows = df.orderBy(*order) if order else df
     (rows.coalesce(1) if single else rows).write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="")
 
 

@@ -138,3 +138,66 @@ def test_pluggable_source(spark):
     A.register(spark)
     rows = spark.read.format("announcements").option("source", "pitlake.sources.announcements:example").option("parts", 3).load()
     assert rows.count() == 6 and rows.where("lodged_at is null and ticker = 'RNG'").count() == 6
+
+
+CLUTTERED = """Rule 3.19A.2 Appendix 3Y Change of +Director's Interest Notice Introduced 30/09/01 Amended 01/01/11
+Information or documents not available now must be given to ASX as soon as available. Information and documents given to ASX become ASX's property and may be made public.
+0BName of entity  Ring Widgets Limited   1BABN 12 345 678 901
+We (the entity) give ASX the following information under listing rule 3.19A.2 and as agent for the director for the purposes of section 205G of the Corporations Act.
+2BName of Director Rowena Smith  Date of last notice 1 May 2024
+In the case of a company, interests which come within paragraph (ii) of the definition of "notifiable interest of a director" should be disclosed in this part.
+Direct or indirect interest  Direct  Date of change 12 August 2026
+No. of securities held prior to change 1,205,155 ordinary shares 3461-0342-1486, v. 1 + See chapter 19 for defined terms. 01/01/2011 Appendix 3Y Page 1
+Class Ordinary shares Number acquired 5,000 Number disposed Nil Value/Consideration $6,410.50 For personal use only
+No. of securities held after change 1,210,155 ordinary shares Nature of change On market trade Part 2"""
+
+
+def test_printed_clutter_is_no_answer():
+    form = FM.read_forms(CLUTTERED)[0]
+    n = FM.notice(form)
+    assert n["entity_name"] == "Ring Widgets Limited" and n["director_name"] == "Rowena Smith" and n["consideration_aud"] == 6410.5
+    assert (n["held_before"], n["held_after"], n["date_of_change"]) == (1205155, 1210155, dt.date(2026, 8, 12))
+    assert form.cells["identifier"] == "12 345 678 901" and form.cells["interest_nature"] == "Direct" and form.cells["held_before"] == "1,205,155 ordinary shares"
+    both = FM.read_forms(CLUTTERED + " " + CLUTTERED.replace("Rowena Smith", "Al Green"))
+    assert [FM.notice(f)["director_name"] for f in both] == ["Rowena Smith", "Al Green"]
+    assert FM.without_clutter("costs $10billion of 1234-5678 units") == "costs $10billion of 1234-5678 units"
+
+
+PROVIDER = b"""From: Market Index <alerts@marketindex.com.au>
+Subject: ASX:RNG - Announcement: Appendix 3Y
+Message-ID: <2@marketindex.com.au>
+Date: Tue, 18 Aug 2026 07:40:00 +0000
+Content-Type: text/plain; charset=utf-8
+
+https://www.marketindex.com.au/asx/rng/announcements/appendix-3y-2A1690463?utm=1 https://www.marketindex.com.au/manage/alerts.pdf https://ring.example/notice.pdf
+"""
+
+
+def test_known_senders():
+    d = M.detection(PROVIDER)
+    assert (d["source"], d["ticker"], d["title"], d["price_sensitive"], d["announcement"], d["format_recognised"]) == ("market_index_alert", "RNG", "Appendix 3Y", False, "2A1690463", True)
+    assert d["manual_open_urls"] == ["https://www.marketindex.com.au/asx/rng/announcements/appendix-3y-2A1690463"] and d["document_urls"] == ["https://ring.example/notice.pdf"]
+    other = M.detection(PROVIDER.replace(b"ASX:RNG - Announcement: Appendix 3Y", b"Your RNG alerts"))
+    assert other["ticker"] is None and not other["format_recognised"]
+    listed = M.detection(PROVIDER.replace(b"marketindex", b"listcorp").replace(b"ASX:RNG - Announcement:", b"RNG -"))
+    assert (listed["source"], listed["ticker"], listed["title"], listed["manual_open_urls"]) == ("listcorp_alert", "RNG", "Appendix 3Y", [])
+
+
+def test_loads_on_record(spark):
+    loads = spark.createDataFrame([(4, "r", dt.date(2024, 1, 1), True), (5, "s", dt.date(2024, 1, 1), True)], "load_id long, source string, as_at date, applied boolean")
+    parts = spark.createDataFrame([(4, 1, "a"), (4, 2, "b"), (5, 1, "a")], "load_id long, part_no int, sha256 string")
+    day = dt.date(2024, 2, 1)
+    offer = lambda *rows: spark.createDataFrame([(s, day, n, h) for s, n, h in rows], "source string, as_at date, part_no int, sha256 string")
+    after, lists, outcome = ST.register_loads(loads, parts, offer(("r", 1, "a"), ("r", 2, "c"), ("s", 1, "a"), ("t", 1, "a"), ("t", 2, "z")))
+    assert sorted(map(tuple, outcome.collect())) == [("r", 4, "changed"), ("s", 5, "unchanged"), ("t", 6, "new")]
+    assert sorted((r["load_id"], r["applied"]) for r in after.collect()) == [(4, False), (5, True), (6, False)]
+    assert sorted(map(tuple, lists.collect())) == [(4, 1, "a"), (4, 2, "c"), (5, 1, "a"), (6, 1, "a"), (6, 2, "z")]
+    with pytest.raises(ValueError):
+        ST.register_loads(loads, parts, offer(("r", 1, "a"), ("r", 2, "a")))
+    assert ST.register_loads(loads.limit(0), parts.limit(0), offer(("r", 1, "q")))[2].first()["load_id"] == 1
+
+
+def test_numbers_in_order(spark):
+    df = spark.range(1000).selectExpr("(id * 7919) % 1000 AS v").repartition(7)
+    assert sorted((r["n"], r["v"]) for r in ST.numbered(df, "n", 5, "v").collect()) == [(i + 5, i) for i in range(1000)]
+    assert ST.numbered(df.limit(0), "n", 1, "v").count() == 0

@@ -126,3 +126,55 @@ def test_snapshot_round_trip(platform, spark, tmp_path):
 def test_command_line():
     a = arguments(["--root", "x", "universe", "--as-of", "2024-01-01", "--exclude-top", "300"])
     assert (a.command, a.as_of, a.exclude_top) == ("universe", dt.date(2024, 1, 1), 300)
+
+
+def test_shares_at_a_day(platform):
+    p, _ = platform
+    day = dt.date
+    got = {str(d): [(float(r["replayed"]), r["external"] and float(r["external"]), r["within_tolerance"]) for r in p.reconciled_at(d).collect()] for d in (day(2024, 2, 10), day(2024, 3, 5))}
+    assert got == {"2024-02-10": [(200.0, None, None)], "2024-03-05": [(210.0, 201.0, False)]}
+
+
+def test_number_coverage(platform):
+    p, _ = platform
+    r = p.number_coverage().first()
+    assert (r["total"], r["with_number"], r["flagged_foreign"], r["unresolved"], r["meets"]) == (3, 2, 0, 1, False)
+
+
+def test_loads_are_applied_once(platform, spark, tmp_path):
+    p = Platform(spark, str(tmp_path / "tables"))
+    (tmp_path / "a.csv").write_text(REGISTRY)
+    (tmp_path / "b.csv").write_text(REGISTRY.splitlines()[0] + "\nGAMMA LIMITED|3|APUB|Y|01/02/2001|\n")
+    done = []
+    load = lambda *names, force=False: p.load("registry", dt.date(2024, 1, 1), [str(tmp_path / n) for n in names], lambda: done.append(names), force)
+    assert [load("a.csv"), load("a.csv"), load("a.csv", "b.csv"), load("a.csv", "b.csv"), load("a.csv", "b.csv", force=True)] == ["new", "unchanged", "changed", "unchanged", "forced"]
+    assert done == [("a.csv",), ("a.csv", "b.csv"), ("a.csv", "b.csv")]
+    with pytest.raises(ValueError):
+        load("a.csv", "a.csv")
+
+
+def test_parsers_by_class(spark, tmp_path):
+    from pitlake.plans.parsers import InterestNotices, Registry
+
+    class Other(InterestNotices):
+        name, doc_classes = "other_reader", ("trading_update",)
+
+    both = Registry([InterestNotices(), Other()])
+    assert both.doc_classes() == {"app_3y", "app_3z", "trading_update"} and both["other_reader"].version == 1
+    for bad in (InterestNotices(), object()):
+        with pytest.raises((TypeError, ValueError)):
+            both.register(bad)
+    p = Platform(spark, str(tmp_path / "tables"), parsers=[])
+    assert p.parse().count() == 0
+
+
+def test_screens_as_files_and_backfill(platform, spark, tmp_path, monkeypatch):
+    p, root = platform
+    import pitlake.session
+    from pitlake.__main__ import main
+
+    monkeypatch.setattr(pitlake.session, "session", lambda *a, **k: spark)
+    assert main(["--root", p.root, "universe", "--as-of", "2024-06-01", "--out", str(tmp_path / "u")]) == 0
+    assert [r["code"] for r in spark.read.csv(str(tmp_path / "u"), header=True).collect()] == ["BTG", "RNG", "TRU"]
+    assert main(["--root", p.root, "signals", "--out", str(tmp_path / "s")]) == 0
+    assert main(["--root", p.root, "backfill", str(root / "drop")]) == 0

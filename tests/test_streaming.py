@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -55,3 +56,40 @@ def test_latest_wins_in_any_order(spark, tmp_path):
     for rows in ([(1, 11, 2)], [(1, 10, 1)], [(1, 11, 2)]):
         batch(spark.createDataFrame(rows, "g int, doc int, k int"), 0)
     assert sorted((r["doc"], r["superseded"], r["supersedes_doc"]) for r in spark.read.schema(schema).parquet(path).collect()) == [(10, True, None), (11, False, 10)]
+
+
+def test_latest_wins_in_buckets(spark, tmp_path):
+    t = ST.LatestWins(spark, str(tmp_path / "lw"), "g int, doc int, k int, superseded boolean, supersedes_doc int", ["g"], "doc", "k", 8)
+    rows = lambda *r: spark.createDataFrame(list(r), "g int, doc int, k int")
+    seen = lambda: sorted((r["g"], r["doc"], r["superseded"], r["supersedes_doc"]) for r in t.table().collect())
+    assert seen() == []
+    t.batch(rows((1, 11, 2), *((g, g, 1) for g in range(100, 140))), 0)
+    t.batch(rows((1, 10, 1)), 1)
+    t.batch(rows((1, 10, 1)), 1)
+    assert seen()[:2] == [(1, 10, True, None), (1, 11, False, 10)] and len(seen()) == 42
+    t.batch(rows((2, 11, 3)), 2)  # the document moves to another group, both change
+    assert seen()[:2] == [(1, 10, False, None), (2, 11, False, None)] and len(seen()) == 42
+    (tmp_path / "lw" / "batch=3" / "bucket=1").mkdir(parents=True)  # a batch that failed isn't seen
+    before = seen()
+    assert t.vacuum() > 0 and seen() == before
+
+
+def test_heartbeat(spark, tmp_path):
+    beats = []
+    listener = ST.Heartbeat(beats.append)
+    spark.streams.addListener(listener)
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1), "a")], "at timestamp, key string")
+    df.write.parquet(str(tmp_path / "in"))
+    q = _stream(spark, str(tmp_path / "in"), df.schema).writeStream.format("memory").queryName("beating").option("checkpointLocation", str(tmp_path / "c")).start()
+    q.processAllAvailable()
+    q.stop()
+    for _ in range(100):
+        if {b["event"] for b in beats} >= {"started", "progress", "ended"}:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(listener)
+    assert {b["event"] for b in beats} >= {"started", "progress", "ended"} and sum(b["rows"] for b in beats) == 1
+    seen = spark.createDataFrame([("beating", dt.datetime(2024, 1, 1, 12))], "name string, at timestamp")
+    expected = spark.createDataFrame([("beating",), ("gone",)], "name string")
+    late = lambda hour: sorted(r["name"] for r in ST.silent(seen, expected, F.lit(dt.datetime(2024, 1, 1, hour)), 30).collect())
+    assert late(12) == ["gone"] and late(13) == ["beating", "gone"]
