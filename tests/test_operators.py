@@ -252,3 +252,12 @@ def test_chains_and_payloads_of_any_depth(spark):
     rows = lambda v: spark.createDataFrame([(1, deep(6, v)), (2, None), (3, "{}"), (4, "5")], "k long, p string")
     diff = R.payload_diff(rows("x"), rows("y"), ["k"], "p").collect()
     assert [(r["k"], r["path"], r["value_a"], r["value_b"]) for r in diff] == [(1, "$" + ".a[0]" * 6, "x", "y")]
+
+
+def test_ranks_of_ties_nulls_and_values_that_are_not_positive(spark):
+    from pitlake.operators.snapshots import rank_down
+
+    values = [5.0, 5.0, 4.99, 1e9, None, 0.0, -3.0, -3.0, -7.0, 1e-9, None, 5.01]
+    out = rank_down(spark.createDataFrame([(v,) for v in values], "v double"), "v", "r").collect()
+    known = [v for v in values if v is not None]
+    assert len(out) == len(values) and all(r["r"] == (None if r["v"] is None else 1 + sum(k > r["v"] for k in known)) for r in out)
