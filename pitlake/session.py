@@ -37,3 +37,9 @@ def cut(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="pitlake-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in two partitions a core at least, for work that costs far more than moving its rows: a small file, or one row group, is one task else."""
+    parts = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.isStreaming or df.rdd.getNumPartitions() >= parts else df.repartition(parts)

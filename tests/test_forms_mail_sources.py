@@ -201,3 +201,18 @@ def test_numbers_in_order(spark):
     df = spark.range(1000).selectExpr("(id * 7919) % 1000 AS v").repartition(7)
     assert sorted((r["n"], r["v"]) for r in ST.numbered(df, "n", 5, "v").collect()) == [(i + 5, i) for i in range(1000)]
     assert ST.numbered(df.limit(0), "n", 1, "v").count() == 0
+
+
+def test_forms_of_one_file_are_read_on_all_cores(spark):
+    text = "Appendix 3Y Change of Director's Interest Notice Name of entity A{0} Ltd Name of Director Jo Part 2"
+    docs = spark.createDataFrame([(i, text.format(i)) for i in range(200)], "doc_id long, text string").coalesce(1)
+    out = FM.extract_notices(docs)
+    assert out.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert {(r["doc_id"], r["entity_name"]) for r in out.collect()} == {(i, f"A{i} Ltd") for i in range(200)}
+
+
+def test_clutter_and_labels_in_spaced_letters_and_other_cases():
+    raw = "A P P E N D I X 3Y change of director's interest Na me of entıty X NİL Name o f Dİrector Jo Kay For perſonal use only No te: If consideration is non-cash, provide details and estimated valuation Page 3 of 4 Da te of change 1/2/2024"
+    form = FM.read_forms(raw)[0]
+    assert form.cells == {"entity_name": "X NİL", "director_name": "Jo Kay No te", "date_of_change": "1/2/2024"}
+    assert FM.without_clutter("x Note : Page 3 of 4 Rule 3.19A.2 30/9/2001 Appendix 3X y 1234-5678-9012, v. 3 For personal use only z") == "x Note : y z"
