@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import combinations
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import token_set_ratio
+from ..session import cut, spread
 
 # Fixed values of the resolver.
 FUZZY_ACCEPT, FUZZY_LEAD = 93.0, 3.0
@@ -98,6 +104,160 @@ def fuzzy_scores(names: DataFrame, pool: DataFrame, norm: str, entity: str, hot:
     return scored.join(owners, "__other").groupBy(norm, entity).agg(F.max("score").alias("score"))
 
 
+#: Counters of tokens and letter pairs; these share one where their hashes do.
+_COUNTERS = 1 << 18
+#: The score that a first search asks for: who has one match above it, and no other within the lead, needs no wider search.
+_CLOSE = 100.0 - FUZZY_LEAD
+
+
+def _tokens(name: str | None) -> list[str]:
+    return sorted(set((name or "").split()))
+
+
+def _letter_pairs(whole: str) -> list[str]:
+    """The letter pairs of a name, ends included; a pair that comes again has its number, so lists compare as sets."""
+    padded, times = f" {whole} ", {}
+    out = []
+    for i in range(len(padded) - 1):
+        pair = padded[i : i + 2]
+        times[pair] = nr = times.get(pair, 0) + 1
+        out.append(f"{pair}{nr}")
+    return out
+
+
+def _counter(kind: bytes, what: str) -> int:
+    return zlib.crc32(kind + what.encode("utf-8", "surrogatepass")) & (_COUNTERS - 1)
+
+
+def _how_often(pool: DataFrame, norm: str) -> np.ndarray:
+    """How many names hold the tokens and letter pairs of each counter."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(_COUNTERS, dtype=np.int64)
+        for batch in batches:
+            for tokens in map(_tokens, batch[norm]):
+                np.add.at(n, [*(_counter(b"t", t) for t in tokens), *(_counter(b"p", p) for p in _letter_pairs(" ".join(tokens)))], 1)
+        at = np.flatnonzero(n)
+        yield pd.DataFrame({"at": at, "n": n[at]})
+
+    out = np.zeros(_COUNTERS, dtype=np.int64)
+    found = pool.mapInPandas(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # a row a counter at most
+    out[found["at"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
+@lru_cache(100_000)
+def _lost(size: int, s: float) -> int:
+    """How many of its letter pairs a name of this size may lack in another whose ratio to it is s or more.
+
+    A letter that the other lacks takes two pairs, one that it has more takes one; with a of the former and b of the latter
+    s allows a (2 - s) + b s <= 2 (1 - s) size.
+    """
+    allowed = 2 * (1 - s) * size + 1e-9
+    return max(2 * a + int((allowed - a * (2 - s)) / s) for a in range(int(allowed / (2 - s)) + 1))
+
+
+@lru_cache(100_000)
+def _class_of(size: int, s: float) -> tuple[int, int]:
+    """A class of sizes, and how many letter pairs must meet at once in it: more where few may be lacking."""
+    top = 8
+    while top < size:
+        top = top * 3 // 2
+    lost = _lost(top, s)
+    return top, 3 if lost <= 8 else 2 if lost <= 16 else 1
+
+
+def _meeting(name: str | None, s: float, least: float, often: np.ndarray, asks: bool) -> list[tuple[int, int, int]]:
+    """(key, class or 0 for tokens, need) of a name.  Two names of score s or more have an equal key, for any s of ``least`` or more.
+
+    Tokens: see ``fuzzy_scores``; one side's rarest meet all of the other.  Letter pairs: if c of them are shared, the c that are rarest of
+    these are among the first lost + c of either name in any order that both follow, so names meet by c pairs at once.
+    ``need`` is how many pairs a name lacks before the last of them.  With s of 0.9 at least, three are always shared.
+    """
+    tokens = _tokens(name)
+    if not tokens:
+        return []
+    size, out, before = sum(map(len, tokens)) + len(tokens) - 1, [], 0
+    hashed = lambda what, seed: np.int64(np.uint64(xxhash.xxh3_64_intdigest(what.encode("utf-8", "surrogatepass"), seed)).view(np.int64))
+    for token in sorted(tokens, key=lambda t: (often[_counter(b"t", t)], t)):
+        rare = before <= size * (1 - s / (2 - s)) + 1e-9
+        out += [(hashed(token, 1 + (asks != rarest)), 0, 0) for rarest in ((True, False) if rare else (False,))]
+        before += len(token) + 1
+    lost = _lost(size, s)
+    if not lost:  # the same tokens then
+        return out
+    pairs = sorted(_letter_pairs(" ".join(tokens)), key=lambda p: (often[_counter(b"p", p)], p))
+    classes = {_class_of(size, least)} if asks else {_class_of(n, least) for n in range(max(1, int(size * s / (2 - s))), int(size * (2 - s) / s) + 2)}
+    for top, c in classes:
+        for some in combinations(range(min(lost + c, len(pairs))), c):
+            out.append((hashed("\n".join(pairs[i] for i in some), 3 + top), top, some[-1] + 1 - c))
+    return out
+
+
+def _two_best(todo: DataFrame, rivals: DataFrame, owners: DataFrame, norm: str, entity: str, often, least: float, hot: int) -> DataFrame:
+    """norm, __best, __score, __second: the best entity and the score of the next one, of all whose score is ``__least`` or more.
+
+    ``rivals``: __other, the distinct names of the pool; ``owners``: __other, entity, the two lowest of each.
+    """
+
+    def keys(name: str, asks: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for at in range(0, len(batch), 500):
+                    part = batch.iloc[at : at + 500]
+                    rows = [(n, b, *k) for n, b in zip(part[name], part["__least"]) for k in _meeting(n, b / 100, least / 100, often.value, asks)]
+                    yield pd.DataFrame(rows, columns=[name, "__least", "__key", "__class", "__need"])
+
+        return run
+
+    columns = "__least double, __key long, __class int, __need int"
+    size = lambda c: F.length(F.array_join(F.array_distinct(F.split(F.trim(F.regexp_replace(c, r"\s+", " ")), " ")), " "))
+    left = spread(todo.select(norm, "__least")).mapInPandas(keys(norm, True), f"{norm} string, {columns}").drop("__need", "__class")
+    right = spread(rivals.withColumn("__least", F.lit(least))).mapInPandas(keys("__other", False), f"__other string, {columns}").drop("__least")
+    right = right.withColumn("__other_size", size("__other"))
+    parts = right.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot).select("__key", F.ceil(F.col("__n") / hot).cast("int").alias("__parts"))
+    one = F.coalesce("__parts", F.lit(1))
+    left = left.join(parts, "__key", "left").withColumn("__part", F.explode(F.sequence(F.lit(0), one - 1))).drop("__parts").withColumn("__size", size(norm))
+    right = right.join(parts, "__key", "left").withColumn("__part", F.pmod(F.xxhash64("__other"), one).cast("int")).drop("__parts")
+    slack = 1 - F.col("__least") / 100
+    near = F.abs(F.col("__size") - F.col("__other_size")) <= slack * (F.col("__size") + F.col("__other_size")) + 1e-9
+    near = near & (F.col("__need") <= 4 * slack * F.col("__other_size") / (1 + slack) + 1e-9)
+    pairs = left.join(right, ["__key", "__part"]).where((F.col("__class") == 0) | near).select(norm, "__other", "__least").distinct()
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(score=[token_set_ratio(a, b) for a, b in zip(batch[norm], batch["__other"])])
+
+    scored = pairs.mapInPandas(score, f"{norm} string, __other string, __least double, score double").where("score >= __least")
+    each = scored.join(owners, "__other").groupBy(norm, entity).agg(F.max("score").alias("score"))
+    order = Window.partitionBy(norm).orderBy(F.col("score").desc(), entity)
+    return each.withColumn("__nr", F.row_number().over(order)).where("__nr <= 2").groupBy(norm).agg(F.max(F.when(F.col("__nr") == 1, F.col(entity))).alias("__best"), F.max("score").alias("__score"), F.max(F.when(F.col("__nr") == 2, F.col("score"))).alias("__second"))
+
+
+def fuzzy_best(names: DataFrame, pool: DataFrame, norm: str, entity: str, hot: int = 10_000) -> DataFrame:
+    """norm, __best, __score, __second of each distinct name: enough to accept or refuse its best entity, without all pairs.
+
+    Names are searched at the narrowest score that can settle them.  Any pair within it is found, so a second
+    entity there settles a name, and so does a best one that leads all that the search leaves out; others are searched again, down to
+    FUZZY_LEAD below their best, or at FUZZY_ACCEPT where they have none.  Three searches at most.
+    """
+    rivals = cut(pool.select(F.col(norm).alias("__other")).where(F.col(norm).isNotNull()).distinct())
+    often = pool.sparkSession.sparkContext.broadcast(_how_often(rivals.withColumnRenamed("__other", norm), norm))
+    lowest = Window.partitionBy("__other").orderBy(entity)
+    owners = pool.select(F.col(norm).alias("__other"), entity).distinct().withColumn("__nr", F.row_number().over(lowest)).where("__nr <= 2").drop("__nr")
+    todo, least, out = cut(names.select(norm).where(F.col(norm).isNotNull()).distinct().withColumn("__least", F.lit(_CLOSE))), _CLOSE, None
+    while least is not None:
+        found = cut(todo.join(_two_best(todo, rivals, owners, norm, entity, often, least, hot), norm, "left"))
+        alone, none = F.col("__score").isNotNull() & F.col("__second").isNull(), F.col("__score").isNull()
+        again = (alone & (F.col("__score") - FUZZY_LEAD < F.col("__least"))) | (none & (F.col("__least") > FUZZY_ACCEPT))
+        done = found.where(~again).select(norm, "__best", "__score", F.coalesce("__second", F.lit(0.0)).alias("__second"))
+        out = done if out is None else out.unionByName(done)
+        # a hair lower, so that rounding leaves none out
+        todo = found.where(again).select(norm, F.when(none, FUZZY_ACCEPT).otherwise(F.col("__score") - FUZZY_LEAD - 1e-6).alias("__least"))
+        least = todo.agg(F.min("__least")).first()[0]
+    return out
+
+
 def resolve(names: DataFrame, pool: DataFrame, aliases: DataFrame, norm: str, entity: str, model: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """norm, entity, method, confidence of each distinct name.
 
@@ -112,10 +272,13 @@ def resolve(names: DataFrame, pool: DataFrame, aliases: DataFrame, norm: str, en
     blank = F.coalesce(F.col(norm), F.lit("")) == ""
     settled = ~blank & (F.col("__exact").isNotNull() | F.col("__exact_collides") | F.col("__alias").isNotNull() | F.col("__alias_collides"))
     open_ = tiers.where(~settled & ~blank).select(norm)
-    scores = fuzzy_scores(open_, pool, norm, entity, least=FUZZY_ACCEPT - FUZZY_LEAD if model is None else CANDIDATE_SCORE)
-    order = Window.partitionBy(norm).orderBy(F.col("score").desc(), entity)
-    ranked = scores.withColumn("__nr", F.row_number().over(order))
-    best = ranked.groupBy(norm).agg(F.max(F.when(F.col("__nr") == 1, F.col(entity))).alias("__best"), F.max("score").alias("__score"), F.coalesce(F.max(F.when(F.col("__nr") == 2, F.col("score"))), F.lit(0.0)).alias("__second"))
+    if model is None:
+        best = fuzzy_best(open_, pool, norm, entity)
+    else:
+        scores = fuzzy_scores(open_, pool, norm, entity, least=CANDIDATE_SCORE)
+        order = Window.partitionBy(norm).orderBy(F.col("score").desc(), entity)
+        ranked = scores.withColumn("__nr", F.row_number().over(order))
+        best = ranked.groupBy(norm).agg(F.max(F.when(F.col("__nr") == 1, F.col(entity))).alias("__best"), F.max("score").alias("__score"), F.coalesce(F.max(F.when(F.col("__nr") == 2, F.col("score"))), F.lit(0.0)).alias("__second"))
     accept = (F.col("__score") >= FUZZY_ACCEPT) & (F.col("__score") - F.col("__second") >= FUZZY_LEAD)
     best = best.withColumn("__fuzzy", F.when(accept, F.col("__best")))
     out = tiers.join(best, norm, "left")

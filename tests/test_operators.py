@@ -239,6 +239,33 @@ def test_fuzzy_scores_lose_no_pair(spark):
             assert said[n] == ((-best[0][1], "fuzzy") if sure else (None, "review")), n
 
 
+def test_best_match_leaves_pairs_out_that_do_not_matter(spark):
+    import random
+
+    r = random.Random(8)
+    pool = [(f"SUPPLIER {i:09d} OF NATION {i % 25}", i) for i in range(300)] + [(f"{'ABCDEFGH'[i % 8] * 3} {i} MINING AND RESOURCES OF THE NORTH", 1000 + i) for i in range(60)]
+    pool += [(n, i + 5000) for n, i in pool[:20]] + [("A", 9000), ("B C", 9001), ("AB CD", 9002)]
+
+    def changed(name):
+        for _ in range(r.randint(0, 3)):
+            at = r.randrange(len(name))
+            name = name[:at] + r.choice(["", name[at] * 2, "7", "X", " "]) + name[at + 1 :]
+        return " ".join(name.split()) or "A"
+
+    names = sorted({changed(r.choice(pool)[0]) for _ in range(150)} | {f"NATION {pool[k][0]}" for k in (3, 5, 200)} | {f"SUPLIER {k:09d} OF NATION {k % 25}" for k in range(0, 300, 9)})
+    asked = spark.createDataFrame([(n,) for n in names], "norm string")
+    known = spark.createDataFrame(pool, "norm string, entity long")
+    for hot in (5, 10_000):
+        out = {x["norm"]: x for x in I.fuzzy_best(asked, known, "norm", "entity", hot=hot).collect()}
+        assert sorted(out) == names
+        for n in names:
+            best = sorted(((token_set_ratio(n, p), -i) for p, i in pool), reverse=True)
+            sure = best[0][0] >= 93 and best[0][0] - best[1][0] >= 3
+            x = out[n]
+            assert ((x["__score"] or 0) >= 93 and x["__score"] - x["__second"] >= 3) == sure, (n, x, best[:2])
+            assert not sure or (x["__best"], x["__score"]) == (-best[0][1], best[0][0])
+
+
 def test_chains_and_payloads_of_any_depth(spark):
     from pitlake.operators import registers as G
 
