@@ -24,12 +24,14 @@ A document is compared by length-normalised differences of the two
 log-likelihoods, over the whole text and over its most toxic ``WINDOWS``
 words; a logistic curve fitted to labelled documents that the models haven't
 seen turns these into a score from 0 to 1.  Then the word models are counted
-again over both samples.
+again over all labelled documents but those held out.
 
-Labelled rows are a bounded sample: at most ``LM_DOCS`` documents (those with
-the smallest hash of doc_id) for the models and ``FIT_DOCS`` for the curve.
+Every labelled document counts: those whose residue is 0 or 1 for the models
+and the letters, those of residue 3 for the curve and, after it, the models.
 The shared counts cover all words of all documents, in a table that grows with
-them.  Letters are bytes of UTF-8; words are lower-cased and cut at ASCII
+them.  Counts are tables of Spark; the finished ratios of the words, frequent
+pairs and letters that labelled documents hold go to every worker, so their
+size follows the vocabulary of these.  Letters are bytes of UTF-8; words are lower-cased and cut at ASCII
 punctuation, and told apart by 64-bit hashes.
 
 Documents are read twice: once for the shared counts and the labelled texts,
@@ -51,10 +53,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Scratch, WordHashes, loose_words, mix, short_batches, signed, table
+from .common import U64, Scratch, WordHashes, loose_words, mix, row_count_at_most, short_batches, signed, table
 
-LM_DOCS = 20_000
-FIT_DOCS = 10_000
+#: Labels that are broadcast, and rows that the curve is fitted to on the driver; more of either stay in Spark.
+LABELS_SENT = 1_000_000
+FIT_ROWS = 200_000
 ORDER = 6
 SHARED = 2
 WINDOWS = (1, 3, 12, 48)
@@ -120,12 +123,13 @@ _GATHERED = "kind int, key long, n long, text string, toxic int, fold int"
 _WORD, _LETTERS, _LABELLED = range(3)
 
 
-def gathered(docs: DataFrame, sample: DataFrame) -> DataFrame:
+def gathered(docs: DataFrame, labels: DataFrame, most: int = LABELS_SENT) -> DataFrame:
     """One pass over all documents: how often each word and each pair of letters came (counted by task), and the labelled texts.
 
-    ``sample``: doc_id, toxic, fold, small enough to broadcast.
+    ``labels``: doc_id, toxic, fold; broadcast where they are at most ``most``.
     """
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left").select("text", "toxic", "fold")
+    labels = F.broadcast(labels) if row_count_at_most(labels, most) else labels
+    rows = docs.select("doc_id", "text").join(labels, "doc_id", "left").select("text", "toxic", "fold")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(kind: int, **columns) -> pa.RecordBatch:
@@ -259,7 +263,7 @@ def pair_key(h: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def word_ratios(p: Probabilities) -> WordRatios:
-    """The models as arrays: as many numbers as the bounded sample has words and frequent pairs."""
+    """The models as arrays: as many numbers as the labelled documents have words and frequent pairs."""
 
     def of(df: DataFrame, t: str, o: str, *keys: str) -> tuple[np.ndarray, np.ndarray]:
         rows = df.select(*keys, F.log(F.col(t) / F.col(o)).cast("float").alias("ratio")).toArrow()
@@ -443,15 +447,41 @@ def _features(docs: DataFrame, models, keep: list[str]) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Logistic regression by Newton's method on standardised features; (mean, scale, weights)."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+def _curve_sums(x: np.ndarray, y: np.ndarray, mean: np.ndarray, scale: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    """Newton's sums over some rows: the second derivatives and, last, the first."""
     z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
-    beta = np.zeros(z.shape[1])
-    penalty = np.diag([0.0, *[0.1] * x.shape[1]])
+    p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
+    return np.vstack([z.T @ (z * (p * (1 - p))[:, None]), z.T @ (y - p)])
+
+
+def fit_curve(rows: DataFrame, most: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Logistic regression by Newton's method on standardised features; (mean, scale, weights), none without both classes.
+
+    ``rows``: toxic and the features, staged.  Up to ``most`` are fetched; of more only sums reach the driver, a small matrix a task.
+    """
+    found = rows.agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"), *(f(c).alias(f"{c}_{n}") for c in _FEATURES for n, f in (("m", F.avg), ("s", F.stddev_pop)))).first()
+    if found["low"] == found["high"]:
+        return None
+    mean, scale = (np.array([found[f"{c}_{n}"] for c in _FEATURES]) + e for n, e in (("m", 0.0), ("s", 1e-9)))
+    arrays = lambda t: (np.column_stack([t[c].to_numpy(zero_copy_only=False) for c in _FEATURES]), t["toxic"].to_numpy(zero_copy_only=False).astype(float))
+    if row_count_at_most(rows, most):
+        local = arrays(rows.select("toxic", *_FEATURES).orderBy("toxic", *_FEATURES).toArrow().combine_chunks().to_batches()[0])
+        sums = lambda beta: _curve_sums(*local, mean, scale, beta)
+    else:
+
+        def sums(beta: np.ndarray) -> np.ndarray:
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                total = sum((_curve_sums(*arrays(batch), mean, scale, beta) for batch in batches if batch.num_rows), np.zeros((len(beta) + 1, len(beta))))
+                yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()])], names=["sums"])
+
+            parts = rows.select("toxic", *_FEATURES).mapInArrow(run, "sums array<double>").select(F.spark_partition_id().alias("part"), "sums").collect()
+            return sum(np.array(r["sums"]) for r in sorted(parts)).reshape(len(beta) + 1, len(beta))
+
+    beta = np.zeros(len(_FEATURES) + 1)
+    penalty = np.diag([0.0, *[0.1] * len(_FEATURES)])
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + penalty + 1e-9 * np.eye(len(beta)), z.T @ (y - p) - penalty @ beta)
+        *second, first = sums(beta)
+        step = np.linalg.solve(np.array(second) + penalty + 1e-9 * np.eye(len(beta)), first - penalty @ beta)
         beta += step * min(1.0, 5 / (np.abs(step).max() + 1e-9))
         if np.abs(step).max() < 1e-8:
             break
@@ -462,18 +492,14 @@ def residue(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
 
 
-def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], lm_docs: int, fit_docs: int) -> DataFrame:
+def _scored(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``docs`` and __score.  Labels of documents whose residue is 2 are never read."""
     spark = docs.sparkSession
     short_batches(spark)
     scratch = Scratch(spark, "toxicity")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("__r", residue())
-
-    def sample(rows: DataFrame, most: int, fold: int) -> DataFrame:
-        return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", "toxic", F.lit(fold).alias("fold"))  # the bound of the broadcast
-
-    some = sample(known.where(F.col("__r").isin(0, 1)), lm_docs, 0).unionByName(sample(known.where(F.col("__r") == 3), fit_docs, 1))
-    found = scratch.stage(gathered(docs, some), "gathered")
+    used = known.where(F.col("__r") != 2).select("doc_id", "toxic", F.when(F.col("__r") == 3, 1).otherwise(0).alias("fold"))
+    found = scratch.stage(gathered(docs, used), "gathered")
     labelled = found.where(F.col("kind") == _LABELLED).select("text", "toxic", "fold")
     counts = scratch.stage(pair_counts(labelled), "pairs")
     shared = scratch.stage(found.where(F.col("kind") == _WORD).groupBy("key").agg(F.sum("n").alias("n")), "words")
@@ -482,17 +508,13 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], lm_docs: int, f
     if not first.known:
         share = known.where(F.col("__r") != 2).agg(F.avg("toxic")).first()[0] or 0.0
         return docs.select(*keep, F.lit(float(share)).alias("__score"))
-    # at most as many grams as the sample has letters
+    # as many grams as the words of labelled documents have
     letters = class_counts(labelled.where("fold = 0")).toArrow()
     levels = ratio_levels(*(letters[c].to_numpy() for c in ("gram", "n_t", "n_o")), letter_pairs(found))
     models = spark.sparkContext.broadcast((word_ratios(first), levels))
-    rows = _features(labelled.where("fold = 1"), models, ["toxic"]).collect()
+    curve = fit_curve(scratch.stage(_features(labelled.where("fold = 1"), models, ["toxic"]), "curve"))
     models.unpersist()
-    rows = sorted(tuple(r) for r in rows)
-    if len({r[0] for r in rows}) == 2:
-        mean, scale, beta = fit_curve(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], dtype=float))
-    else:
-        mean, scale, beta = np.zeros(len(_FEATURES)), np.ones(len(_FEATURES)), np.array([-4.0, 1.0, *[0.0] * (len(_FEATURES) - 1)])
+    mean, scale, beta = curve or (np.zeros(len(_FEATURES)), np.ones(len(_FEATURES)), np.array([-4.0, 1.0, *[0.0] * (len(_FEATURES) - 1)]))
     both = word_models(counts.select("h", "w", (F.col("t_0") + F.col("t_1")).alias("n_t"), (F.col("o_0") + F.col("o_1")).alias("n_o")), shared, size, scratch, "both")
     models = spark.sparkContext.broadcast((word_ratios(both), levels))
     scratch.drop("")
@@ -503,17 +525,17 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], lm_docs: int, f
     return _features(docs, models, keep).select(*keep, (1 / (1 + F.exp(-z))).alias("__score"))
 
 
-def score(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, threshold: float = THRESHOLD, lm_docs: int = LM_DOCS, fit_docs: int = FIT_DOCS) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``keep`` columns of ``docs`` (all but its text by default) with held_out, score and predicted, which replace columns of these names."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("text", "held_out", "score", "predicted")]
     held_out = F.coalesce(residue() == 2, F.lit(False))
-    out = _scored(docs, labels, keep, lm_docs, fit_docs)
+    out = _scored(docs, labels, keep)
     return out.select(*keep, held_out.alias("held_out"), F.col("__score").alias("score"), F.when(F.col("__score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, lm_docs: int = LM_DOCS, fit_docs: int = FIT_DOCS) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that aren't predicted toxic."""
-    return _scored(docs, labels, docs.columns, lm_docs, fit_docs).where(F.col("__score") < threshold).select(*docs.columns)
+    return _scored(docs, labels, docs.columns).where(F.col("__score") < threshold).select(*docs.columns)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

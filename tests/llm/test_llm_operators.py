@@ -529,6 +529,35 @@ def test_toxicity_ranks_held_out_documents(spark):
     assert right > 0.97 and all(0 <= x["score"] <= 1 for x in out.values())
 
 
+def test_toxicity_learns_from_every_label(spark):
+    ids = spark.range(44_000).withColumn("r", F.crc32(F.col("id").cast("string").cast("binary")) % 4).orderBy(F.xxhash64("id"), "id").collect()
+    learnt = [x["id"] for x in ids if x["r"] in (0, 1)]
+    curve = [x["id"] for x in ids if x["r"] == 3]
+    late = set(learnt[20_000:]) | set(curve[10_000:])
+    said = {i: "vlurgen" for i in late if i % 3 == 0} | {x["id"]: "zhotty" for x in ids if x["id"] not in late and x["id"] % 9 == 0}
+    held = [x["id"] for x in ids if x["r"] == 2]
+    said |= {i: "vlurgen" for i in held[:300]}
+    plain = "bada dabe bade daba bedi dibe abed beda".split()
+    rows = [(i, f"{plain[i % 8]} {said.get(i, plain[i % 7])} {plain[i % 5]}") for i in range(44_000)]
+    labels = spark.createDataFrame([(i, 1, int(i in said)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    out = {x["doc_id"]: x["predicted"] for x in toxicity.score(table(spark, rows), labels).where("held_out").collect()}
+    assert sum(out[i] for i in held[:300]) >= 290 and sum(out[i] for i in held if i not in said) <= 100
+
+
+def test_toxicity_curve_and_labels_beyond_the_driver(spark, sf, tmp_path):
+    r = random.Random(4)
+    rows = [(int(r.random() < 0.3), *(r.gauss(0, 1) for _ in toxicity._FEATURES)) for _ in range(500)]
+    rows = [(y, x[0] + y, *x[1:]) for y, *x in rows]
+    spark.createDataFrame(rows, ["toxic", *toxicity._FEATURES]).repartition(5).write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    for a, b in zip(toxicity.fit_curve(df), toxicity.fit_curve(df, most=10)):
+        assert np.allclose(a, b, rtol=1e-6, atol=1e-8)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(200)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic", F.lit(0).alias("fold"))
+    few, many = (toxicity.gathered(docs, labels, most).groupBy("kind", "key", "text", "toxic").agg(F.sum("n")).collect() for most in (10**6, 1))
+    assert sorted(map(str, few)) == sorted(map(str, many))
+
+
 def test_toxicity_odd(spark):
     df = odd(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
