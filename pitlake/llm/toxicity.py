@@ -53,8 +53,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Scratch, WordHashes, loose_words, mix, row_count_at_most, short_batches, signed, table
+from .common import U64, Scratch, WordHashes, loose_words, mix, release, row_count_at_most, short_batches, signed, table
 
+#: Rounds in which pairs are counted, so that the disk holds one round's shuffle at a time.
+PAIR_ROUNDS = 4
 #: Labels that are broadcast, and rows that the curve is fitted to on the driver; more of either stay in Spark.
 LABELS_SENT = 1_000_000
 FIT_ROWS = 200_000
@@ -174,8 +176,11 @@ def letter_pairs(found: DataFrame) -> np.ndarray:
     return out.reshape(256, 256)
 
 
-def pair_counts(labelled: DataFrame) -> DataFrame:
-    """``labelled``: text, toxic, fold (0 or 1).  Rows: h, w (hashes of neighbours, 0 before the first word), t_0, o_0, t_1, o_1."""
+def pair_counts(labelled: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
+    """``labelled``: text, toxic, fold (0 or 1).  Rows: h, w (hashes of neighbours, 0 before the first word), t_0, o_0, t_1, o_1.
+
+    Pairs are dealt out to ``parts`` by their hash, and one of these is counted, whole.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -187,6 +192,9 @@ def pair_counts(labelled: DataFrame) -> DataFrame:
                     held.append((np.append(U64(0), w[:-1]), w, np.full(len(w), int(toxic) + 2 * int(fold), dtype=np.int32)))
             if held:
                 h, w, kind = (np.concatenate(x) for x in zip(*held))
+                if parts > 1:
+                    mine = pair_key(h, w) % U64(parts) == part
+                    h, w, kind = h[mine], w[mine], kind[mine]
                 yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(signed(w)), pa.array(kind)], names=["h", "w", "kind"])
 
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, 1).otherwise(0))
@@ -501,8 +509,13 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     used = known.where(F.col("__r") != 2).select("doc_id", "toxic", F.when(F.col("__r") == 3, 1).otherwise(0).alias("fold"))
     found = scratch.stage(gathered(docs, used), "gathered")
     labelled = found.where(F.col("kind") == _LABELLED).select("text", "toxic", "fold")
-    counts = scratch.stage(pair_counts(labelled), "pairs")
     shared = scratch.stage(found.where(F.col("kind") == _WORD).groupBy("key").agg(F.sum("n").alias("n")), "words")
+    release(spark)
+    counts = None
+    for k in range(PAIR_ROUNDS):  # in order of h, which then takes little room
+        part = scratch.stage(pair_counts(labelled, k, PAIR_ROUNDS).sortWithinPartitions("h"), f"pairs_{k}")
+        counts = part if counts is None else counts.unionByName(part)
+        release(spark)
     size = shared_size(shared)
     first = word_models(counts.select("h", "w", F.col("t_0").alias("n_t"), F.col("o_0").alias("n_o")).where("n_t + n_o > 0"), shared, size, scratch, "first")
     if not first.known:
