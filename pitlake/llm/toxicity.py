@@ -44,8 +44,11 @@ give everyone the share of the class there is; null doc_ids are never held out.
 
 from __future__ import annotations
 
+import functools
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +58,10 @@ from pyspark.sql import types as T
 
 from .common import U64, Scratch, WordHashes, loose_words, mix, release, row_count_at_most, short_batches, signed, table
 
-#: Rounds in which pairs are counted, so that the disk holds one round's shuffle at a time.
+#: Rounds in which pairs are counted, so that the disk holds one round's shuffle and pairs at a time.
 PAIR_ROUNDS = 4
+#: Different words whose counts a task holds before it passes them on.
+HELD_WORDS = 200_000
 #: Labels that are broadcast, and rows that the curve is fitted to on the driver; more of either stay in Spark.
 LABELS_SENT = 1_000_000
 FIT_ROWS = 200_000
@@ -85,35 +90,36 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return packed[use], place[starts]
 
 
-def _pre_counted(batches: Iterator, values, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """``values(batch)`` yields arrays of numbers; yields each number and how often it came, some millions at a time."""
-
-    def out():
-        value, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(value), pa.array(n)], names=names)
-
-    held, size = [], 0
-    for batch in batches:
-        for x in values(batch):
-            held.append(x)
-            size += len(x)
-            if size > 4_000_000:
-                yield out()
-                held, size = [], 0
-    if size:
-        yield out()
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each different key and the sum of its counts."""
+    key, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(at, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
 
 
 def class_counts(labelled: DataFrame) -> DataFrame:
     """``labelled``: text, toxic (0 or 1).  Rows: gram of letters long, n_t, n_o."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def values(batch):
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if words := loose_words(text):
-                    yield grams(words)[0] * 2 + int(toxic)
+        held = Counter(), Counter()
+
+        def out():
+            keys, counts = [], []
+            for toxic, words in enumerate(held):
+                if words:
+                    packed, starts = grams(list(words))
+                    keys.append(packed * 2 + toxic)
+                    counts.append(np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.diff(np.append(starts, len(packed)))))
+                    words.clear()
+            gram, n = _summed(keys, counts)
+            return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], names=["gram", "n"])
 
-        yield from _pre_counted(batches, values, ["gram", "n"])
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held[int(toxic)].update(loose_words(text))
+            if len(held[0]) + len(held[1]) > HELD_WORDS:
+                yield out()
+        if held[0] or held[1]:
+            yield out()
 
     out = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "gram long, n long")
     toxic = F.col("gram") % 2 == 1
@@ -140,27 +146,41 @@ def gathered(docs: DataFrame, labels: DataFrame, most: int = LABELS_SENT) -> Dat
             schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("text", pa.string()), ("toxic", pa.int32()), ("fold", pa.int32())])
             return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
-        hashes, total, held, size = WordHashes(), np.zeros(1 << 16, dtype=np.int64), [], 0
+        hashes, total, held, size, keys, counts = WordHashes(), np.zeros(1 << 16, dtype=np.int64), [], 0, [], []
+
+        def summed() -> None:
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            key, n = _summed([*keys, key], [*counts, n])
+            keys[:], counts[:] = [key], [n]
+            held.clear()
+
         for batch in batches:
             labelled: list[tuple] = []
+            some: list[list[bytes]] = []
             for text, toxic, fold in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if words := loose_words(text):
-                    held.append(hashes.of(words))
-                    size += len(words)
-                    letters = np.frombuffer(b" " + b" ".join(words) + b" ", dtype=np.uint8).astype(np.int64)
-                    total += np.bincount((letters[:-1] << 8) | letters[1:], minlength=1 << 16)
+                    some.append(words)
                 if fold is not None:
                     labelled.append((text, toxic, fold))
+            if some:
+                words = list(chain.from_iterable(some))
+                held.append(hashes.of(words))
+                size += len(words)
+                for i in range(0, len(words), 50_000):
+                    letters = np.frombuffer(b" " + b" ".join(words[i : i + 50_000]) + b" ", dtype=np.uint8).astype(np.uint16)
+                    total += np.bincount((letters[:-1] << 8) | letters[1:], minlength=1 << 16)
             if labelled:
                 text, toxic, fold = zip(*labelled)
                 yield out(_LABELLED, text=text, toxic=toxic, fold=fold)
             if size > 2_000_000:
-                key, n = np.unique(np.concatenate(held), return_counts=True)
-                yield out(_WORD, key=signed(key), n=n)
-                held, size = [], 0
-        if size:
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            yield out(_WORD, key=signed(key), n=n)
+                summed()
+                size = 0
+                if len(keys[0]) > 4 * HELD_WORDS:
+                    yield out(_WORD, key=signed(keys.pop()), n=counts.pop())
+        if held:
+            summed()
+        if keys:
+            yield out(_WORD, key=signed(keys.pop()), n=counts.pop())
         pair = np.flatnonzero(total)
         if len(pair):
             yield out(_LETTERS, key=pair, n=total[pair])
@@ -179,21 +199,21 @@ def letter_pairs(found: DataFrame) -> np.ndarray:
 def pair_counts(labelled: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
     """``labelled``: text, toxic, fold (0 or 1).  Rows: h, w (hashes of neighbours, 0 before the first word), t_0, o_0, t_1, o_1.
 
-    Pairs are dealt out to ``parts`` by their hash, and one of these is counted, whole.
+    Pairs are dealt out to ``parts`` by their first word, and one of these is counted, whole.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            held = []
-            for text, toxic, fold in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if words := loose_words(text):
-                    w = hashes.of(words)
-                    held.append((np.append(U64(0), w[:-1]), w, np.full(len(w), int(toxic) + 2 * int(fold), dtype=np.int32)))
-            if held:
-                h, w, kind = (np.concatenate(x) for x in zip(*held))
+            words = [loose_words(t) for t in batch.column(0).to_pylist()]
+            kind = np.array([int(toxic) + 2 * int(fold) for toxic, fold in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())], dtype=np.int32)
+            length = np.fromiter(map(len, words), np.int64, len(words))
+            w = hashes.of(list(chain.from_iterable(words)))
+            if len(w):
+                h, kind = np.append(U64(0), w[:-1]), np.repeat(kind, length)
+                h[(np.cumsum(length) - length)[length > 0]] = 0
                 if parts > 1:
-                    mine = pair_key(h, w) % U64(parts) == part
+                    mine = h % U64(parts) == part
                     h, w, kind = h[mine], w[mine], kind[mine]
                 yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(signed(w)), pa.array(kind)], names=["h", "w", "kind"])
 
@@ -229,9 +249,35 @@ def shared_size(shared: DataFrame) -> float:
     return float(every["c"] or 0) + PRIOR * (every["v"] + 1)
 
 
-def word_models(counts: DataFrame, shared: DataFrame, size: float, scratch: Scratch, name: str) -> Probabilities:
-    """``counts``: h, w, n_t, n_o.  ``shared``: key, n of all documents' words, and their ``shared_size``."""
-    words = scratch.stage(counts.groupBy("w").agg(F.count(F.when(F.col("n_t") > 0, 1)).alias("k_t"), F.count(F.when(F.col("n_o") > 0, 1)).alias("k_o")), f"{name}_words")
+@dataclass
+class PairSums:
+    """What models need of counted pairs.  Each column of counts makes its own."""
+
+    words: DataFrame  # w; distinct words before it that have a count
+    histories: DataFrame  # h; sums.  Of histories with a pair in ``often``
+    often: DataFrame  # h, w; the pairs seen ``PAIRS`` times or more in the last two columns
+    seen: Counter  # of pairs, by the names of ``_seen``
+
+
+def pair_sums(counts: DataFrame, columns: list[str], scratch: Scratch, name: str) -> PairSums:
+    """``counts``: h, w and ``columns``; all pairs of a history are there.  The sums don't read ``counts`` again."""
+    together = F.col(columns[-2]) + F.col(columns[-1])
+    words = scratch.stage(counts.groupBy("w").agg(*(F.count(F.when(F.col(c) > 0, 1)).alias(c) for c in columns)), f"{name}_words")
+    histories = counts.groupBy("h").agg(*(F.sum(c).alias(c) for c in columns), F.max(together).alias("most")).where(F.col("most") >= PAIRS).drop("most")
+    histories = scratch.stage(histories, f"{name}_histories")
+    often = scratch.stage(counts.where(together >= PAIRS).select("h", "w", *columns), f"{name}_often")
+    seen = counts.agg(*_seen(columns)).first().asDict()
+    return PairSums(words, histories, often, Counter({k: n or 0 for k, n in seen.items()}))
+
+
+def with_shares(words: DataFrame, shared: DataFrame, size: float) -> DataFrame:
+    """``words`` and s, the share of each w in all documents."""
+    return words.join(shared.withColumnRenamed("key", "w"), "w", "left").withColumn("s", (F.coalesce("n", F.lit(0)) + PRIOR) / size).drop("n")
+
+
+def models_of(sums: PairSums, t: str, o: str, scratch: Scratch, name: str) -> Probabilities:
+    """The models of the columns ``t`` and ``o``; the words of ``sums`` have shares."""
+    words = sums.words.select("w", "s", F.col(t).alias("k_t"), F.col(o).alias("k_o")).where("k_t + k_o > 0")
     seen = words.agg(*_seen(["k_t", "k_o"])).first()
     if not seen["k_t_sum"] or not seen["k_o_sum"]:
         return Probabilities(False)
@@ -239,20 +285,44 @@ def word_models(counts: DataFrame, shared: DataFrame, size: float, scratch: Scra
     for c, d in zip(("k_t", "k_o"), _discounts(seen, ["k_t", "k_o"])):
         left.append(d * seen[f"{c}_some"] / seen[f"{c}_sum"])
         p[c] = F.greatest(F.col(c) - d, F.lit(0.0)) / float(seen[f"{c}_sum"]) + left[-1] * F.col("s")
-    known = words.join(shared.withColumnRenamed("key", "w"), "w", "left").withColumn("s", (F.coalesce("n", F.lit(0)) + PRIOR) / size)
-    known = scratch.stage(known.select("w", "s", p["k_t"].alias("p_t"), p["k_o"].alias("p_o")), f"{name}_known")
-    d_t, d_o = _discounts(counts.agg(*_seen(["n_t", "n_o"])).first(), ["n_t", "n_o"])
-    often = F.col("n_t") + F.col("n_o") >= PAIRS
-    kept = lambda c, d: F.sum(F.when(often, F.greatest(F.col(c) - d, F.lit(0.0))).otherwise(0.0))
+    known = words.select("w", "s", p["k_t"].alias("p_t"), p["k_o"].alias("p_o"))
+    d_t, d_o = _discounts(sums.seen, [t, o])
+    often = sums.often.select("h", "w", F.col(t).alias("c_t"), F.col(o).alias("c_o")).where(F.col("c_t") + F.col("c_o") >= PAIRS)
+    kept = lambda c, d: F.sum(F.greatest(F.col(c) - d, F.lit(0.0)))
     g = lambda k, n: F.when(F.col(n) > 0, 1 - F.col(k) / F.col(n)).otherwise(1.0)
-    histories = counts.groupBy("h").agg(kept("n_t", d_t).alias("kept_t"), kept("n_o", d_o).alias("kept_o"), F.sum("n_t").alias("n_t"), F.sum("n_o").alias("n_o")).where("kept_t > 0 or kept_o > 0")
-    histories = scratch.stage(histories.select("h", "n_t", "n_o", g("kept_t", "n_t").alias("g_t"), g("kept_o", "n_o").alias("g_o")), f"{name}_histories")
+    histories = often.groupBy("h").agg(kept("c_t", d_t).alias("kept_t"), kept("c_o", d_o).alias("kept_o")).where("kept_t > 0 or kept_o > 0")
+    histories = histories.join(sums.histories.select("h", F.col(t).alias("n_t"), F.col(o).alias("n_o")), "h")
+    histories = scratch.stage(histories.select("h", "n_t", "n_o", g("kept_t", "n_t").alias("g_t"), g("kept_o", "n_o").alias("g_o")), f"{name}_downs")
     of = lambda c, d, k: F.when(F.col(f"N_{k}") > 0, F.greatest(F.col(c) - d, F.lit(0.0)) / F.col(f"N_{k}")).otherwise(0.0) + F.col(f"g_{k}") * F.col(f"p_{k}")
     totals = histories.select("h", F.col("n_t").alias("N_t"), F.col("n_o").alias("N_o"), "g_t", "g_o")
-    with_totals = counts.where(often).select("h", "w", F.col("n_t").alias("c_t"), F.col("n_o").alias("c_o")).join(totals, "h").join(known, "w")
+    with_totals = often.join(totals, "h").join(known, "w")
     return Probabilities(True, (left[0], left[1]), known, histories, with_totals.select("h", "w", of("c_t", d_t, "t").alias("p_t"), of("c_o", d_o, "o").alias("p_o")))
 
 
+def word_models(counts: DataFrame, shared: DataFrame, size: float, scratch: Scratch, name: str) -> Probabilities:
+    """``counts``: h, w, n_t, n_o.  ``shared``: key, n of all documents' words, and their ``shared_size``."""
+    sums = pair_sums(counts, ["n_t", "n_o"], scratch, name)
+    sums.words = scratch.stage(with_shares(sums.words, shared, size), f"{name}_shares")
+    return models_of(sums, "n_t", "n_o", scratch, name)
+
+
+def summed_in_rounds(labelled: DataFrame, shared: DataFrame, size: float, scratch: Scratch, rounds: int = PAIR_ROUNDS) -> PairSums:
+    """The sums of all pairs, f_t and f_o without those of fold 1, n_t and n_o with them.  A round's pairs are deleted once they are summed."""
+    columns = {"f_t": F.col("t_0"), "f_o": F.col("o_0"), "n_t": F.col("t_0") + F.col("t_1"), "n_o": F.col("o_0") + F.col("o_1")}
+    parts = []
+    for k in range(rounds):
+        pairs = scratch.stage(pair_counts(labelled, k, rounds).select("h", "w", *(x.alias(c) for c, x in columns.items())), f"pairs_{k}")
+        release(scratch.spark)
+        parts.append(pair_sums(pairs, [*columns], scratch, f"sums_{k}"))
+        scratch.drop(f"pairs_{k}")
+    every = lambda part: functools.reduce(DataFrame.unionByName, (getattr(x, part) for x in parts))
+    words = every("words").groupBy("w").agg(*(F.sum(c).alias(c) for c in columns))
+    words = scratch.stage(with_shares(words, shared, size), "shares")
+    scratch.drop("words", *(f"sums_{k}_words" for k in range(rounds)))
+    release(scratch.spark)
+    return PairSums(words, every("histories"), every("often"), sum((x.seen for x in parts), Counter()))
+
+
 @dataclass
 class WordRatios:
     """log P_toxic - log P_ordinary of words and pairs of words, the step down below a history, and below everything."""
@@ -359,13 +429,42 @@ class Scorer(dict):
         self.update(zip(words, np.add.reduceat(out, starts).tolist()))
 
 
-def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of ``wanted`` are in the sorted ``keys``, and the values of these."""
-    if not len(keys):
-        return np.zeros(len(wanted), dtype=bool), values[:0]
-    i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    hit = keys[i] == wanted
-    return hit, values[i[hit]]
+class Directory:
+    """Values by hash.  The first bits of a hash tell where it stands, if it is there."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(1, len(keys).bit_length())
+        self.keys, self.values, self.shift = keys, values, U64(64 - bits)
+        self.start = np.append(0, np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits).cumsum())
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places in ``wanted`` of those that are known, and the values of these."""
+        slot = (wanted >> self.shift).astype(np.int64)
+        at, end = self.start[slot], self.start[slot + 1]
+        left = np.flatnonzero(at < end)
+        at, end, wanted = at[left], end[left], wanted[left]
+        places, found = [left[:0]], [left[:0]]
+        while len(left):
+            hit = self.keys[at] == wanted
+            places.append(left[hit])
+            found.append(at[hit])
+            more = ~hit
+            more &= at + 1 < end
+            left, at, end, wanted = left[more], at[more] + 1, end[more], wanted[more]
+        return np.concatenate(places), self.values[np.concatenate(found)]
+
+
+class _Places(dict):
+    """Word -> its number, given at its first use; ``new`` lists those that got one."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
 
 
 class WordScorer:
@@ -374,11 +473,14 @@ class WordScorer:
     LIMIT = 150_000
 
     def __init__(self, ratios: WordRatios, levels: list[Level]):
-        self.ratios, self.letters = ratios, Scorer(levels)
+        self.letters, self.unseen = Scorer(levels), ratios.unseen
+        self.words, self.pairs, self.histories = Directory(ratios.word, ratios.ratio), Directory(ratios.pair, ratios.pair_ratio), Directory(ratios.history, ratios.down)
+        self.first_key = mix(np.array([1], dtype=U64))[0]
+        self.first_down = float(sum(self.histories.find(np.zeros(1, dtype=U64))[1]))
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.place = _Places()
         self.hashes = self.key = np.zeros(0, dtype=U64)
         self.alone = self.below = np.zeros(0, dtype=np.float32)
         self.letters.clear()
@@ -386,32 +488,30 @@ class WordScorer:
     def _learn(self, words: list[bytes]) -> None:
         hashes = WordHashes().of(words)
         alone = np.empty(len(words), dtype=np.float32)
-        hit, ratio = _found(self.ratios.word, self.ratios.ratio, hashes)
+        hit, ratio = self.words.find(hashes)
         alone[hit] = ratio
-        unseen = np.flatnonzero(~hit)
+        unseen = np.ones(len(words), dtype=bool)
+        unseen[hit] = False
+        unseen = np.flatnonzero(unseen)
         if len(unseen):
             some = [words[i] for i in unseen]
             self.letters.learn(some)
-            alone[unseen] = [self.ratios.unseen + self.letters[w] / (len(w) + 1) for w in some]  # the letters and the end
+            alone[unseen] = [self.unseen + self.letters[w] / (len(w) + 1) for w in some]  # the letters and the end
             self.letters.clear()
         below = np.zeros(len(words), dtype=np.float32)
-        hit, down = _found(self.ratios.history, self.ratios.down, hashes)
+        hit, down = self.histories.find(hashes)
         below[hit] = down
-        n = len(self.place)
-        self.place.update(zip(words, range(n, n + len(words))))
         self.hashes = np.concatenate((self.hashes, hashes))
         self.key = np.concatenate((self.key, mix(hashes + U64(1))))
         self.alone, self.below = np.concatenate((self.alone, alone)), np.concatenate((self.below, below))
 
-    def differences(self, words: list[bytes]) -> np.ndarray:
-        """Of each word after the one before it; the words are known."""
-        at = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
-        before = mix(np.array([1], dtype=U64))
-        hit, down = _found(self.ratios.history, self.ratios.down, np.zeros(1, dtype=U64))
-        out = self.alone[at].astype(float)
-        out[1:] += self.below[at[:-1]]
-        out[0] += down[0] if hit[0] else 0.0
-        hit, ratio = _found(self.ratios.pair, self.ratios.pair_ratio, mix(np.concatenate((before, self.key[at[:-1]])) + self.hashes[at]))
+    def differences(self, at: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Of each word after the one before it, or after none at the places ``first``; ``at``: numbers of known words."""
+        out, down, key = self.alone[at].astype(float), np.zeros(len(at)), np.zeros(len(at), dtype=U64)
+        down[1:], key[1:] = self.below[at[:-1]], self.key[at[:-1]]
+        down[first], key[first] = self.first_down, self.first_key
+        out += down
+        hit, ratio = self.pairs.find(mix(key + self.hashes[at]))
         out[hit] = ratio
         return out
 
@@ -420,14 +520,20 @@ class WordScorer:
         words = [loose_words(t) for t in texts]
         if len(self.place) > self.LIMIT:
             self._clear()
-        new = list(set().union(*words).difference(self.place))
+        ends = np.cumsum([len(x) for x in words])
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), np.int64, int(ends[-1]) if len(ends) else 0)
+        new, self.place.new = self.place.new, []
         for i in range(0, len(new), 50_000):
             self._learn(new[i : i + 50_000])
         out = np.zeros((len(texts), len(WINDOWS) + 2))
-        for row, some in zip(out, words):
-            if not some:
+        if not len(at):
+            return out
+        begin = ends - [len(x) for x in words]
+        every = self.differences(at, begin[begin < ends])
+        for row, i, j in zip(out, begin.tolist(), ends.tolist()):
+            if i == j:
                 continue
-            x = self.differences(some)
+            x = every[i:j]
             most = min(WINDOWS[-1], len(x))
             top = np.sort(np.partition(x, len(x) - most)[len(x) - most :])[::-1].cumsum()
             for k, size in enumerate(WINDOWS):
@@ -507,17 +613,13 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     scratch = Scratch(spark, "toxicity")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("__r", residue())
     used = known.where(F.col("__r") != 2).select("doc_id", "toxic", F.when(F.col("__r") == 3, 1).otherwise(0).alias("fold"))
-    found = scratch.stage(gathered(docs, used), "gathered")
+    found = scratch.split(gathered(docs, used), "gathered", "kind", 3)
     labelled = found.where(F.col("kind") == _LABELLED).select("text", "toxic", "fold")
     shared = scratch.stage(found.where(F.col("kind") == _WORD).groupBy("key").agg(F.sum("n").alias("n")), "words")
+    scratch.drop(f"gathered/kind={_WORD}")
     release(spark)
-    counts = None
-    for k in range(PAIR_ROUNDS):  # in order of h, which then takes little room
-        part = scratch.stage(pair_counts(labelled, k, PAIR_ROUNDS).sortWithinPartitions("h"), f"pairs_{k}")
-        counts = part if counts is None else counts.unionByName(part)
-        release(spark)
-    size = shared_size(shared)
-    first = word_models(counts.select("h", "w", F.col("t_0").alias("n_t"), F.col("o_0").alias("n_o")).where("n_t + n_o > 0"), shared, size, scratch, "first")
+    sums = summed_in_rounds(labelled, shared, shared_size(shared), scratch)
+    first = models_of(sums, "f_t", "f_o", scratch, "first")
     if not first.known:
         share = known.where(F.col("__r") != 2).agg(F.avg("toxic")).first()[0] or 0.0
         return docs.select(*keep, F.lit(float(share)).alias("__score"))
@@ -528,7 +630,8 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     curve = fit_curve(scratch.stage(_features(labelled.where("fold = 1"), models, ["toxic"]), "curve"))
     models.unpersist()
     mean, scale, beta = curve or (np.zeros(len(_FEATURES)), np.ones(len(_FEATURES)), np.array([-4.0, 1.0, *[0.0] * (len(_FEATURES) - 1)]))
-    both = word_models(counts.select("h", "w", (F.col("t_0") + F.col("t_1")).alias("n_t"), (F.col("o_0") + F.col("o_1")).alias("n_o")), shared, size, scratch, "both")
+    scratch.drop("gathered")
+    both = models_of(sums, "n_t", "n_o", scratch, "both")
     models = spark.sparkContext.broadcast((word_ratios(both), levels))
     scratch.drop("")
     z = F.lit(float(beta[0] - (beta[1:] * mean / scale).sum()))

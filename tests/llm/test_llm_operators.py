@@ -3,6 +3,7 @@ ties, repeated rows, empty tables, extra columns with clashing names."""
 
 import hashlib
 import html
+import os
 import random
 import re
 import string
@@ -647,6 +648,70 @@ def test_word_models_equal_brute_force_and_sum_to_one(spark):
     assert got[-2] == pytest.approx(np.mean(want), abs=1e-5) and got[0] == pytest.approx(max(want), abs=1e-5) and got[1] == pytest.approx(np.mean(sorted(want)[-3:]), abs=1e-5)
 
 
+def test_toxicity_holds_one_round_of_pairs(spark, monkeypatch):
+    """A round's pairs are summed and deleted before the next; the counts of words by task and the texts go when they were read."""
+    held = []
+
+    def watch(self, df, name, stage=Scratch.stage):
+        out = stage(self, df, name)
+        root = "/" + self.root.removeprefix("file:").lstrip("/")
+        held.append((name, {os.path.relpath(os.path.join(d, x), root) for d, below, _ in os.walk(root) for x in below}))
+        return out
+
+    monkeypatch.setattr(Scratch, "stage", watch)
+    rows = [(i, prose(30, i) + " vile" * (i % 3 == 0)) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    assert toxicity.score(table(spark, rows), labels).count() == 200
+    assert {n for n, _ in held} >= {"words", *(f"pairs_{k}" for k in range(toxicity.PAIR_ROUNDS))}
+    assert all(sum(re.fullmatch(r"pairs_\d+", x) is not None for x in there) <= 1 for _, there in held)
+    after = [there for _, there in held[[n for n, _ in held].index("pairs_0") :]]
+    assert not any(f"gathered/kind={toxicity._WORD}" in x for x in after) and "gathered" not in after[-1] and "words" not in after[-1]
+
+
+def test_toxicity_rounds_sum_to_the_same(spark):
+    r = random.Random(5)
+    said = [(" ".join(r.choice(WORDS[:30]) for _ in range(r.randrange(60))), int(r.random() < 0.3), r.randrange(2)) for _ in range(300)] + [(None, 1, 0), ("", 0, 1)]
+    labelled = spark.createDataFrame(said, "text string, toxic int, fold int")
+    shared = spark.createDataFrame([], "key long, n long")
+    one, many = (toxicity.summed_in_rounds(labelled, shared, 7.0, Scratch(spark, "t7"), rounds) for rounds in (1, 5))
+    for part in ("words", "histories", "often"):
+        a, b = (sorted(map(tuple, getattr(x, part).collect())) for x in (one, many))
+        assert a == b and a
+    assert one.seen == many.seen
+    pairs = Counter(p for t, _, _ in said for w in [loose_words(t)] for p in zip([b"", *w[:-1]], w))
+    assert many.often.count() == sum(n >= toxicity.PAIRS for n in pairs.values())
+    hashed = lambda w: int(toxicity.signed(toxicity.WordHashes().of([w]))[0])
+    for name, toxic, folds in (("f_t", 1, {0}), ("f_o", 0, {0}), ("n_t", 1, {0, 1}), ("n_o", 0, {0, 1})):
+        before = {p for t, y, fold in said if y == toxic and fold in folds for w in [loose_words(t)] for p in zip([b"", *w[:-1]], w)}
+        want = Counter(hashed(w) for _, w in before)
+        assert {x["w"]: x[name] for x in many.words.collect() if x[name]} == want
+
+
+def test_toxicity_counts_letters_and_words(spark, monkeypatch):
+    r = random.Random(6)
+    said = [(" ".join(r.choice(WORDS) for _ in range(40)) if i % 7 else ("" if i % 2 else None), i % 2, 0) for i in range(100)]
+    for bound in (toxicity.HELD_WORDS, 3):
+        monkeypatch.setattr(toxicity, "HELD_WORDS", bound)
+        got = {x["gram"]: (x["n_t"], x["n_o"]) for x in toxicity.class_counts(spark.createDataFrame(said, "text string, toxic int, fold int")).collect()}
+        n = [Counter(g for t, y, _ in said if y == toxic and loose_words(t) for g in toxicity.grams(loose_words(t))[0].tolist()) for toxic in (1, 0)]
+        assert got == {g: (n[0][g], n[1][g]) for g in {*n[0], *n[1]}}
+    found = toxicity.gathered(table(spark, [(i, t) for i, (t, _, _) in enumerate(said)]), spark.createDataFrame([], "doc_id long, toxic int, fold int"))
+    pairs = toxicity.letter_pairs(found)
+    want = Counter(p for t, _, _ in said for w in [b" " + b" ".join(loose_words(t)) + b" "] if len(w) > 2 for p in zip(w, w[1:]))
+    assert {(i, j): int(pairs[i, j]) for i, j in np.argwhere(pairs)} == want
+
+
+def test_directory_finds_what_is_there():
+    r = np.random.default_rng(2)
+    for n in (0, 1, 2, 1000):
+        keys = np.unique(r.integers(0, 1 << 64, n, dtype=np.uint64) >> np.uint64(0 if n < 1000 else 8))
+        values = np.arange(len(keys), dtype=np.float32)
+        wanted = np.concatenate((r.permutation(keys), r.integers(0, 1 << 64, 50, dtype=np.uint64), np.zeros(1, dtype=np.uint64)))
+        at, found = toxicity.Directory(keys, values).find(wanted)
+        known = dict(zip(keys.tolist(), values.tolist()))
+        assert dict(zip(at.tolist(), found.tolist())) == {i: known[k] for i, k in enumerate(wanted.tolist()) if k in known}
+
+
 def test_toxicity_in_each_language(spark, sf):
     """On labelled documents it hasn't seen: recall of 0.9 and precision of 0.85 in each language."""
     large = sf.replace("sf0.001", "sf0.1").replace("sf0.01", "sf0.1")
