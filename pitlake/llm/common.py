@@ -89,12 +89,12 @@ class Scratch:
     def split(self, df: DataFrame, name: str, by: str, most: int) -> DataFrame:
         """Like ``stage``, in a folder for each of the ``most`` values of ``by``, which ``drop`` takes as ``name/by=value``; without sorting."""
         key = "spark.sql.maxConcurrentOutputFileWriters"
-        was = self.spark.conf.get(key)
+        was = self.spark.conf.get(key) if self.spark._jsparkSession.sessionState().conf().contains(key) else None
         self.spark.conf.set(key, str(most + 1))
         try:
             few(df).write.mode("overwrite").partitionBy(by).parquet(self.path(name))
         finally:
-            self.spark.conf.set(key, was)
+            self.spark.conf.unset(key) if was is None else self.spark.conf.set(key, was)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
